@@ -42,7 +42,7 @@ CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 WHITE_SPACE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 BLOCK = 64
 CHUNK = 1 << 20
-CACHED_SLICES = 700_000
+CACHED_SLICES = 200_000
 NONE = np.int32(2**31 - 1)
 
 
@@ -271,8 +271,8 @@ def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(vocabulary)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                part = batch.slice(lo, 1000)
+            for lo in range(0, batch.num_rows, 400):
+                part = batch.slice(lo, 400)
                 coded = coder.encode(part.column(1).to_pylist())
                 flat = np.frombuffer(b"".join(coded), "<i4")
                 bounds = np.cumsum([0] + [len(x) // 4 for x in coded]).astype(np.int32)
