@@ -3,9 +3,9 @@
 A fingerprint has 64 bits, by the majority of its word shingles' XXH64 bits. To
 find every pair within ``radius`` bits, each bit position gets a vector of
 ``radius + 1`` bits; each non-zero vector v gives one mask, of the positions whose
-vector has an even product with v. Two fingerprints that differ in at most
-``radius`` positions agree on at least one mask, since that few vectors cannot span
-the space (Pagh, 2016, "Locality-sensitive hashing without false negatives").
+vector has an odd product with v. Two fingerprints that differ in at most
+``radius`` positions agree on at least one mask: that few vectors cannot span the
+space, so some v has an even product with all of them (Pagh, 2016, "Locality-sensitive hashing without false negatives").
 
 Equal fingerprints are folded to one before the search, so groups of exact copies
 cost nothing. Inside a collision group, links are found by growing neighbourhoods
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 def covering_masks(radius: int = RADIUS, seed: int = 1) -> list[int]:
     """2**(radius+1)-1 masks of which any two words within ``radius`` share one."""
     vectors = np.random.default_rng(seed).permutation(np.arange(BITS) % ((1 << (radius + 1)) - 1) + 1)
-    return [sum(1 << i for i in range(BITS) if int(vectors[i] & v).bit_count() % 2 == 0) for v in range(1, 1 << (radius + 1))]
+    return [sum(1 << i for i in range(BITS) if int(vectors[i] & v).bit_count() % 2 == 1) for v in range(1, 1 << (radius + 1))]
 
 
 def signed(x: int) -> int:
