@@ -114,7 +114,7 @@ def served(tokens: np.ndarray, totals: np.ndarray) -> np.ndarray:
     base = (tokens.astype(kind)[:, None] * totals.astype(kind)[None, :] // n).astype(np.int64)
     rest = tokens - base.sum(axis=1)
     rows = np.flatnonzero(rest)
-    weight = totals.astype(np.longdouble)
+    weight = np.maximum(totals, 1).astype(np.longdouble)
     while len(rows):
         due = np.where(base[rows] < totals, (base[rows] + 1) / weight, np.inf)
         base[rows, due.argmin(axis=1)] += 1
