@@ -45,8 +45,8 @@ def id_buckets(df: DataFrame, key: str, rows_per_bucket: int) -> tuple[int, int]
 
 
 def bucket_of(key: Column, low: int, width: int) -> Column:
-    """Bucket number; rows without an id come before the lowest id."""
-    return F.floor((F.coalesce(key, F.lit(low)) - F.lit(low)) / F.lit(width)).cast("long")
+    """Bucket number, never null; rows without an id come before the lowest id."""
+    return F.coalesce(F.floor((F.coalesce(key, F.lit(low)) - F.lit(low)) / F.lit(width)).cast("long"), F.lit(0))
 
 
 def bases(sums: DataFrame, group: str, bucket: str, value: str, fan: int = 1024) -> DataFrame:

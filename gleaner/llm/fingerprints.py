@@ -94,7 +94,7 @@ def with_next(docs: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFr
     rows = docs.withColumn("bucket", bucket_of(F.col("doc_id"), low, width)).withColumn("tie", F.xxhash64("text"))
     inside = Window.partitionBy("bucket").orderBy(F.col("doc_id").desc_nulls_last(), F.col("tie").desc())
     seen = rows.withColumns({
-        "place": F.row_number().over(inside),
+        "before": F.lag(F.lit(1)).over(inside),
         "next_text": F.lead("text").over(inside),
         "next_vector": F.lead("vector").over(inside),
     })
@@ -102,9 +102,9 @@ def with_next(docs: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFr
     tops = ids.groupBy("super").agg(F.max("bucket").alias("top"))
     ends = tops.select("super", F.coalesce(F.lead("top").over(Window.orderBy(F.col("super").desc())), F.max("top").over(Window.partitionBy(F.lit(1)))).alias("beyond"))
     lower = ids.join(ends, "super").select("bucket", F.coalesce(F.lead("bucket").over(Window.partitionBy("super").orderBy(F.col("bucket").desc())), F.col("beyond")).alias("lower"))
-    first = seen.where(F.col("place") == 1).select(F.col("bucket").alias("lower"), F.col("text").alias("next_text"), F.col("vector").alias("next_vector"))
-    last = seen.where(F.col("next_text").isNull()).drop("next_text", "next_vector").join(lower, "bucket").join(first, "lower").drop("lower")
-    return seen.where(F.col("next_text").isNotNull()).unionByName(last).drop("bucket", "tie", "place")
+    first = seen.where(F.col("before").isNull()).select(F.col("bucket").alias("lower"), F.col("text").alias("next_text"), F.col("vector").alias("next_vector"))
+    last = seen.where(F.col("next_text").isNull()).drop("next_text", "next_vector").join(lower, "bucket", "left").join(first, "lower", "left").drop("lower")
+    return seen.where(F.col("next_text").isNotNull()).unionByName(last).drop("bucket", "tie", "before")
 
 
 def fingerprint_documents(docs: DataFrame, lanes: int = LANES) -> DataFrame:
