@@ -78,7 +78,7 @@ def signed(x: int) -> int:
 def spanning_links(fps: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
     """A forest that connects exactly the values joined by chains of links."""
     a, b = [], []
-    left = np.unique(fps)
+    left = np.unique(fps).view(np.uint64)  # bitwise_count takes the absolute value of signed numbers
     while len(left) > 1:
         front, left = [left[0]], left[1:]
         while front and len(left):
@@ -86,8 +86,8 @@ def spanning_links(fps: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
             near = np.bitwise_count(left ^ x) <= radius
             if near.any():
                 found = left[near]
-                a += [int(x)] * len(found)
-                b += found.tolist()
+                a += [signed(int(x))] * len(found)
+                b += found.view(np.int64).tolist()
                 front += list(found)
                 left = left[~near]
     return a, b
