@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from gleaner.llm.bytepair import LETTER, classes
 from gleaner.llm.common import fold, table
 
-ROWS_PER_LANGUAGE, ROW_CHARS, CHARS_TOTAL = 64, 4000, 120_000
+ROWS_PER_LANGUAGE, ROW_CHARS, CHARS_TOTAL = 64, 4000, 80_000
 MAX_LANGUAGES = 64
 BLOCK = 512
 UNKNOWN = "und"
@@ -93,6 +93,7 @@ class Model:
         texts = [letters_of([samples[k]])[0] for k in self.languages]
         seen, counts = np.unique(np.concatenate([*texts, np.zeros(0, np.int64)]), return_counts=True)
         self.points = np.sort(seen[np.argsort(-counts, kind="stable")][: ALPHABET - 2])
+        self.width = len(self.points) + 2
         self.roots, self.bits, edges, at = [], [], [], 0
         for text in texts:
             follow = suffix_automaton(self.codes(text))
@@ -112,14 +113,15 @@ class Model:
     def transitions(self) -> np.ndarray:
         """By state and code: twice the first cell of the next state, plus 1 if a phrase begins."""
         if self.table is None:
-            owner = np.repeat(np.array(self.roots), np.diff([*self.roots, self.states]))
-            to = np.full((self.states, ALPHABET), -1, np.int32)
-            to[self.edges[:, 0], self.edges[:, 1]] = self.edges[:, 2]
-            begins = (to < 0) | (np.arange(self.states) == owner)[:, None]
-            fresh = np.where(to[owner] < 0, owner[:, None], to[owner])
-            to = np.where(to < 0, fresh, to)
-            to[:, 0], begins[:, 0] = np.arange(self.states), False
-            self.table = (to.astype(np.int32) * ALPHABET * 2 + begins).ravel()
+            to = np.full((self.states, self.width), -1, np.int32)
+            to[self.edges[:, 0], self.edges[:, 1]] = self.edges[:, 2] * (2 * self.width)
+            for root, end in zip(self.roots, [*self.roots[1:], self.states], strict=True):
+                fresh = np.where(to[root] < 0, root * 2 * self.width, to[root]) + 1
+                part = to[root:end]
+                np.copyto(part, fresh, where=part < 0)  # a phrase begins where no longer one goes on
+                part[0] = fresh
+            to[:, 0] = np.arange(self.states, dtype=np.int32) * (2 * self.width)
+            self.table = to.ravel()
         return self.table
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -136,7 +138,7 @@ class Model:
         order = np.argsort(-lengths, kind="stable")
         columns = np.ascontiguousarray(grid[order].T)
         going = np.searchsorted(-lengths[order], -np.arange(BLOCK), side="left")
-        state = np.repeat(np.array(self.roots, np.int32)[:, None] * ALPHABET, len(grid), axis=1)
+        state = np.repeat(np.array(self.roots, np.int32)[:, None] * self.width, len(grid), axis=1)
         count = np.zeros((k, len(grid)), np.int32)
         for step in range(BLOCK):
             n = going[step]
@@ -188,8 +190,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             out = []
-            for i in range(0, len(texts), 1000):
-                names, scores = shared.value.predict(texts.iloc[i : i + 1000].tolist())
+            for i in range(0, len(texts), 500):
+                names, scores = shared.value.predict(texts.iloc[i : i + 500].tolist())
                 out.append(pd.DataFrame({"lang_pred": names, "score": scores}))
             yield pd.concat(out) if out else pd.DataFrame({"lang_pred": [], "score": []})
 
