@@ -72,8 +72,6 @@ class WordTokenizer:
                 to[word] = np.array(coded.ids, self.type).tobytes()
 
     def learn(self, missing: list[str]) -> None:
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
         if len(self.cores) > CACHED_CORES:
             self.cores = {"": b""}
         simple, other = [], []
@@ -89,11 +87,10 @@ class WordTokenizer:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, as little-endian integers of ``type``."""
         split = [(ASCII_SPACE.split(t) if ODD_SPACE.search(t) else t.split()) if t else () for t in texts]
-        distinct = set().union(*split)
-        if missing := distinct.difference(self.words):
+        if len(self.words) > CACHED_WORDS:
+            self.words.clear()
+        if missing := set().union(*split).difference(self.words):
             self.learn(list(missing))
-            if again := distinct.difference(self.words):  # the table was emptied
-                self.learn(list(again))
         return [b"".join(map(self.words.__getitem__, words)) for words in split]
 
 
