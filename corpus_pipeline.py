@@ -31,7 +31,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every token of what is left in a training sequence."""
-    return packing.pack(docs, packing.vocabulary_path())
+    return packing.pack(docs, packing.vocabulary_path(), words=100_000, cores=100_000)  # the stages share the executors' memory
 
 
 STAGES = [

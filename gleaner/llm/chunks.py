@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import table
+from gleaner.llm.common import small_batches, table
 
 #: Code points that decide a cut, and the bits of the hash that must be zero there:
 #: a chunk has 2**MASK_BITS code points on average beyond the smallest.
@@ -80,8 +80,8 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for lo in range(0, len(batch), 500):
-                part = batch.iloc[lo : lo + 500]
+            for lo in range(0, len(batch), 200):
+                part = batch.iloc[lo : lo + 200]
                 ids, starts, sizes, digests, again = [], [], [], [], []
                 for doc, text in zip(part["doc_id"].array, part["text"], strict=True):
                     if not text:
@@ -101,7 +101,7 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
                 words = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 yield pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "start": np.array(starts, np.int32), "size": np.array(sizes, np.int32), "d1": words[:, 0], "d2": words[:, 1], "again": np.array(again, bool)})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, start int, size int, d1 long, d2 long, again boolean")
+    return small_batches(docs).select("doc_id", "text").mapInPandas(run, "doc_id long, start int, size int, d1 long, d2 long, again boolean")
 
 
 LAST = (1 << 63) - 1

@@ -30,6 +30,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of an Arrow batch where whole texts go to Python: a few MB, not tens.
+TEXT_ROWS = 1000
+
+
+def small_batches(df: DataFrame, rows: int = TEXT_ROWS) -> DataFrame:
+    """``df``, with its session's Arrow batches bounded to ``rows`` rows (a smaller
+    bound of the user's own stays): each task holds a batch of texts several times."""
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= rows:
+        conf.set(name, rows)
+    return df
+
+
 def fold(column: Column, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus``; a null id counts as 0."""
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % F.lit(modulus), F.lit(0))

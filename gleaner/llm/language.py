@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.llm.bytepair import LETTER, classes
-from gleaner.llm.common import fold, table
+from gleaner.llm.common import fold, small_batches, table
 
 ROWS_PER_LANGUAGE, ROW_CHARS, CHARS_TOTAL = 64, 4000, 80_000
 MAX_LANGUAGES = 64
@@ -190,12 +190,12 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             out = []
-            for i in range(0, len(texts), 500):
-                names, scores = shared.value.predict(texts.iloc[i : i + 500].tolist())
+            for i in range(0, len(texts), 250):
+                names, scores = shared.value.predict(texts.iloc[i : i + 250].tolist())
                 out.append(pd.DataFrame({"lang_pred": names, "score": scores}))
             yield pd.concat(out) if out else pd.DataFrame({"lang_pred": [], "score": []})
 
-    return docs.withColumn("_p", udf("text")).withColumns({"lang_pred": F.col("_p.lang_pred"), "score": F.col("_p.score")}).drop("_p")
+    return small_batches(docs).withColumn("_p", udf("text")).withColumns({"lang_pred": F.col("_p.lang_pred"), "score": F.col("_p.score")}).drop("_p")
 
 
 def held_out() -> F.Column:

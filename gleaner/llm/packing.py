@@ -52,7 +52,8 @@ class WordTokenizer:
     no merge crosses it, so equal words have equal ids. A word of Latin letters and
     trailing marks is two pieces, whose merges need no normalising or splitting."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, words: int = CACHED_WORDS, cores: int = CACHED_CORES) -> None:
+        self.most_words, self.most_cores = words, cores
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -72,7 +73,7 @@ class WordTokenizer:
                 to[word] = np.array(coded.ids, self.type).tobytes()
 
     def learn(self, missing: list[str]) -> None:
-        if len(self.cores) > CACHED_CORES:
+        if len(self.cores) > self.most_cores:
             self.cores = {"": b""}
         simple, other = [], []
         for word in missing:
@@ -87,7 +88,7 @@ class WordTokenizer:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, as little-endian integers of ``type``."""
         split = [(ASCII_SPACE.split(t) if ODD_SPACE.search(t) else t.split()) if t else () for t in texts]
-        if len(self.words) > CACHED_WORDS:
+        if len(self.words) > self.most_words:
             self.words.clear()
         if missing := set().union(*split).difference(self.words):
             self.learn(list(missing))
@@ -95,8 +96,8 @@ class WordTokenizer:
 
 
 @cache
-def tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+def tokenizer(path: str, words: int = CACHED_WORDS, cores: int = CACHED_CORES) -> WordTokenizer:
+    return WordTokenizer(path, words, cores)
 
 
 def served(tokens: np.ndarray, totals: np.ndarray) -> np.ndarray:
@@ -169,8 +170,9 @@ def queue_of(sources: int, limit: int = MAX_QUEUES) -> F.Column:
     return named if sources <= limit else F.pmod(F.xxhash64(named), F.lit(limit)).cast("string")
 
 
-def pack(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, end: int = END) -> DataFrame:
-    """One row per piece of ``docs(doc_id, text, source)``; every token is in one piece."""
+def pack(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, end: int = END, words: int = CACHED_WORDS, cores: int = CACHED_CORES) -> DataFrame:
+    """One row per piece of ``docs(doc_id, text, source)``; every token is in one piece.
+    ``words`` and ``cores`` bound a worker's tables; smaller ones take less memory and more time."""
     low, width = id_buckets(docs.select("doc_id"), "doc_id", ROWS_PER_BUCKET)
     queue = queue_of(docs.agg(F.approx_count_distinct("source")).first()[0] + 1)
     docs = docs.withColumns({"queue": queue, "bucket": bucket_of(F.col("doc_id"), low, width), "tie": F.xxhash64("text")})
@@ -178,7 +180,7 @@ def pack(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, end: int =
     wide = int(kind[-1])
 
     def tokenise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder, stop = tokenizer(vocabulary), np.array([end], kind).tobytes()
+        coder, stop = tokenizer(vocabulary, words, cores), np.array([end], kind).tobytes()
         for batch in batches:
             for i in range(0, len(batch), 256):
                 part = batch.iloc[i : i + 256]

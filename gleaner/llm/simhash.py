@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import components, cut, table
+from gleaner.llm.common import components, cut, small_batches, table
 
 RADIUS = 3
 SHINGLE = 3
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     def udf(texts: pd.Series) -> pd.Series:
         return pd.Series([simhash(t, size) for t in texts], dtype="int64")
 
-    return docs.withColumn("fp", udf("text"))
+    return small_batches(docs).withColumn("fp", udf("text"))
 
 
 def covering_masks(radius: int = RADIUS, seed: int = 1) -> list[int]:
