@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleaner.llm import chunks, language, packing, simhash
+from gleaner.llm import chunks, language, packing, shingles
 from gleaner.llm.common import shared_folder, table
 
 
@@ -20,8 +20,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: 0.8 or more of five-word shingles."""
-    return simhash.keep_one(docs)
+    """Near copies of an earlier document that stays go: 0.8 or more of five-word shingles."""
+    return shingles.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -141,9 +141,3 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS)
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest id."""
-    found = near_duplicates(docs, size, radius).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_semi")
