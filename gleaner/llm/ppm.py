@@ -8,10 +8,11 @@ byte) leads to the next shorter context, where the bytes that the longer one has
 seen are excluded.
 A text's score is the sum of log10 of its bytes' probabilities.
 
-All training rows are counted. A context is kept if it holds at least one in
-``CONTEXTS`` of all training bytes, so the trie that every worker gets has at most
-``CONTEXTS`` contexts of each order, however large the corpus is; shorter contexts
-take over for the rest. Word counts for the base score are exact and distributed:
+All training rows and contexts are counted. A context is frequent if it holds at
+least one in ``CONTEXTS`` of all training bytes; the trie that every worker gets has
+the frequent contexts (at most ``CONTEXTS`` of each order) and all of up to ``WHOLE``
+bytes. A byte after any other context is decided from the table of all counts, once
+for each distinct gram, and joined, so ``CONTEXTS`` changes no score. Word counts for the base score are exact and distributed:
 words that hold at least one in ``FREQUENT`` of all tokens (so at most that many)
 are broadcast, all others are joined.
 
@@ -35,6 +36,10 @@ from gleaner.llm.common import cut, fold, table
 
 ORDER = 5
 CONTEXTS = 2_000_000
+#: Contexts of up to so many bytes are broadcast whole; the table of counts is dealt by the next longer ones.
+WHOLE = 2
+#: Rows of that table that are decided together.
+TABLE_ROWS = 1_000_000
 FREQUENT = 50_000
 #: The end token: no word holds white space.
 END = b"\n"
@@ -187,6 +192,20 @@ class Trie:
             out[missing] = self.escape(distinct)[back]
         return out
 
+    def frequent(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same, 0 after contexts that this trie lacks; and where those are."""
+        if self.maps is None:
+            self.open()
+        place = self.maps[-1][0].find(keys)
+        out = self.seen[place]
+        missing = np.flatnonzero(place < 0)
+        distinct, back = np.unique(keys[missing], return_inverse=True)
+        held = self.maps[-1][1].find(distinct >> 8) >= 0 if self.order > WHOLE else np.ones(len(distinct), bool)
+        found = np.zeros(len(distinct))
+        found[held] = self.escape(distinct[held])
+        out[missing] = found[back]
+        return out, missing[~held[back]]
+
     def escape(self, keys: np.ndarray) -> np.ndarray:
         """The same for grams that the highest order may not have seen, by way of
         escapes with exclusion of what longer contexts have seen."""
@@ -216,23 +235,75 @@ class Trie:
         return out
 
 
-def fit(docs: DataFrame, order: int = ORDER, contexts: int = CONTEXTS) -> Trie:
-    """The trie of all rows of ``docs(text)``. What reaches the driver is bounded:
-    contexts with at least one in ``contexts`` of all bytes."""
-    top = cut(count_grams(docs, order))
+def fit(top: DataFrame, order: int = ORDER, contexts: int = CONTEXTS) -> Trie:
+    """The trie of the frequent contexts of ``top(gram, n)``. What reaches the driver
+    is bounded: contexts with at least one in ``contexts`` of all bytes, and all of
+    up to ``WHOLE`` bytes."""
     least = (top.agg(F.sum("n")).first()[0] or 0) / contexts
     keys, counts = [], []
     for k in range(order, -1, -1):
         bits = (1 << (8 * (k + 1))) - 1
         level = top.groupBy(F.col("gram").bitwiseAND(F.lit(bits)).alias("gram")).agg(F.sum("n").alias("n"))
-        context = F.shiftright("gram", 8)
-        kept = level.groupBy(context.alias("context")).agg(F.sum("n").alias("total")).where(F.col("total") >= least)
-        found = level.withColumn("context", context).join(kept, "context").select("gram", "n").toArrow()
+        if k > WHOLE:
+            context = F.shiftright("gram", 8)
+            kept = level.groupBy(context.alias("context")).agg(F.sum("n").alias("total")).where(F.col("total") >= least)
+            level = level.withColumn("context", context).join(kept, "context")
+        found = level.select("gram", "n").toArrow()
         keys.append(found["gram"].to_numpy() | k << 56)
         counts.append(found["n"].to_numpy())
     return Trie(np.concatenate(keys), np.concatenate(counts), order)
 
 
+def decide(top: DataFrame, wanted: DataFrame, model, order: int = ORDER) -> DataFrame:
+    """(gram, p): log10 of the probability of each of ``wanted(gram)`` by all counts of
+    ``top(gram, n)``. Grams whose contexts end in the same bytes meet in one task, and
+    with the broadcast ``model`` of shorter contexts that is all a gram needs."""
+
+    def solved(gram: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+        asked, learned, count = gram[n == 0], gram[n > 0], n[n > 0]
+        if not len(asked):
+            return pd.DataFrame({"gram": asked, "p": np.zeros(0)})
+        keys = [x["gram"] | k << 56 for k, x in enumerate(model.value.levels[: WHOLE + 1])]
+        counts = [x["n"] for x in model.value.levels[: WHOLE + 1]]
+        for k in range(WHOLE + 1, order + 1):
+            unique, back = np.unique(learned & ((1 << (8 * (k + 1))) - 1), return_inverse=True)
+            keys.append(unique | k << 56)
+            counts.append(np.bincount(back, weights=count, minlength=len(unique)).astype(np.int64))
+        return pd.DataFrame({"gram": asked, "p": Trie(np.concatenate(keys), np.concatenate(counts), order).log10(asked)})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts: list[pd.DataFrame] = []
+        rows = 0
+        for batch in batches:
+            parts.append(batch)
+            rows += len(batch)
+            if rows >= TABLE_ROWS:
+                end = pd.concat(parts)
+                ends = end["ending"].to_numpy()
+                last = np.searchsorted(ends, ends[-1])  # the last ending may go on in the next batch
+                if last:
+                    yield solved(end["gram"].to_numpy()[:last], end["n"].to_numpy()[:last])
+                    end = end.iloc[last:]
+                parts, rows = [end], len(end) if last else 0
+        if parts:
+            end = pd.concat(parts)
+            yield solved(end["gram"].to_numpy(), end["n"].to_numpy())
+
+    both = top.select("gram", "n").unionByName(wanted.select("gram", F.lit(0).cast("long").alias("n")))
+    both = both.withColumn("ending", F.shiftright("gram", 8).bitwiseAND(F.lit((1 << (8 * (WHOLE + 1))) - 1)))
+    return both.repartition("ending").sortWithinPartitions("ending").mapInPandas(run, "gram long, p double")
+
+
+def per_row(keys: np.ndarray, owner: np.ndarray, rows: int) -> tuple[list, list]:
+    """The distinct keys of each row, and how often the row has each."""
+    by = np.lexsort((keys, owner))
+    keys, owner = keys[by], owner[by]
+    first = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1]))) if len(keys) else np.zeros(0, int)
+    times = np.diff(np.append(first, len(keys))).astype(np.int32)
+    at = np.searchsorted(owner[first], np.arange(1, rows))
+    return np.split(keys[first], at), np.split(times, at)
+
+
 def score(docs: DataFrame, training: F.Column, order: int = ORDER, contexts: int = CONTEXTS) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: the counts, the base score and the score."""
     docs = docs.select("doc_id", "text", (~training).alias("held_out"))
@@ -242,7 +313,8 @@ def score(docs: DataFrame, training: F.Column, order: int = ORDER, contexts: int
     frequent = F.col("c") >= max(1, n / FREQUENT)
     heavy = {bytes(w): float(np.log10(c + 0.5)) for w, c in zip(*words.where(frequent).toArrow().to_pydict().values(), strict=True)}
     context = docs.sparkSession.sparkContext
-    model, common = context.broadcast(fit(learned, order, contexts)), context.broadcast(heavy)
+    top = cut(count_grams(learned, order))
+    model, common = context.broadcast(fit(top, order, contexts)), context.broadcast(heavy)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, trie = common.value, model.value
@@ -251,7 +323,9 @@ def score(docs: DataFrame, training: F.Column, order: int = ORDER, contexts: int
                 part = batch.iloc[i : i + 500]
                 texts = part["text"].tolist()
                 keys, sizes = grams_of(texts, order)
-                sums = np.add.reduceat(trie.log10(keys), np.cumsum(sizes) - sizes)
+                logs, others = trie.frequent(keys)
+                sums = np.add.reduceat(logs, np.cumsum(sizes) - sizes)
+                grams, often = per_row(keys[others], np.repeat(np.arange(len(sizes)), sizes)[others], len(sizes))
                 rows = []
                 for text in texts:
                     found = Counter(words_of(text))
@@ -268,17 +342,20 @@ def score(docs: DataFrame, training: F.Column, order: int = ORDER, contexts: int
                             hits += k
                     rows.append((total, hits, base, rare, times))
                 out = pd.DataFrame(rows, columns=["n_tokens", "hits", "base", "rare", "times"])
-                yield out.assign(doc_id=part["doc_id"].array, held_out=part["held_out"].array, score=sums)
+                yield out.assign(doc_id=part["doc_id"].array, held_out=part["held_out"].array, score=sums, grams=grams, often=often)
 
-    schema = "doc_id long, held_out boolean, n_tokens long, hits long, base double, score double, rare array<binary>, times array<int>"
+    schema = "doc_id long, held_out boolean, n_tokens long, hits long, base double, score double, rare array<binary>, times array<int>, grams array<long>, often array<int>"
     scored = cut(docs.mapInPandas(run, schema).withColumn("row", F.monotonically_increasing_id()))
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("k"))
     logged = F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5)) * F.col("k")
     others = rare.join(words.where(~frequent), "word", "left").groupBy("row").agg(F.sum(logged).alias("more"), F.sum(F.when(F.col("c").isNotNull(), F.col("k")).otherwise(0)).alias("found"))
+    asked = scored.select("row", F.explode(F.arrays_zip("grams", "often")).alias("x")).select("row", F.col("x.grams").alias("gram"), F.col("x.often").alias("k"))
+    solved = decide(top, asked.select("gram").distinct(), model, order)
+    escaped = asked.join(solved, "gram").groupBy("row").agg(F.sum(F.col("k") * F.col("p")).alias("rest"))
     norm = float(np.log10(n + 0.5 * (v + 1)))
-    return scored.drop("rare", "times").join(others, "row", "left").select(
+    return scored.drop("rare", "times", "grams", "often").join(others, "row", "left").join(escaped, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("hits") + F.coalesce("found", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * F.lit(norm)).alias("base_score"), "score",
+        (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * F.lit(norm)).alias("base_score"), (F.col("score") + F.coalesce("rest", F.lit(0.0))).alias("score"),
     )
 
 
