@@ -12,15 +12,15 @@ Only digests and numbers are shuffled to find repeats; frequent digests are summ
 before the shuffle. Texts move once, to be cut.
 
 Defined cases: a null text stays null and has no chunks; an empty text stays empty;
-a row without an id never owns a passage that a row with an id holds, and is joined
-by its own null; rows that repeat an id are taken as one document (the passages of
-equal rows are kept in both); a text of any length is cut whole; no rows give no
+a row without an id never owns a passage that a row with an id holds; each is a document of its own, as is each row that repeats an id (such rows, and
+only they, are written to the shared folder to number them); a text of any length is cut whole; no rows give no
 rows; other columns pass through ``remove_repeats`` untouched.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import small_batches, table
+from gleaner.llm.common import shared_folder, small_batches, table
 
 #: Code points that decide a cut, and the bits of the hash that must be zero there:
 #: a chunk has 2**MASK_BITS code points on average beyond the smallest.
@@ -74,16 +74,16 @@ def cuts(points: np.ndarray) -> list[int]:
     return out
 
 
-def chunk_rows(docs: DataFrame) -> DataFrame:
+def chunk_rows(docs: DataFrame, nth: bool = False) -> DataFrame:
     """(doc_id, start, size, d1, d2, again): a row per chunk; ``again`` marks a
-    chunk that the same text holds before."""
+    chunk that the same text holds before; and ``_nth`` if asked for."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lo in range(0, len(batch), 200):
                 part = batch.iloc[lo : lo + 200]
-                ids, starts, sizes, digests, again = [], [], [], [], []
-                for doc, text in zip(part["doc_id"].array, part["text"], strict=True):
+                ids, numbers, starts, sizes, digests, again = [], [], [], [], [], []
+                for doc, number, text in zip(part["doc_id"].array, part["_nth"] if nth else [0] * len(part), part["text"], strict=True):
                     if not text:
                         continue
                     raw = text.encode("utf-32-le", "surrogatepass")
@@ -98,30 +98,49 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
                         seen.add(digest)
                         at = end
                     ids += [None if pd.isna(doc) else int(doc)] * len(ends)
+                    numbers += [number] * len(ends)
                 words = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-                yield pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "start": np.array(starts, np.int32), "size": np.array(sizes, np.int32), "d1": words[:, 0], "d2": words[:, 1], "again": np.array(again, bool)})
+                out = pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "start": np.array(starts, np.int32), "size": np.array(sizes, np.int32), "d1": words[:, 0], "d2": words[:, 1], "again": np.array(again, bool)})
+                yield out.assign(_nth=np.array(numbers, np.int64)) if nth else out
 
-    return small_batches(docs).select("doc_id", "text").mapInPandas(run, "doc_id long, start int, size int, d1 long, d2 long, again boolean")
+    schema = "doc_id long, start int, size int, d1 long, d2 long, again boolean" + ", _nth long" * nth
+    return small_batches(docs).select("doc_id", "text", *["_nth"] * nth).mapInPandas(run, schema)
 
 
 LAST = (1 << 63) - 1
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_nth``: with the id it tells rows apart. It is a constant 0 if all
+    ids are there once; else only the other rows are numbered, from 1."""
+    ids = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_id"))
+    if ids.isEmpty():
+        return docs.withColumn("_nth", F.lit(0).cast("long"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    path = f"{shared_folder(docs.sparkSession)}/numbered-{uuid.uuid4().hex}"
+    docs.join(ids, same, "left_semi").withColumn("_nth", F.monotonically_increasing_id() + 1).write.parquet(path)
+    return docs.join(ids, same, "left_anti").withColumn("_nth", F.lit(0).cast("long")).unionByName(docs.sparkSession.read.parquet(path))
+
+
 def repeats(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
-    """(doc_id, spans, n_chunks_again): the spans (start, size, first_doc) to take
-    out of each document that has any, in order."""
-    key = F.coalesce("doc_id", F.lit(LAST))
-    chunks = chunk_rows(docs)
-    shared = chunks.groupBy("d1", "d2").agg(F.min(key).alias("first_doc"), F.max(key).alias("last_doc"), F.max("again").alias("twice"))
-    shared = shared.where((F.col("first_doc") < F.col("last_doc")) | F.col("twice")).select("d1", "d2", "first_doc")
-    held = chunks.join(shared, ["d1", "d2"]).where((key > F.col("first_doc")) | F.col("again"))
+    """(doc_id, _nth, spans): the spans (start, size, first_doc) to take out of each
+    row of ``docs``, as numbered, that has any, in order."""
+    plain = F.coalesce("doc_id", F.lit(LAST))
+    many = docs.where("_nth > 0").select("doc_id", "_nth", "text")
+    chunks, key = chunk_rows(docs.where("_nth = 0")).withColumn("_nth", F.lit(0).cast("long")), plain
+    if not many.isEmpty():
+        chunks, key = chunks.unionByName(chunk_rows(many, nth=True)), F.struct(plain.alias("o"), "_nth")
+    shared = chunks.groupBy("d1", "d2").agg(F.min(key).alias("first"), F.max(key).alias("last"), F.max("again").alias("twice"))
+    shared = shared.where((F.col("first") < F.col("last")) | F.col("twice")).select("d1", "d2", "first")
+    held = chunks.join(shared, ["d1", "d2"]).where((key > F.col("first")) | F.col("again"))
+    held = held.withColumn("first_doc", F.col("first") if key is plain else F.col("first.o"))
 
     @F.pandas_udf("array<struct<start:int,size:int,first_doc:long>>")
     def runs(series: pd.Series) -> pd.Series:
         return pd.Series([merged(x, min_run) for x in series])
 
-    lists = held.groupBy("doc_id").agg(F.collect_list(F.struct("start", "size", "first_doc")).alias("all"))
-    return lists.select("doc_id", runs("all").alias("spans")).where(F.size("spans") > 0)
+    lists = held.groupBy("doc_id", "_nth").agg(F.collect_list(F.struct("start", "size", "first_doc")).alias("all"))
+    return lists.select("doc_id", "_nth", runs("all").alias("spans")).where(F.size("spans") > 0)
 
 
 def merged(chunks: list[dict], min_run: int) -> list[dict]:
@@ -137,8 +156,9 @@ def merged(chunks: list[dict], min_run: int) -> list[dict]:
 
 def remove_repeats(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text``, and ``_spans``, what was cut."""
-    spans = repeats(docs, min_run).select(F.col("doc_id").alias("_doc"), F.col("spans").alias("_spans"))
-    joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").drop("_doc")
+    docs = numbered(docs)
+    spans = repeats(docs, min_run).select(F.col("doc_id").alias("_doc"), F.col("_nth").alias("_row"), F.col("spans").alias("_spans"))
+    joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_nth") == F.col("_row")), "left").drop("_doc", "_row", "_nth")
     # the kept pieces: before each span from the end of the one before, and after the last
     ends = F.concat(F.array(F.lit(0)), F.transform("_spans", lambda s: s["start"] + s["size"]))
     starts = F.concat(F.transform("_spans", lambda s: s["start"]), F.array(F.length("text")))
