@@ -91,7 +91,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Alternating large-star and small-star steps (Kiveris et al., 2014). A hub
     only ever meets an aggregated minimum, never a collected neighbour list.
-    Each round is materialised in the shared checkpoint folder.
+    Each round is materialised in the shared checkpoint folder. Raises an error if
+    ``rounds`` are not enough.
     """
     one = cut(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     seen = None
@@ -108,4 +109,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if now == seen:
             break
         seen = now
+    else:
+        raise RuntimeError(f"components have not converged in {rounds} rounds")
     return one.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component").unionByName(one.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

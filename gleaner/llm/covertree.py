@@ -159,12 +159,17 @@ def forest(i: np.ndarray, j: np.ndarray, n: int, m: int, same: bool) -> tuple[np
     return i[kept], j[kept]
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """The rows that can link, with the vector in double precision."""
+def can_link() -> F.Column:
+    """Whether a row has a label and a finite vector other than zero; never null."""
     v = F.col("embedding")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     fine = F.col("label").isNotNull() & v.isNotNull() & (F.size(v) > 0) & ~bad & F.exists(v, lambda x: x != 0)
-    return vectors.where(fine).select("vec_id", "label", v.cast("array<double>").alias("v"))
+    return F.coalesce(fine, F.lit(False))
+
+
+def usable(vectors: DataFrame) -> DataFrame:
+    """The rows that can link, with the vector in double precision."""
+    return vectors.where(can_link()).select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -237,7 +242,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     lowest = grouped.groupBy("c").agg(F.min("low").alias("component_id"))
     known = grouped.join(lowest, "c").join(counts, "rep", "left").select("rep", "component_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     members = rows.join(reps.select("label", "dim", "v", "rep"), ["label", "dim", "v"]).join(known, "rep").select("vec_id", "n_links", "component_id")
-    alone = vectors.join(members.select("vec_id").distinct(), "vec_id", "left_anti").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    alone = vectors.where(~can_link()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return members.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
