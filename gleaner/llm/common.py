@@ -48,18 +48,36 @@ def fold(column: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % F.lit(modulus), F.lit(0))
 
 
-def id_buckets(df: DataFrame, key: str, rows_per_bucket: int) -> tuple[int, int]:
-    """(lowest id, ids per bucket) so that a bucket holds about
-    ``rows_per_bucket`` rows. One row of statistics reaches the driver."""
-    low, high, rows = df.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
-    if low is None:
-        return 0, 1
-    return low - 1, max(1, (high - low + 2) * rows_per_bucket // max(rows, 1))
-
-
-def bucket_of(key: Column, low: int, width: int) -> Column:
-    """Bucket number, never null; rows without an id come before the lowest id."""
-    return F.coalesce(F.floor((F.coalesce(key, F.lit(low)) - F.lit(low)) / F.lit(width)).cast("long"), F.lit(0))
+def ordered_buckets(df: DataFrame, key: str, tie: str, rows_per_bucket: int, ranges: int = 256) -> Column:
+    """The number of a row's bucket: buckets follow the order of (key, tie), rows
+    without a key come first, and a bucket holds about ``rows_per_bucket`` rows.
+
+    Keys are cut into ``ranges`` by approximate quantiles, and each range evenly by its
+    own ends, so an outlying key widens the buckets of its own range alone; a key that
+    holds a range of its own is cut by ``tie``, an evenly spread hash. At most
+    2 * ``ranges`` + 2 rows of statistics reach the driver."""
+    k = F.col(key).cast("long")
+    found = df.agg(F.percentile_approx(k, [i / ranges for i in range(ranges)], 10 * ranges)).first()[0] or []
+    edges = sorted(set(found) | {x + 1 for x in found if found.count(x) > 1 and x < 2**63 - 1})
+    step = 24
+    blocks = [edges[i : i + step] for i in range(0, len(edges), step)] or [[]]
+    heads = F.lit([b[0] for b in blocks if b][1:]).cast("array<long>")
+    below = lambda bounds: F.size(F.filter(bounds, lambda e: e <= k))
+    block = below(heads)
+    number = block * F.lit(step) + below(F.element_at(F.array(*[F.lit(b).cast("array<long>") for b in blocks]), block + 1))
+    rank = F.when(k.isNull(), F.lit(-1)).otherwise(number)
+    stats = {r["r"]: r for r in df.groupBy(rank.alias("r")).agg(F.count(F.lit(1)).alias("n"), F.min(k).alias("lo"), F.max(k).alias("hi")).collect()}
+    first, cells = 0, []
+    for r in range(-1, len(edges) + 1):
+        n, lo, hi = (stats[r]["n"], stats[r]["lo"], stats[r]["hi"]) if r in stats else (0, None, None)
+        count = -(-n // rows_per_bucket)
+        cells.append((first, max(count, 1), float(lo or 0), float(hi - lo + 1) if n and lo is not None and hi > lo else 0.0))
+        first += count
+    at = lambda i, kind: F.element_at(F.lit([c[i] for c in cells]).cast(f"array<{kind}>"), rank + F.lit(2))
+    evenly = F.col(tie).cast("double") / F.lit(2.0**64) + F.lit(0.5)
+    share = F.when(at(3, "double") > 0, (k.cast("double") - at(2, "double")) / at(3, "double")).otherwise(evenly)
+    inside = F.least(F.floor(share * at(1, "long")).cast("long"), at(1, "long") - 1)
+    return at(0, "long") + F.greatest(F.coalesce(inside, F.lit(0)), F.lit(0))
 
 
 def bases(sums: DataFrame, group: str, bucket: str, value: str, fan: int = 1024) -> DataFrame:

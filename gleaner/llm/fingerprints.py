@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import bucket_of, id_buckets, table
+from gleaner.llm.common import ordered_buckets, table
 
 LANES = 192
 ROWS_PER_BUCKET = 64
@@ -90,15 +90,16 @@ def with_next(docs: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFr
     Only the last row of a range needs the first row of the next lower range that
     has rows; those few rows meet in a second, small join.
     """
-    low, width = id_buckets(docs.select("doc_id"), "doc_id", rows_per_bucket)
-    rows = docs.withColumn("bucket", bucket_of(F.col("doc_id"), low, width)).withColumn("tie", F.xxhash64("text"))
+    keys = docs.select("doc_id", F.xxhash64("text").alias("tie"))
+    bucket = ordered_buckets(keys, "doc_id", "tie", rows_per_bucket)
+    rows = docs.withColumn("tie", F.xxhash64("text")).withColumn("bucket", bucket)
     inside = Window.partitionBy("bucket").orderBy(F.col("doc_id").desc_nulls_last(), F.col("tie").desc())
     seen = rows.withColumns({
         "before": F.lag(F.lit(1)).over(inside),
         "next_text": F.lead("text").over(inside),
         "next_vector": F.lead("vector").over(inside),
     })
-    ids = docs.select(bucket_of(F.col("doc_id"), low, width).alias("bucket")).distinct().withColumn("super", F.floor(F.col("bucket") / F.lit(4096)))
+    ids = keys.select(bucket.alias("bucket")).distinct().withColumn("super", F.floor(F.col("bucket") / F.lit(4096)))
     tops = ids.groupBy("super").agg(F.max("bucket").alias("top"))
     ends = tops.select("super", F.coalesce(F.lead("top").over(Window.orderBy(F.col("super").desc())), F.max("top").over(Window.partitionBy(F.lit(1)))).alias("beyond"))
     lower = ids.join(ends, "super").select("bucket", F.coalesce(F.lead("bucket").over(Window.partitionBy("super").orderBy(F.col("bucket").desc())), F.col("beyond")).alias("lower"))

@@ -1,13 +1,18 @@
 """Packing by deficit round-robin over source queues.
 
 Every source is a queue of its documents' tokens, in the order of ``doc_id``. Each
-sequence is filled by one round: a queue's quantum is its share of all tokens; its
-deficit grows by the quantum, whole tokens are served, the fraction is carried on.
-Slots that the fractions leave free go to the queues whose next token is due first.
-The deficits at the start of any sequence follow from its number alone, so they are
-carried across partitions without running the partitions one after another, and
-documents are cut where a queue's share of a sequence ends. The last tokens, fewer
-than a sequence, are cut into sequences of powers of two, which need no padding.
+sequence is filled by one round: a queue's quantum is its target share of the
+sequence; its deficit grows by the quantum, whole tokens are served, the fraction is
+carried on. That order is the one of due times: a queue's k-th token is due at
+k / weight, and the earliest due token of all queues comes next. The deficits at the
+start of any sequence therefore follow from its number alone, so they are carried
+across partitions without running the partitions one after another, and documents
+are cut where a queue's share of a sequence ends. The last tokens, fewer than a
+sequence, are cut into sequences of powers of two, which need no padding.
+
+The target shares are ``weights`` by source (others have ``OTHER_WEIGHT``); without
+them every queue has its share of all tokens, so that all run out together. A queue
+that runs out leaves its room to the others, by their weights.
 
 Texts are tokenised once; their ids, as narrow integers, are written to the shared
 checkpoint folder, counted there, and shuffled once to the place where they are cut.
@@ -24,6 +29,7 @@ import json
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -32,67 +38,121 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import bases, bucket_of, cut, id_buckets, table
+from gleaner.llm.common import bases, cut, ordered_buckets, table
 
 SEQUENCE = 4096
 END = 2
 MAX_QUEUES = 4096
+OTHER_WEIGHT = 1.0
 ROWS_PER_BUCKET = 512
-#: Entries of a worker's tables of words and of their letters; emptied when full.
-CACHED_WORDS, CACHED_CORES = 600_000, 400_000
+#: Texts that are tokenised together, and texts that are cut together.
+TEXTS, ROWS = 512, 256
+#: Sequences times queues that are looked at together.
+CELLS = 1 << 18
+#: Entries of each generation of a worker's tables of words and of their letters.
+CACHED_WORDS, CACHED_CORES = 300_000, 200_000
+#: The normaliser and splitter (fixed values) of the vocabulary whose words can be told apart beforehand.
+NORMALISERS = ["NFC", "Replace", "Lowercase"]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORD_END = "</w>"
 #: White space that str.split() or the tokenizer treats on its own terms.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 ASCII_SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
-#: Latin letters, which NFC keeps and which are lowered one by one, then ASCII marks without an apostrophe or digits.
-CORE = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\\[-`{-~]*)")
+#: A line of Latin letters, which NFC keeps and which are lowered one by one, then of
+#: ASCII marks without an apostrophe or digits; or any other line.
+PARTS = re.compile("^(?:([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\\[-`{-~]*)|(.+))$", re.M)
+
+
+class Generations:
+    """A bounded table: when the young half is full it becomes the old one, and what
+    is looked up there comes back, so entries in use stay."""
+
+    def __init__(self, most: int) -> None:
+        self.most, self.young, self.old = most, {}, {}
+
+    def missing(self, wanted: set) -> set:
+        """Those of ``wanted`` that are in neither half; all others are in ``young`` then."""
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        out = wanted.difference(self.young)
+        if out and self.old:
+            again = out & self.old.keys()
+            self.young.update(zip(again, map(self.old.__getitem__, again), strict=True))
+            out -= again
+        return out
 
 
 class WordTokenizer:
     """Token ids of whole texts, word by word: the tokenizer drops white space and
     no merge crosses it, so equal words have equal ids. A word of Latin letters and
-    trailing marks is two pieces, whose merges need no normalising or splitting."""
+    trailing marks is two pieces, whose merges need no normalising or splitting.
+    A vocabulary with another normaliser or splitter encodes whole texts."""
 
     def __init__(self, path: str, words: int = CACHED_WORDS, cores: int = CACHED_CORES) -> None:
-        self.most_words, self.most_cores = words, cores
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.inner = Tokenizer.from_file(path)
         self.inner.encode_special_tokens = True  # their strings in a text are ordinary text
-        spec = json.loads(self.inner.to_str()) | {"normalizer": None, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}}
-        self.plain = Tokenizer.from_str(json.dumps(spec))
-        self.plain.encode_special_tokens = True
-        self.type = "<u2" if self.inner.get_vocab_size() <= 1 << 16 else "<u4"
-        self.words: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {"": b""}
-
-    def add(self, tokenizer, found: list[str], to: dict[str, bytes]) -> None:
+        size = self.inner.get_vocab_size()
+        self.type = "<u2" if size <= 1 << 16 else "<u4"
+        self.letter = "H" if self.type == "<u2" else "I"
+        spec = json.loads(self.inner.to_str())
+        self.by_words = splits_into_words(spec)
+        if self.by_words:
+            pieces = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+            self.plain = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": pieces}))
+            self.plain.encode_special_tokens = True
+            self.ends = np.zeros(size, bool)
+            for piece, i in self.inner.get_vocab().items():
+                self.ends[i] = piece.endswith(WORD_END)
+        self.words, self.cores = Generations(words), Generations(cores)
+
+    def narrow(self, coded: list) -> list[bytes]:
+        return [array(self.letter, x.ids).tobytes() for x in coded]
+
+    def learn_cores(self, found: list[str]) -> None:
+        """Pieces without white space, of letters or of marks: many in one call, told
+        apart in the result by the ids that end a word."""
+        wide = int(self.type[-1])
         for i in range(0, len(found), 20_000):
             part = found[i : i + 20_000]
-            for word, coded in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                to[word] = np.array(coded.ids, self.type).tobytes()
+            lines = [" ".join(part[k : k + 1000]) for k in range(0, len(part), 1000)]
+            raw = b"".join(self.narrow(self.plain.encode_batch_fast(lines, add_special_tokens=False)))
+            ends = ((np.flatnonzero(self.ends[np.frombuffer(raw, self.type)]) + 1) * wide).tolist()
+            self.cores.young.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
 
     def learn(self, missing: list[str]) -> None:
-        if len(self.cores) > self.most_cores:
-            self.cores = {"": b""}
-        simple, other = [], []
-        for word in missing:
-            if match := CORE.fullmatch(word):
-                simple.append((word, match[1].lower(), match[2]))
-            else:
-                other.append(word)
-        self.add(self.plain, list({x for _, a, b in simple for x in (a, b)}.difference(self.cores)), self.cores)
-        self.add(self.inner, other, self.words)
-        self.words.update((word, self.cores[a] + self.cores[b]) for word, a, b in simple)
+        parts = PARTS.findall("\n".join(missing))
+        letters = "\n".join([p[0] for p in parts]).lower().split("\n")
+        new = self.cores.missing(set(letters).union([p[1] for p in parts]))
+        self.learn_cores([x for x in new if x])
+        core, known = self.cores.young, self.words.young
+        core[""] = b""
+        known.update(zip([p[0] + p[1] for p in parts], [core[a] + core[p[1]] for a, p in zip(letters, parts, strict=True)], strict=True))
+        known[""] = b""
+        other = [p[2] for p in parts if p[2]]
+        for i in range(0, len(other), 20_000):
+            part = other[i : i + 20_000]
+            known.update(zip(part, self.narrow(self.inner.encode_batch_fast(part, add_special_tokens=False)), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, as little-endian integers of ``type``."""
+        if not self.by_words:
+            return self.narrow(self.inner.encode_batch_fast([t or "" for t in texts], add_special_tokens=False))
         split = [(ASCII_SPACE.split(t) if ODD_SPACE.search(t) else t.split()) if t else () for t in texts]
-        if len(self.words) > self.most_words:
-            self.words.clear()
-        if missing := set().union(*split).difference(self.words):
+        wanted = set().union(*split)
+        if missing := self.words.missing(wanted):
             self.learn(list(missing))
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+        found = self.words.young.__getitem__
+        return [b"".join(map(found, words)) for words in split]
+
+
+def splits_into_words(spec: dict) -> bool:
+    """Whether a tokenizer drops white space, lowers case and ends each word with its own pieces."""
+    normalisers = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+    first = next(iter((spec["pre_tokenizer"] or {}).get("pretokenizers", [])), {})
+    return normalisers == NORMALISERS and first.get("pattern") == {"Regex": SPLIT} and first.get("invert") is True and spec["model"].get("end_of_word_suffix") == WORD_END
 
 
 @cache
@@ -100,32 +160,12 @@ def tokenizer(path: str, words: int = CACHED_WORDS, cores: int = CACHED_CORES) -
     return WordTokenizer(path, words, cores)
 
 
-def served(tokens: np.ndarray, totals: np.ndarray) -> np.ndarray:
-    """How many tokens each queue has handed over when ``tokens`` are packed.
-
-    The floor of each queue's entitlement; the rest goes, one by one, to the queue
-    whose next token has the earliest due time (its rank over the queue's total).
-    """
-    n = int(totals.sum())
-    exact = int(totals.max(initial=0)) * n < 2**62
-    kind = np.int64 if exact else object
-    base = (tokens.astype(kind)[:, None] * totals.astype(kind)[None, :] // n).astype(np.int64)
-    rest = tokens - base.sum(axis=1)
-    rows = np.flatnonzero(rest)
-    weight = np.maximum(totals, 1).astype(np.longdouble)
-    while len(rows):
-        due = np.where(base[rows] < totals, (base[rows] + 1) / weight, np.inf)
-        base[rows, due.argmin(axis=1)] += 1
-        rest[rows] -= 1
-        rows = rows[rest[rows] > 0]
-    return base
-
-
 class Plan:
-    """Where the tokens of each queue go, from the queues' totals alone."""
+    """Where the tokens of each queue go, from the queues' totals and weights alone."""
 
-    def __init__(self, totals: list[int], sequence: int = SEQUENCE) -> None:
+    def __init__(self, totals: list[int], sequence: int = SEQUENCE, weights: list[float] | None = None) -> None:
         self.totals, self.sequence = np.array(totals, np.int64), sequence
+        self.weights = np.maximum(self.totals, 1) / max(int(self.totals.max(initial=0)), 1) if weights is None else np.array(weights, np.float64)
         self.n = int(self.totals.sum())
         self.full = self.n // sequence
         tail = self.n - self.full * sequence
@@ -134,6 +174,26 @@ class Plan:
             if tail >> bit & 1:
                 self.tail.append(1 << bit)
         self.last = self.full + len(self.tail)
+        # the time when each queue runs out, and the tokens that are packed by then
+        self.out = np.unique(self.totals / self.weights)
+        self.by_then = np.array([np.minimum(self.totals, self.weights * x).sum() for x in self.out])
+
+    def time(self, tokens: np.ndarray) -> np.ndarray:
+        """When so many tokens are packed."""
+        return np.interp(tokens, np.append(0, self.by_then), np.append(0, self.out))
+
+    def served(self, tokens: np.ndarray) -> np.ndarray:
+        """How many tokens each queue has handed over when ``tokens`` are packed: those
+        of the earliest due times, the first queue's of equal ones."""
+        queues = len(self.totals)
+        base = np.minimum(np.maximum(np.floor(self.time(tokens)[:, None] * self.weights) - 1, 0), self.totals).astype(np.int64)
+        rest = tokens - base.sum(axis=1)
+        k = base[:, :, None] + np.arange(1, 4)  # the next tokens of each queue, side by side
+        due = np.where(k <= self.totals[:, None], k / self.weights[:, None], np.inf).reshape(len(tokens), 3 * queues)
+        order = np.argsort(due, axis=1, kind="stable")
+        row, at = np.nonzero(np.arange(3 * queues) < rest[:, None])
+        np.add.at(base, (row, order[row, at] // 3), 1)
+        return base
 
     def start(self, numbers: np.ndarray) -> np.ndarray:
         """Tokens packed before each of these sequences."""
@@ -142,16 +202,26 @@ class Plan:
 
     def pieces(self, queue: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
         """(row, from, to, sequence, offset) for rows that hold tokens lo..hi of a queue."""
-        total = self.totals[queue].astype(np.float64)
-        slack = len(self.totals) + 2
-        first = np.maximum(0, np.floor((lo / total * self.n - slack) / self.sequence).astype(np.int64) - 1)
-        after = np.floor((hi / total * self.n + slack) / self.sequence).astype(np.int64) + 2
+        queues = len(self.totals)
+        wanted = lambda k: np.interp(k / self.weights[queue], np.append(0, self.out), np.append(0, self.by_then))
+        slack = 2 * queues + 2
+        first = np.maximum(0, np.floor((wanted(lo) - slack) / self.sequence).astype(np.int64) - 1)
+        after = np.floor((wanted(hi) + slack) / self.sequence).astype(np.int64) + 2
         first, after = np.minimum(first, self.full), np.where(after >= self.full, self.last, after)
         count = after - first
+        if int(count.sum()) * queues > CELLS and (len(queue) > 1 or hi[0] - lo[0] > 1):
+            if len(queue) > 1:  # the rows, or the tokens of one row, in two halves
+                k = len(queue) // 2
+                a, b = self.pieces(queue[:k], lo[:k], hi[:k]), self.pieces(queue[k:], lo[k:], hi[k:])
+                b = (b[0] + k, *b[1:])
+            else:
+                middle = (lo + hi) // 2
+                a, b = self.pieces(queue, lo, middle), self.pieces(queue, middle, hi)
+            return tuple(np.concatenate(x) for x in zip(a, b, strict=True))
         row = np.repeat(np.arange(len(queue)), count)
         number = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + first[row]
-        wanted, place = np.unique(np.concatenate([number, number + 1]), return_inverse=True)
-        handed = served(self.start(wanted), self.totals)
+        bounds, place = np.unique(np.concatenate([number, number + 1]), return_inverse=True)
+        handed = self.served(self.start(bounds))
         a, b, q = place[: len(number)], place[len(number) :], queue[row]
         begin, end = handed[a, q], handed[b, q]
         frm, to = np.maximum(lo[row], begin), np.minimum(hi[row], end)
@@ -170,20 +240,23 @@ def queue_of(sources: int, limit: int = MAX_QUEUES) -> F.Column:
     return named if sources <= limit else F.pmod(F.xxhash64(named), F.lit(limit)).cast("string")
 
 
-def pack(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, end: int = END, words: int = CACHED_WORDS, cores: int = CACHED_CORES) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, end: int = END, words: int = CACHED_WORDS, cores: int = CACHED_CORES, weights: dict[str, float] | None = None) -> DataFrame:
     """One row per piece of ``docs(doc_id, text, source)``; every token is in one piece.
-    ``words`` and ``cores`` bound a worker's tables; smaller ones take less memory and more time."""
-    low, width = id_buckets(docs.select("doc_id"), "doc_id", ROWS_PER_BUCKET)
-    queue = queue_of(docs.agg(F.approx_count_distinct("source")).first()[0] + 1)
-    docs = docs.withColumns({"queue": queue, "bucket": bucket_of(F.col("doc_id"), low, width), "tie": F.xxhash64("text")})
+    ``words`` and ``cores`` bound a worker's tables; smaller ones take less memory and more
+    time. ``weights`` are the target shares of sources, in any unit, each above 0."""
+    docs = docs.select("doc_id", "text", "source").withColumn("tie", F.xxhash64("text"))
+    sources = docs.agg(F.approx_count_distinct("source")).first()[0] + 1
+    if weights and sources > MAX_QUEUES:
+        raise ValueError(f"weights need at most {MAX_QUEUES} sources, one queue each")
+    docs = docs.withColumns({"queue": queue_of(sources), "bucket": ordered_buckets(docs, "doc_id", "tie", ROWS_PER_BUCKET)})
     kind = "<u2" if tokenizer(vocabulary).type == "<u2" else "<u4"
     wide = int(kind[-1])
 
     def tokenise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder, stop = tokenizer(vocabulary, words, cores), np.array([end], kind).tobytes()
         for batch in batches:
-            for i in range(0, len(batch), 256):
-                part = batch.iloc[i : i + 256]
+            for i in range(0, len(batch), TEXTS):
+                part = batch.iloc[i : i + TEXTS]
                 ids = [x + stop for x in coder.encode(part.pop("text").tolist())]
                 yield part.assign(n=np.array([len(x) // wide for x in ids], np.int64), ids=ids)
 
@@ -191,8 +264,10 @@ def pack(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, end: int =
     tokens = cut(docs.select(*columns, "text").mapInPandas(tokenise, "doc_id long, source string, queue string, bucket long, tie long, n long, ids binary"))
     sums = cut(tokens.groupBy("queue", "bucket").agg(F.sum("n").alias("n")))
     rows = sums.groupBy("queue").agg(F.sum("n").alias("n")).collect()  # at most MAX_QUEUES rows
-    names = {q: i for i, q in enumerate(sorted(r["queue"] for r in rows))}
-    plan = Plan([n for _, n in sorted((r["queue"], r["n"]) for r in rows)], sequence)
+    rows = sorted((r["queue"], r["n"]) for r in rows)
+    names = {q: i for i, (q, _) in enumerate(rows)}
+    shares = [weights.get(q[1:-1] if q[-1] == "1" else None, OTHER_WEIGHT) for q, _ in rows] if weights else None
+    plan = Plan([n for _, n in rows], sequence, shares)
     base = bases(sums, "queue", "bucket", "n").select("queue", "bucket", "base")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -206,10 +281,10 @@ def pack(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, end: int =
                 lo[k] = at
                 at += n[k]
             queue = batch["queue"].map(names).to_numpy(np.int64)
-            for i in range(0, len(batch), 256):
-                ids = [np.frombuffer(x, kind).astype("<u4").tobytes() for x in batch["ids"].iloc[i : i + 256]]
-                first = lo[i : i + 256]
-                row, frm, to, number, offset = plan.pieces(queue[i : i + 256], first, first + n[i : i + 256])
+            for i in range(0, len(batch), ROWS):
+                ids = [np.frombuffer(x, kind).astype("<u4").tobytes() for x in batch["ids"].iloc[i : i + ROWS]]
+                first = lo[i : i + ROWS]
+                row, frm, to, number, offset = plan.pieces(queue[i : i + ROWS], first, first + n[i : i + ROWS])
                 frm, to = frm - first[row], to - first[row]
                 crc = [zlib.crc32(ids[r][4 * a : 4 * b]) for r, a, b in zip(row.tolist(), frm.tolist(), to.tolist(), strict=True)]
                 row += i

@@ -14,6 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from gleaner.llm import bytepair, chat, chunks, fingerprints, language, packing, ppm, simhash, wrappers
+from gleaner.llm.common import ordered_buckets
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, extra string"
 WORDS = "the of and in to thing other reed anlyst over whble hea erth onion tibles".split()
@@ -208,9 +209,81 @@ def test_packing_holds_every_token_once(docs, rows, none):
 def test_packing_plan_keeps_the_proportions():
     totals = np.array([100_000, 5_000, 37, 1, 0])
     at = np.arange(0, totals.sum() + 1, 97)
-    served = packing.served(at, totals)
+    served = packing.Plan(totals).served(at)
     assert (served.sum(axis=1) == at).all() and (np.diff(served, axis=0) >= 0).all()
-    assert np.abs(served - at[:, None] * totals / totals.sum()).max() <= len(totals)
+    assert np.abs(served - at[:, None] * totals / totals.sum()).max() <= 2
+
+
+@pytest.mark.parametrize("weights", [None, [3.0, 1.0, 1.0, 0.5], [1.0, 1.0, 1.0, 1.0]])
+def test_packing_plan_is_the_round_robin_of_due_times(weights):
+    totals = [700, 40, 333, 0]
+    plan = packing.Plan(totals, 64, weights)
+    shares = weights or totals
+    order = sorted(((k + 1) / shares[q], q) for q, n in enumerate(totals) for k in range(n))
+    seen, brute = [0] * 4, [[0] * 4]
+    for _, q in order:
+        seen[q] += 1
+        brute.append(list(seen))
+    assert plan.served(np.arange(sum(totals) + 1)).tolist() == brute
+    if weights:  # as long as all queues last, every window has the target proportions
+        window = np.diff(plan.served(np.array([0, 64])), axis=0)[:, :3]
+        assert np.abs(window - 64 * np.array(weights[:3]) / sum(weights[:3])).max() <= 1.5
+
+
+def test_packing_plan_cuts_rows_in_bounded_steps(monkeypatch):
+    plan = packing.Plan([900, 7, 50], 16)
+    queue, lo, hi = np.array([0, 0, 1, 2]), np.array([0, 400, 0, 0]), np.array([400, 900, 7, 50])
+
+    def placed() -> list:
+        row, frm, to, number, offset = plan.pieces(queue, lo, hi)
+        return sorted((int(plan.start(np.array([n]))[0]) + o + k, int(queue[r]), f + k) for r, f, t, n, o in zip(*(x.tolist() for x in (row, frm, to, number, offset))) for k in range(t - f))
+
+    want = placed()
+    assert [x[0] for x in want] == list(range(957))
+    monkeypatch.setattr(packing, "CELLS", 12)
+    assert placed() == want
+
+
+def test_packing_by_weights(spark):
+    docs = spark.createDataFrame([(i, "word " * 50, "a" if i % 2 else None) for i in range(60)], "doc_id long, text string, source string")
+    got = packing.pack(docs, packing.vocabulary_path(), 128, weights={"a": 3.0}).toPandas()
+    first = got[got["sequence_id"] < 10]
+    assert abs(first[first["source"] == "a"]["length"].sum() / (10 * 128) - 0.75) < 0.02
+    assert got["length"].sum() == 60 * 51
+
+
+def test_buckets_follow_the_order_whatever_the_ids(spark):
+    rng = random.Random(8)
+    ids = [1, 2**62, -(2**62)] + [7] * 300 + [None] * 300 + [rng.randint(10, 10_000) for _ in range(400)] + [2**40 + i for i in range(300)]
+    df = spark.createDataFrame([(x, rng.randint(-(2**63), 2**63 - 1)) for x in ids], "k long, tie long")
+    rows = df.select("k", "tie", ordered_buckets(df, "k", "tie", 20).alias("b")).collect()
+    rows = sorted(rows, key=lambda r: (r["k"] is not None, r["k"] or 0, r["tie"]))
+    buckets = [r["b"] for r in rows]
+    assert buckets == sorted(buckets) and max(Counter(buckets).values()) <= 60
+
+
+def test_other_vocabularies_encode_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coder, texts = packing.WordTokenizer(path), ["The  cat\n sat", "", None]
+    inner = Tokenizer.from_file(path)
+    assert not coder.by_words
+    assert [np.frombuffer(x, coder.type).tolist() for x in coder.encode(texts)] == [inner.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_words_are_encoded_as_whole_texts_are(monkeypatch):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(6)
+    inner = Tokenizer.from_file(packing.vocabulary_path())
+    inner.encode_special_tokens = True
+    parts = ["Abc", "ÉCOLE", "x!?", "it's", "\u0130stanbul", "e\u0301", "a1b", "...", "日本", "<|endoftext|>", "\x1c", "\xa0", " ", "\n", "straße.", "</w>", "\u2028", "q" * 200]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " ", "  "]) for _ in range(rng.randint(0, 40))) for _ in range(400)]
+    coder = packing.WordTokenizer(packing.vocabulary_path(), 50, 20)
+    got = [x for i in range(0, 400, 16) for x in coder.encode(texts[i : i + 16])]
+    assert [np.frombuffer(x, coder.type).tolist() for x in got] == [inner.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 # op7
