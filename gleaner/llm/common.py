@@ -43,6 +43,14 @@ def small_batches(df: DataFrame, rows: int = TEXT_ROWS) -> DataFrame:
     return df
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as it takes to be none of ``df``'s columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fold(column: Column, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus``; a null id counts as 0."""
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % F.lit(modulus), F.lit(0))

@@ -1,17 +1,21 @@
-"""Near copies by exact Jaccard likeness of five-word shingles.
+"""SimHash near-dedup whose links are decided by the exact likeness of shingle sets.
 
-Candidates come from MinHash: a text's set of shingles has ``BANDS`` keys, each of
-``ROWS`` minima, and two sets with likeness j share no key with probability
-(1 - j**ROWS)**BANDS, below 5e-8 at 0.8. Every candidate is then decided by the
-exact likeness of the two sets, so no document goes for an estimate.
+Two texts are linked if the sets of their five-word shingles have a Jaccard likeness of
+0.8 or more, and one document of each group of linked texts stays, the first by id.
 
-Documents are gone through by id, in effect: one stays unless an earlier one that
-stays is a near copy of it. So each that goes has a near copy among those that stay,
-and (but for the chance above) no two that stay are near copies of each other.
+Candidates share a key. Fifteen keys are those of the covering tables over the 64-bit
+SimHash fingerprint (``simhash``), which miss no pair within three bits. At a likeness
+of 0.8 fingerprints differ by 9 bits in the middle and by 14 and more in every tenth
+pair, and covering tables for 14 bits would be 32,767 a document; so every set has
+``BANDS`` keys more, each of ``ROWS`` minima of hashes of its shingles, and two sets of
+likeness j share none of those with probability (1 - j**ROWS)**BANDS, 3e-6 at 0.8.
+Every candidate is then decided by the two sets themselves.
 
-Texts with one set of shingles are folded before the search. In large groups, rounds
-compare only with documents that have no earlier candidate, which surely stay; when
-few enough pairs are left, or rounds no longer help, all of them are compared.
+Texts with one set of shingles are folded before the search. Every member of a bucket is
+first compared with the bucket's first document, and what that links is one component;
+only buckets that still hold several components are looked at again: the small ones pair
+by pair, large ones in blocks of at most ``BLOCK`` documents, where documents that are
+connected already are not compared. Only a spanning set of links leaves a task.
 
 Defined cases: texts without a word are copies of each other; fewer words than a
 shingle give the whole sequence as the one shingle; rows without an id come last;
@@ -26,24 +30,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import cut, small_batches
-from gleaner.llm.simhash import shingle_hashes
+from gleaner.llm.common import components, cut, small_batches
+from gleaner.llm.simhash import covering_masks, majority, shingle_hashes
 
 SHINGLE = 5
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 24, 4
 #: A likeness of NEAR / (NEAR + 1) and more makes near copies: 0.8.
 NEAR = 4
-#: Candidate pairs for each row of a bucket, beyond which rounds come first.
-PAIRS_PER_ROW = 4
+#: Buckets of up to SMALL documents are compared by joins; documents of a block of larger ones.
+SMALL, BLOCK = 4, 500
 LAST = (1 << 63) - 1
 
 _random = np.random.default_rng(11)
 FACTORS = _random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 OFFSETS = _random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 MIX = _random.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+MASKS = np.array(covering_masks(), np.uint64)
+TABLE = _random.integers(0, 1 << 63, len(MASKS), dtype=np.uint64)
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -55,7 +61,9 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
     for i in range(0, len(hashes), 1024):
         np.minimum(low, (hashes[i : i + 1024, None] * FACTORS + OFFSETS).min(axis=0), out=low)
     low ^= low >> np.uint64(29)
-    return (low.reshape(BANDS, ROWS) * MIX).sum(axis=1, dtype=np.uint64).view(np.int64)
+    bands = (low.reshape(BANDS, ROWS) * MIX).sum(axis=1, dtype=np.uint64)
+    covering = ((majority(hashes) & MASKS) + TABLE) * FACTORS[: len(MASKS)]
+    return np.append(bands, covering).view(np.int64)
 
 
 def row_key(docs: DataFrame) -> DataFrame:
@@ -91,31 +99,16 @@ def like_size(n: str, m: str) -> F.Column:
     return (F.col(n) * (NEAR + 1) >= F.col(m) * NEAR) & (F.col(m) * (NEAR + 1) >= F.col(n) * NEAR)
 
 
-def later_copies(edges: DataFrame) -> list[DataFrame]:
-    """Of ``edges(lo, hi)`` between near copies, who goes (e): whoever has an edge from a
-    node that stays. Each round decides all nodes without an undecided lower neighbour."""
-    gone = []
-    while not edges.isEmpty():
-        heads = edges.select("lo").distinct().join(edges.select(F.col("hi").alias("lo")).distinct(), "lo", "left_anti")
-        now = cut(edges.join(heads, "lo", "left_semi").select(F.col("hi").alias("e")).distinct())
-        gone.append(now)
-        for side in ("lo", "hi"):
-            edges = edges.join(now.select(F.col("e").alias(side)), side, "left_anti")
-        edges = cut(edges)
-    return gone
-
-
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` without those that are near copies of an earlier one that stays."""
+    """``docs`` with one document of each group of near copies, the first by id."""
     rows = cut(signatures(docs))
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("o"), "doc_id", "_k1", "_k2")).alias("low")
     folded = rows.groupBy("s1", "s2").agg(first, F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
-    ents = cut(folded.select("low", F.struct("low.o", F.monotonically_increasing_id().alias("e")).alias("e"), "n", "bands"))
-    named = ents.select("low.doc_id", "low._k1", "low._k2", "e")
-    gone = copies(docs, named, ents.select("e", "n", F.explode("bands").alias("b")))
-    for now in gone:
-        named = named.join(now, "e", "left_anti")
-    kept = named.select(F.col("doc_id").alias("_doc"), F.col("_k1").alias("_a"), F.col("_k2").alias("_b"))
+    ents = cut(folded.select("low", F.monotonically_increasing_id().alias("e"), "n", "bands"))
+    named = ents.select("low", "e")
+    found = components(links(docs, named.select("low.*", "e"), ents.select("e", "n", F.explode("bands").alias("b"))))
+    grouped = named.join(found, F.col("e") == F.col("node"), "left").groupBy(F.coalesce("component", "e").alias("c")).agg(F.min("low").alias("low"))
+    kept = grouped.select(F.col("low.doc_id").alias("_doc"), F.col("low._k1").alias("_a"), F.col("low._k2").alias("_b"))
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_k1") == F.col("_a")) & (F.col("_k2") == F.col("_b"))
     found = row_key(docs).join(kept, same, "left_semi")
     many = cut(rows.groupBy("doc_id", "_k1", "_k2").count().where("count > 1").select(F.col("doc_id").alias("_doc"), F.col("_k1").alias("_a"), F.col("_k2").alias("_b")))
@@ -125,33 +118,80 @@ def keep_one(docs: DataFrame) -> DataFrame:
     return found.join(many, same, "left_anti").select(docs.columns).unionByName(one)
 
 
-def copies(docs: DataFrame, named: DataFrame, buckets: DataFrame) -> list[DataFrame]:
-    """Who goes, by ``buckets(e, n, b)``: e orders documents, n is the size of a set."""
-    size = F.count(F.lit(1)).over(Window.partitionBy("b"))
-    left = cut(buckets.withColumn("c", size).where("c > 1").drop("c"))
-    wanted = left.select("e").distinct().join(named, "e").select("e", F.col("doc_id").alias("_doc"), F.col("_k1").alias("_a"), F.col("_k2").alias("_b"))
+def sets_of(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """(e, hashes): the sets of the documents ``named(e, doc_id, _k1, _k2)``."""
 
     @F.pandas_udf("array<long>")
     def hashes(texts: pd.Series) -> pd.Series:
         return pd.Series([shingle_set(t).view(np.int64) for t in texts])
 
+    wanted = named.select("e", F.col("doc_id").alias("_doc"), F.col("_k1").alias("_a"), F.col("_k2").alias("_b"))
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_k1") == F.col("_a")) & (F.col("_k2") == F.col("_b"))
     texts = row_key(docs.select("doc_id", "text")).join(wanted, same).select("e", "text")
-    sets = cut(texts.select("e", hashes("text").alias("hashes")).dropDuplicates(["e"]))
-    gone, before = [], None
-    while True:
-        c = left.groupBy("b").count()
-        n, pairs = c.agg(F.sum("count"), F.sum(F.col("count") * (F.col("count") - 1) / 2)).first()
-        if not n or pairs <= PAIRS_PER_ROW * n or before is not None and pairs > 0.9 * before:
-            break
-        before = pairs
-        led = left.join(left.groupBy("b").agg(F.min(F.struct("e", "n")).alias("low")), "b")
-        heads = cut(led.groupBy("e").agg(F.bool_and(F.col("low.e") == F.col("e")).alias("first")).where("first").select("e"))
-        pair = led.where((F.col("low.e") != F.col("e")) & like_size("n", "low.n")).select(F.col("low.e").alias("lo"), F.col("e").alias("hi")).distinct()
-        now = cut(near(pair.join(heads.select(F.col("e").alias("lo")), "lo", "left_semi"), sets).select(F.col("hi").alias("e")).distinct())
-        gone.append(now)
-        left = left.join(now, "e", "left_anti").join(heads, "e", "left_anti")
-        left = cut(left.withColumn("c", size).where("c > 1").drop("c"))
-    other = left.select("b", F.col("e").alias("lo"), F.col("n").alias("m"))
-    pair = left.withColumnRenamed("e", "hi").join(other, "b").where((F.col("lo") < F.col("hi")) & like_size("n", "m")).select("lo", "hi").distinct()
-    return gone + later_copies(cut(near(pair, sets)))
+    return texts.select("e", hashes("text").alias("hashes")).dropDuplicates(["e"])
+
+
+def links(docs: DataFrame, named: DataFrame, keys: DataFrame) -> DataFrame:
+    """(a, b): links that connect all near copies that share one of ``keys(e, n, b)``,
+    where n is the size of a set."""
+    heads = keys.groupBy("b").agg(F.min(F.struct("e", "n")).alias("low"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    members = cut(keys.join(heads, "b"))
+    sets = cut(sets_of(docs, members.select("e").distinct().join(named, "e")))
+    star = members.where((F.col("low.e") != F.col("e")) & like_size("n", "low.n")).select(F.col("low.e").alias("lo"), F.col("e").alias("hi")).distinct()
+    star = cut(near(star, sets))
+    # what is left: buckets of three and more, in which several components are; of those that hold the same documents one
+    known = components(star.select(F.col("lo").alias("a"), F.col("hi").alias("b")))
+    tagged = members.where("k > 2").select("b", "e", "n").join(known, F.col("e") == F.col("node"), "left").select("b", "e", "n", F.coalesce("component", "e").alias("c"))
+    left = tagged.groupBy("b").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("e")).alias("h")).where("c0 < c1")
+    left = left.groupBy("k", "h").agg(F.min("b").alias("b"))
+    rest = cut(tagged.join(left.select("b", "k"), "b"))
+    x, y = rest.where(F.col("k") <= SMALL), rest.where(F.col("k") <= SMALL).select("b", F.col("e").alias("lo"), F.col("n").alias("m"), F.col("c").alias("d"))
+    pairs = x.withColumnRenamed("e", "hi").join(y, "b").where((F.col("lo") < F.col("hi")) & (F.col("c") != F.col("d")) & like_size("n", "m")).select("lo", "hi").distinct()
+    found = star.unionByName(near(pairs, sets)).select(F.col("lo").alias("a"), F.col("hi").alias("b"))
+    return found.unionByName(block_links(rest.where(F.col("k") > SMALL), sets))
+
+
+def block_links(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links between documents of one bucket in ``rest(b, e, c, k)``, of different
+    components c before; each pair of the bucket's blocks is one unit of work."""
+    blocks = F.ceil(F.col("k") / BLOCK).cast("int")
+    placed = rest.withColumn("x", F.pmod(F.xxhash64("e"), blocks).cast("int")).withColumn("y", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    side = F.when(F.col("x") == F.col("y"), 2).when(F.col("x") < F.col("y"), 0).otherwise(1)
+    units = placed.select("b", F.least("x", "y").alias("p"), F.greatest("x", "y").alias("q"), side.alias("side"), "e", "c").join(sets, "e")
+
+    def work(frame: pd.DataFrame) -> pd.DataFrame:
+        i, j = spanning(frame["side"].to_numpy(), frame["c"].to_numpy(np.int64), frame["hashes"].tolist())
+        e = frame["e"].to_numpy(np.int64)
+        return pd.DataFrame({"a": e[i], "b": e[j]})
+
+    return units.groupBy("b", "p", "q").applyInPandas(work, "a long, b long")
+
+
+def spanning(side: np.ndarray, component: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows i, j of linked sets that connect all linked components. Side 0 is compared with
+    side 1, side 2 within itself."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    unique, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(sizes)
+    held = np.zeros(len(unique), bool)
+    component, a, b = component.copy(), [], []
+    for i in np.flatnonzero(side != 1):
+        other = (component != component[i]) & (side != 0) & (sizes * (NEAR + 1) >= sizes[i] * NEAR) & (sizes[i] * (NEAR + 1) >= sizes * NEAR)
+        if side[i] == 2:
+            other[: i + 1] = False
+        at = np.flatnonzero(other)
+        if not len(at):
+            continue
+        own = flat[ends[i] - sizes[i] : ends[i]]
+        held[own] = True
+        within = np.repeat(ends[at] - np.cumsum(sizes[at]), sizes[at]) + np.arange(sizes[at].sum())
+        total = np.append(0, np.cumsum(held[flat[within]]))
+        stop = np.cumsum(sizes[at])
+        shared = total[stop] - total[stop - sizes[at]]
+        for j in at[shared * (2 * NEAR + 1) >= (sizes[i] + sizes[at]) * NEAR].tolist():
+            if component[j] != component[i]:
+                a.append(i)
+                b.append(j)
+                component[component == component[j]] = component[i]
+        held[own] = False
+    return np.array(a, int), np.array(b, int)

@@ -47,14 +47,17 @@ def shingle_hashes(text: str | None, size: int = SHINGLE, seed: int = 42) -> np.
     return np.array([digest(line[a : b - 1], seed) for a, b in zip([0, *ends], ends[size - 1 :], strict=False)], np.uint64)
 
 
-def simhash(text: str | None, size: int = SHINGLE) -> int:
-    """The fingerprint as a signed 64-bit integer."""
-    hashes = shingle_hashes(text, size)
+def majority(hashes: np.ndarray) -> np.uint64:
+    """The bits set in over half of the hashes."""
     counts = np.zeros(BITS, np.int64)
     for i in range(0, len(hashes), 65536):
         counts += np.unpackbits(hashes[i : i + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * counts > len(hashes), bitorder="little")
-    return int(bits.view(np.int64)[0])
+    return np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0]
+
+
+def simhash(text: str | None, size: int = SHINGLE) -> int:
+    """The fingerprint as a signed 64-bit integer."""
+    return int(majority(shingle_hashes(text, size)).view(np.int64))
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:

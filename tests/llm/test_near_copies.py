@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -40,18 +41,43 @@ def planted() -> list[tuple]:
     return [(i, t, "x") for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("pairs_per_row", [shingles.PAIRS_PER_ROW, 0.1])
-def test_near_copies_equal_brute_force(spark, monkeypatch, pairs_per_row):
-    monkeypatch.setattr(shingles, "PAIRS_PER_ROW", pairs_per_row)
+@pytest.mark.parametrize(("small", "block"), [(shingles.SMALL, shingles.BLOCK), (2, 4), (1000, 4)])
+def test_groups_equal_brute_force(spark, monkeypatch, small, block):
+    """One document of each group stays; groups are those of a full join at 0.8."""
+    monkeypatch.setattr(shingles, "SMALL", small)
+    monkeypatch.setattr(shingles, "BLOCK", block)
     rows = planted()
-    kept: dict[int, set] = {}
-    for i, text, _ in rows:
-        s = shingle_sets(text)
-        if not any(likeness(s, t) >= 0.8 for t in kept.values()):
-            kept[i] = s
+    sets = [shingle_sets(t) for _, t, _ in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if group[i] != group[j] and likeness(sets[i], sets[j]) >= 0.8:
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
     got = corpus_pipeline.drop_near_copies(spark, docs, "")
-    assert got.columns == docs.columns and {r["doc_id"] for r in got.collect()} == set(kept)
+    assert got.columns == docs.columns and {r["doc_id"] for r in got.collect()} == set(group)
+
+
+def test_spanning_links_equal_brute_force():
+    rng = np.random.default_rng(2)
+    for sided in (False, True):
+        base = [rng.integers(0, 400, 60) for _ in range(6)]
+        sets = [np.unique(np.append(base[k % 6][: rng.integers(30, 61)], rng.integers(0, 400, rng.integers(0, 8)))) for k in range(80)]
+        component = rng.integers(0, 70, 80)
+        side = rng.integers(0, 2, 80) if sided else np.full(80, 2)
+        pairs = [(i, j) for i in range(80) for j in range(i) if component[i] != component[j] and (not sided or side[i] != side[j]) and 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))]
+        assert pairs
+
+        def groups(edges: list) -> list[int]:
+            group = component.tolist()
+            for i, j in edges:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+            return [group.index(g) for g in group]
+
+        found = list(zip(*(x.tolist() for x in shingles.spanning(side, component, sets))))
+        assert groups(found) == groups(pairs) and all((i, j) in pairs or (j, i) in pairs for i, j in found)
 
 
 def test_near_copies_with_null_and_repeated_ids(spark):

@@ -335,6 +335,43 @@ def test_language_phrases_equal_a_plain_parse():
             assert row[k] == total, (t, name)
 
 
+@pytest.mark.parametrize("cells", [0, language.DENSE_CELLS])
+def test_language_tables_are_alike(monkeypatch, cells):
+    """Every letter is told apart, however many there are, in both kinds of tables."""
+    monkeypatch.setattr(language, "DENSE_CELLS", cells)
+    rng = random.Random(3)
+    han = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(1500))
+    kana = "".join(chr(0x3041 + rng.randrange(80)) for _ in range(1500))
+    model = language.Model({"han": han, "kana": kana, "aa": "the cat sat on the mat"})
+    assert len(model.points) > 900
+    names, scores, inside = model.predict([han[100:400], kana[50:300], "the cat", "\u0416" * 100, "", None])
+    assert names == ["han", "kana", "aa", names[3], "und", "und"] and inside.tolist() == [True, True, True, False, False, False]
+    count, sizes = model.phrases([han[5:9], "the mat the"])
+    assert count[0, 1] == 1 and sizes.tolist() == [4, 11]
+
+
+def test_language_learns_from_long_rows_and_all_languages(spark):
+    rng = random.Random(5)
+    letters = [[chr(97 + rng.randrange(26)) for _ in range(8)] for _ in range(70)]
+    words = ["".join(rng.choice(x) for _ in range(60_000)) for x in letters]
+    rows = [(None if k % 2 else k, "".join(w if i % 7 else " " for i, w in enumerate(t)), f"l{k:02}") for k, t in enumerate(words)]
+    docs = spark.createDataFrame(rows + [(None, "same", "l00")] * 300, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert model.languages == sorted(f"l{k:02}" for k in range(70))
+
+
+def test_language_stage_rejects_other_languages_and_keeps_columns(spark):
+    rng = random.Random(6)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    odd = [(10**6 + i, " ".join("".join(chr(0x0430 + rng.randrange(32)) for _ in range(rng.randint(2, 9))) for _ in range(60)), None, "s", 300) for i in range(8)]
+    docs = docs.unionByName(spark.createDataFrame(odd, docs.schema)).withColumns({"score": F.lit(0.9), "lang_pred": F.lit("x"), "predicted": F.lit(1)})
+    got = language.in_known_language(docs)
+    rows = got.collect()
+    assert got.columns == docs.columns and all(r["score"] == 0.9 and r["lang_pred"] == "x" and r["predicted"] == 1 for r in rows)
+    kept, known = {r["doc_id"] for r in rows}, {r["doc_id"] for r in docs.collect() if r["doc_id"] < 10**6}
+    assert not any(i >= 10**6 for i in kept) and len(kept) >= 0.99 * len(known)
+
+
 def test_language_accuracy_and_edges(spark, none):
     folder = "/root/testdata/sf0.001/documents.parquet"
     docs = spark.read.parquet(folder)
