@@ -6,14 +6,18 @@ import numpy as np
 
 
 class HashMap:
-    """Integers to places, by open addressing; look-ups are vectorised."""
+    """Keys, 64-bit integers but -1, to 32-bit places, by open addressing; ``room`` is
+    for how many keys the map has slots, those in ``keys`` at least."""
 
-    def __init__(self, keys: np.ndarray) -> None:
-        self.bits = max(4, int(2 * len(keys) + 1).bit_length())
+    def __init__(self, keys: np.ndarray, room: int = 0) -> None:
+        self.bits = max(4, int(2 * max(len(keys), room) + 1).bit_length())
         self.keys = np.full(1 << self.bits, -1, np.int64)
         self.values = np.full(1 << self.bits, -1, np.int32)
-        left, value = keys, np.arange(len(keys), dtype=np.int32)
-        at = self.slot(left)
+        self.insert(keys, np.arange(len(keys), dtype=np.int32))
+
+    def insert(self, keys: np.ndarray, value: np.ndarray) -> None:
+        """Add distinct ``keys`` that the map does not hold."""
+        left, at = keys, self.slot(keys)
         while len(left):
             free = self.keys[at] == -1
             self.keys[at[free]] = left[free]  # of several for one slot the last one stays

@@ -25,6 +25,7 @@ gives no rows; any text length works. Other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import re
@@ -39,6 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import bases, cut, ordered_buckets, table
+from gleaner.llm.hashmap import HashMap
 
 SEQUENCE = 4096
 END = 2
@@ -49,46 +51,78 @@ ROWS_PER_BUCKET = 512
 TEXTS, ROWS = 512, 256
 #: Sequences times queues that are looked at together.
 CELLS = 1 << 18
-#: Entries of each generation of a worker's tables of words and of their letters.
-CACHED_WORDS, CACHED_CORES = 300_000, 200_000
+#: Pieces of each generation of a worker's table, and code points that are looked up together.
+CACHED, CHUNK = 1_000_000, 1 << 18
+BREAK = re.compile("[\t\n\x0b\x0c\r ]")
 #: The normaliser and splitter (fixed values) of the vocabulary whose words can be told apart beforehand.
 NORMALISERS = ["NFC", "Replace", "Lowercase"]
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
-#: White space that str.split() or the tokenizer treats on its own terms.
-ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-ASCII_SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
-#: A line of Latin letters, which NFC keeps and which are lowered one by one, then of
-#: ASCII marks without an apostrophe or digits; or any other line.
-PARTS = re.compile("^(?:([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\\[-`{-~]*)|(.+))$", re.M)
+#: Kinds of code points: the white space that separates words; Latin letters, which NFC
+#: keeps and which are lowered one by one; ASCII marks but the apostrophe; all others.
+SPACE, LETTER, MARK, OTHER = range(4)
+#: Longer pieces are hashed as a whole.
+LONG = 64
+POWERS = np.cumprod(np.append(np.uint64(1), np.full(LONG - 1, 0x9E3779B97F4A7C15, np.uint64)))
+MORE_POWERS = np.cumprod(np.append(np.uint64(1), np.full(LONG - 1, 0xD6E8FEB86659FD93, np.uint64)))
 
 
-class Generations:
-    """A bounded table: when the young half is full it becomes the old one, and what
-    is looked up there comes back, so entries in use stay."""
-
-    def __init__(self, most: int) -> None:
-        self.most, self.young, self.old = most, {}, {}
-
-    def missing(self, wanted: set) -> set:
-        """Those of ``wanted`` that are in neither half; all others are in ``young`` then."""
-        if len(self.young) > self.most:
-            self.old, self.young = self.young, {}
-        out = wanted.difference(self.young)
-        if out and self.old:
-            again = out & self.old.keys()
-            self.young.update(zip(again, map(self.old.__getitem__, again), strict=True))
-            out -= again
-        return out
+@cache
+def kinds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By code point: its kind, its lower case if it is a letter, and a random number."""
+    kind = np.full(0x110000, OTHER, np.uint8)
+    low = np.arange(0x110000, dtype=np.uint32)
+    for first, last in (("A", "Z"), ("\xc0", "\xd6"), ("\xd8", "\xde")):
+        low[ord(first) : ord(last) + 1] += 32
+        kind[ord(first) : ord(last) + 1] = kind[ord(first) + 32 : ord(last) + 33] = LETTER
+    kind[[0xDF, 0xFF]] = LETTER
+    for first, last in (("!", "&"), ("(", "/"), (":", "@"), ("[", "`"), ("{", "~")):
+        kind[ord(first) : ord(last) + 1] = MARK
+    kind[[9, 10, 11, 12, 13, 32]] = SPACE
+    number = np.random.default_rng(23).integers(1, 1 << 63, 0x110000, dtype=np.uint64)
+    return kind, low, number
+
+
+class Known:
+    """Ids of pieces of text, by 128-bit hashes; when full, a generation begins."""
+
+    def __init__(self, most: int, kind: str) -> None:
+        self.most, self.n = most, 0
+        self.map = HashMap(np.zeros(0, np.int64), most)
+        self.check, self.start, self.count = np.zeros(most, np.int64), np.zeros(most, np.int64), np.zeros(most, np.int64)
+        self.ids, self.used = np.zeros(4 * most, kind), 0
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        at = self.map.find(keys)
+        return np.where((at >= 0) & (self.check[at] == checks), at, -1)
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        places = np.arange(self.n, self.n + len(keys))
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.append(self.ids, np.zeros_like(self.ids))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.check[places], self.count[places] = checks, counts
+        self.start[places] = self.used + np.cumsum(counts) - counts
+        self.map.insert(keys, places.astype(np.int32))
+        self.n, self.used = self.n + len(keys), self.used + len(ids)
+        return places
+
+
+def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... counts[0] numbers, and so on for each start."""
+    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
 
 
 class WordTokenizer:
-    """Token ids of whole texts, word by word: the tokenizer drops white space and
-    no merge crosses it, so equal words have equal ids. A word of Latin letters and
-    trailing marks is two pieces, whose merges need no normalising or splitting.
+    """Token ids of whole texts, piece by piece: the tokenizer drops white space and
+    no merge crosses it, so equal words have equal ids. Of a word of Latin letters and
+    marks alone, each run of letters or of marks is a piece, whose merges need no
+    normalising or splitting; any other word is a piece whole. Pieces are found and
+    hashed in arrays, and their ids kept in two generations of ``most`` pieces each: what
+    is looked up in the old one comes back to the young one, so pieces in use stay.
     A vocabulary with another normaliser or splitter encodes whole texts."""
 
-    def __init__(self, path: str, words: int = CACHED_WORDS, cores: int = CACHED_CORES) -> None:
+    def __init__(self, path: str, most: int = CACHED) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -106,46 +140,116 @@ class WordTokenizer:
             self.ends = np.zeros(size, bool)
             for piece, i in self.inner.get_vocab().items():
                 self.ends[i] = piece.endswith(WORD_END)
-        self.words, self.cores = Generations(words), Generations(cores)
+            self.young, self.old = Known(most, self.type), Known(1, self.type)
 
     def narrow(self, coded: list) -> list[bytes]:
         return [array(self.letter, x.ids).tobytes() for x in coded]
 
-    def learn_cores(self, found: list[str]) -> None:
-        """Pieces without white space, of letters or of marks: many in one call, told
-        apart in the result by the ids that end a word."""
-        wide = int(self.type[-1])
-        for i in range(0, len(found), 20_000):
-            part = found[i : i + 20_000]
-            lines = [" ".join(part[k : k + 1000]) for k in range(0, len(part), 1000)]
-            raw = b"".join(self.narrow(self.plain.encode_batch_fast(lines, add_special_tokens=False)))
-            ends = ((np.flatnonzero(self.ends[np.frombuffer(raw, self.type)]) + 1) * wide).tolist()
-            self.cores.young.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
-
-    def learn(self, missing: list[str]) -> None:
-        parts = PARTS.findall("\n".join(missing))
-        letters = "\n".join([p[0] for p in parts]).lower().split("\n")
-        new = self.cores.missing(set(letters).union([p[1] for p in parts]))
-        self.learn_cores([x for x in new if x])
-        core, known = self.cores.young, self.words.young
-        core[""] = b""
-        known.update(zip([p[0] + p[1] for p in parts], [core[a] + core[p[1]] for a, p in zip(letters, parts, strict=True)], strict=True))
-        known[""] = b""
-        other = [p[2] for p in parts if p[2]]
-        for i in range(0, len(other), 20_000):
-            part = other[i : i + 20_000]
-            known.update(zip(part, self.narrow(self.inner.encode_batch_fast(part, add_special_tokens=False)), strict=True))
+    def learn(self, runs: list[str], words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(how many, ids) of runs of letters or marks, many in one call, told apart in
+        the result by the ids that end a piece; then of whole words."""
+        lines = [" ".join(runs[k : k + 1000]) for k in range(0, len(runs), 1000)]
+        raw = b"".join(self.narrow(self.plain.encode_batch_fast(lines, add_special_tokens=False)))
+        ids = np.frombuffer(raw, self.type)
+        counts = np.diff(np.append(-1, np.flatnonzero(self.ends[ids])))
+        more = self.narrow(self.inner.encode_batch_fast(words, add_special_tokens=False))
+        own = np.array([len(x) // ids.itemsize for x in more], np.int64)
+        return np.append(counts, own), np.append(ids, np.frombuffer(b"".join(more), self.type))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, as little-endian integers of ``type``."""
         if not self.by_words:
             return self.narrow(self.inner.encode_batch_fast([t or "" for t in texts], add_special_tokens=False))
-        split = [(ASCII_SPACE.split(t) if ODD_SPACE.search(t) else t.split()) if t else () for t in texts]
-        wanted = set().union(*split)
-        if missing := self.words.missing(wanted):
-            self.learn(list(missing))
-        found = self.words.young.__getitem__
-        return [b"".join(map(found, words)) for words in split]
+        out: list[bytes] = []
+        group: list[str] = []
+        size = 0
+        for text in texts:
+            text = text or ""
+            if len(text) > CHUNK:  # alone, in parts that end with a word
+                out += self.encode_group(group)
+                group, size, at, parts = [], 0, 0, []
+                while at < len(text):
+                    end = BREAK.search(text, at + CHUNK)
+                    end = end.end() if end else len(text)
+                    parts += self.encode_group([text[at:end]])
+                    at = end
+                out.append(b"".join(parts))
+                continue
+            group.append(text)
+            size += len(text)
+            if size >= CHUNK:
+                out += self.encode_group(group)
+                group, size = [], 0
+        return out + self.encode_group(group)
+
+    def encode_group(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        kind, low, number = kinds()
+        joined = "\n".join(texts)
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        of = kind[points]
+        inside = of != SPACE
+        first = inside & ~np.append(False, inside[:-1])
+        words = np.flatnonzero(first)
+        if not len(words):
+            return [b""] * len(texts)
+        whole = np.maximum.reduceat(of, words) == OTHER
+        sizes = np.diff(np.append(words, len(of)))
+        of = np.where(np.repeat(whole, sizes) & inside[words[0] :], OTHER, of[words[0] :])  # from the first word on
+        points, inside, first = points[words[0] :], inside[words[0] :], first[words[0] :]
+        points = np.where(of == LETTER, low[points], points)
+        starts = np.flatnonzero(inside & (first | (of != np.append(SPACE, of[:-1]))))
+        after = np.append(np.flatnonzero(~inside), len(of))
+        ends = np.minimum(np.append(starts[1:], len(of)), after[np.searchsorted(after, starts)])
+        keys, checks = self.hashes(points, inside, starts, ends)
+        at = self.places(points, of, starts, ends, keys, checks)
+        count = self.young.count[at]
+        ids = self.young.ids[spread(self.young.start[at], count)].tobytes()
+        bounds = np.cumsum([0] + [len(t) + 1 for t in texts]) - words[0]
+        total = np.append(0, np.cumsum(count)) * np.dtype(self.type).itemsize
+        cut = total[np.searchsorted(starts, bounds)].tolist()
+        return [ids[a:b] for a, b in zip(cut, cut[1:], strict=False)]
+
+    def hashes(self, points: np.ndarray, inside: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two 64-bit hashes of each piece."""
+        value = np.where(inside, kinds()[2][points], 0)
+        place = np.minimum(np.arange(len(points)) - np.repeat(starts, np.diff(np.append(starts, len(points)))), LONG - 1)
+        keys, checks = (np.add.reduceat(value * powers[place], starts) for powers in (POWERS, MORE_POWERS))
+        size = (ends - starts).astype(np.uint64)
+        keys, checks = keys ^ (keys >> np.uint64(31)), checks + size
+        for i in np.flatnonzero(size > LONG).tolist():
+            digest = hashlib.blake2b(points[starts[i] : ends[i]].tobytes(), digest_size=16).digest()
+            keys[i], checks[i] = np.frombuffer(digest, np.uint64)
+        keys[keys == np.uint64(2**64 - 1)] = 0  # what the map takes for an empty slot
+        return keys.view(np.int64), checks.view(np.int64)
+
+    def places(self, points: np.ndarray, of: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Where each piece is in the young generation, once all are there."""
+        most = self.young.most
+        if self.young.n + len(starts) > most:
+            self.old, self.young = self.young, Known(max(most, len(starts)), self.type)
+        at = self.young.find(keys, checks)
+        missing = np.flatnonzero(at < 0)
+        if not len(missing):
+            return at
+        _, one = np.unique(keys[missing], return_index=True)
+        one = missing[one]
+        back = self.old.find(keys[one], checks[one])
+        again, fresh = one[back >= 0], one[back < 0]
+        if len(again):
+            back = back[back >= 0]
+            count = self.old.count[back]
+            self.young.add(keys[again], checks[again], count, self.old.ids[spread(self.old.start[back], count)])
+        if len(fresh):
+            text = points.tobytes().decode("utf-32-le", "surrogatepass")
+            alone = of[starts[fresh]] == OTHER
+            fresh = np.append(fresh[~alone], fresh[alone])
+            pieces = [text[a:b] for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist(), strict=True)]
+            runs = len(fresh) - int(alone.sum())
+            self.young.add(keys[fresh], checks[fresh], *self.learn(pieces[:runs], pieces[runs:]))
+        at[missing] = self.young.find(keys[missing], checks[missing])
+        return at
 
 
 def splits_into_words(spec: dict) -> bool:
@@ -156,8 +260,8 @@ def splits_into_words(spec: dict) -> bool:
 
 
 @cache
-def tokenizer(path: str, words: int = CACHED_WORDS, cores: int = CACHED_CORES) -> WordTokenizer:
-    return WordTokenizer(path, words, cores)
+def tokenizer(path: str, most: int = CACHED) -> WordTokenizer:
+    return WordTokenizer(path, most)
 
 
 class Plan:
@@ -240,9 +344,9 @@ def queue_of(sources: int, limit: int = MAX_QUEUES) -> F.Column:
     return named if sources <= limit else F.pmod(F.xxhash64(named), F.lit(limit)).cast("string")
 
 
-def pack(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, end: int = END, words: int = CACHED_WORDS, cores: int = CACHED_CORES, weights: dict[str, float] | None = None) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, end: int = END, cached: int = CACHED, weights: dict[str, float] | None = None) -> DataFrame:
     """One row per piece of ``docs(doc_id, text, source)``; every token is in one piece.
-    ``words`` and ``cores`` bound a worker's tables; smaller ones take less memory and more
+    ``cached`` bounds a worker's table of pieces; a smaller one takes less memory and more
     time. ``weights`` are the target shares of sources, in any unit, each above 0."""
     docs = docs.select("doc_id", "text", "source").withColumn("tie", F.xxhash64("text"))
     sources = docs.agg(F.approx_count_distinct("source")).first()[0] + 1
@@ -253,7 +357,7 @@ def pack(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, end: int =
     wide = int(kind[-1])
 
     def tokenise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder, stop = tokenizer(vocabulary, words, cores), np.array([end], kind).tobytes()
+        coder, stop = tokenizer(vocabulary, cached), np.array([end], kind).tobytes()
         for batch in batches:
             for i in range(0, len(batch), TEXTS):
                 part = batch.iloc[i : i + TEXTS]

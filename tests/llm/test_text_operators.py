@@ -281,7 +281,9 @@ def test_words_are_encoded_as_whole_texts_are(monkeypatch):
     inner.encode_special_tokens = True
     parts = ["Abc", "ÉCOLE", "x!?", "it's", "\u0130stanbul", "e\u0301", "a1b", "...", "日本", "<|endoftext|>", "\x1c", "\xa0", " ", "\n", "straße.", "</w>", "\u2028", "q" * 200]
     texts = ["".join(rng.choice(parts) + rng.choice(["", " ", "  "]) for _ in range(rng.randint(0, 40))) for _ in range(400)]
-    coder = packing.WordTokenizer(packing.vocabulary_path(), 50, 20)
+    monkeypatch.setattr(packing, "CHUNK", 700)
+    coder = packing.WordTokenizer(packing.vocabulary_path(), 50)
+    texts[7] = "lorem (ipsum) dolor-sit " * 200 + "z" * 900
     got = [x for i in range(0, 400, 16) for x in coder.encode(texts[i : i + 16])]
     assert [np.frombuffer(x, coder.type).tolist() for x in got] == [inner.encode(t, add_special_tokens=False).ids for t in texts]
 
