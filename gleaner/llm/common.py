@@ -56,7 +56,7 @@ def fold(column: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % F.lit(modulus), F.lit(0))
 
 
-def ordered_buckets(df: DataFrame, key: str, tie: str, rows_per_bucket: int, ranges: int = 256) -> Column:
+def ordered_buckets(df: DataFrame, key: str, tie: str, rows_per_bucket: int, ranges: int = 128) -> Column:
     """The number of a row's bucket: buckets follow the order of (key, tie), rows
     without a key come first, and a bucket holds about ``rows_per_bucket`` rows.
 
@@ -67,13 +67,10 @@ def ordered_buckets(df: DataFrame, key: str, tie: str, rows_per_bucket: int, ran
     k = F.col(key).cast("long")
     found = df.agg(F.percentile_approx(k, [i / ranges for i in range(ranges)], 10 * ranges)).first()[0] or []
     edges = sorted(set(found) | {x + 1 for x in found if found.count(x) > 1 and x < 2**63 - 1})
-    step = 24
-    blocks = [edges[i : i + step] for i in range(0, len(edges), step)] or [[]]
-    heads = F.lit([b[0] for b in blocks if b][1:]).cast("array<long>")
-    below = lambda bounds: F.size(F.filter(bounds, lambda e: e <= k))
-    block = below(heads)
-    number = block * F.lit(step) + below(F.element_at(F.array(*[F.lit(b).cast("array<long>") for b in blocks]), block + 1))
-    rank = F.when(k.isNull(), F.lit(-1)).otherwise(number)
+    bounds = F.lit(edges).cast("array<long>")
+    # edges up to the key: its place among them, and itself if it is one
+    number = F.array_position(F.sort_array(F.array_append(bounds, k)), k) - 1 + F.array_contains(bounds, k).cast("int")
+    rank = F.when(k.isNull(), F.lit(-1)).otherwise(number.cast("int"))
     stats = {r["r"]: r for r in df.groupBy(rank.alias("r")).agg(F.count(F.lit(1)).alias("n"), F.min(k).alias("lo"), F.max(k).alias("hi")).collect()}
     first, cells = 0, []
     for r in range(-1, len(edges) + 1):
