@@ -1,7 +1,13 @@
 """The corpus pipeline: four stages, each written as Parquet and read again.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
-return the columns of ``documents``.
+return the columns of ``documents``, and columns beyond those pass through them too.
+
+Defined cases: in every stage an empty table gives no rows, texts of any length are
+handled whole, and rows are told apart by their own, not by ids, so that rows without
+an id or with a repeated one are documents of their own. A text that is null, or has no
+letter, is in no language and goes in the first stage. Of rows that repeat both id and
+text one stays in the second. What each operator does beyond that is in its module.
 """
 
 from __future__ import annotations
@@ -15,12 +21,14 @@ from gleaner.llm.common import shared_folder, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in none of the learned languages go."""
+    """Documents go that have no letter, or that parse by their best language hardly
+    better than its own letters in random order do."""
     return language.in_known_language(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near copies of an earlier document that stays go: 0.8 or more of five-word shingles."""
+    """Of each group of near copies the first by id stays; groups are linked by 0.8 or
+    more of the five-word shingles."""
     return shingles.keep_one(docs)
 
 
@@ -31,7 +39,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every token of what is left in a training sequence."""
-    return packing.pack(docs, packing.vocabulary_path(), words=100_000, cores=100_000)  # the stages share the executors' memory
+    return packing.pack(docs, packing.vocabulary_path(), cached=400_000)  # the stages share the executors' memory
 
 
 STAGES = [
@@ -45,6 +53,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of the ``documents`` of ``sf_dir``; the stages' tables stay in the
+    shared folder, for the result is read from the last one."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (name, stage) in enumerate(STAGES):
