@@ -56,7 +56,7 @@ def fold(column: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % F.lit(modulus), F.lit(0))
 
 
-def ordered_buckets(df: DataFrame, key: str, tie: str, rows_per_bucket: int, ranges: int = 128) -> Column:
+def ordered_buckets(df: DataFrame, key: str, tie: str, rows_per_bucket: int, ranges: int = 64) -> Column:
     """The number of a row's bucket: buckets follow the order of (key, tie), rows
     without a key come first, and a bucket holds about ``rows_per_bucket`` rows.
 
@@ -67,10 +67,14 @@ def ordered_buckets(df: DataFrame, key: str, tie: str, rows_per_bucket: int, ran
     k = F.col(key).cast("long")
     found = df.agg(F.percentile_approx(k, [i / ranges for i in range(ranges)], 10 * ranges)).first()[0] or []
     edges = sorted(set(found) | {x + 1 for x in found if found.count(x) > 1 and x < 2**63 - 1})
-    bounds = F.lit(edges).cast("array<long>")
-    # edges up to the key: its place among them, and itself if it is one
-    number = F.array_position(F.sort_array(F.array_append(bounds, k)), k) - 1 + F.array_contains(bounds, k).cast("int")
-    rank = F.when(k.isNull(), F.lit(-1)).otherwise(number.cast("int"))
+
+    def number(low: int, high: int) -> Column:  # how many edges are up to the key, by halves
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(k < F.lit(edges[middle]).cast("long"), number(low, middle)).otherwise(number(middle + 1, high))
+
+    rank = F.when(k.isNull(), F.lit(-1)).otherwise(number(0, len(edges)))
     stats = {r["r"]: r for r in df.groupBy(rank.alias("r")).agg(F.count(F.lit(1)).alias("n"), F.min(k).alias("lo"), F.max(k).alias("hi")).collect()}
     first, cells = 0, []
     for r in range(-1, len(edges) + 1):
@@ -82,7 +86,8 @@ def ordered_buckets(df: DataFrame, key: str, tie: str, rows_per_bucket: int, ran
     evenly = F.col(tie).cast("double") / F.lit(2.0**64) + F.lit(0.5)
     share = F.when(at(3, "double") > 0, (k.cast("double") - at(2, "double")) / at(3, "double")).otherwise(evenly)
     inside = F.least(F.floor(share * at(1, "long")).cast("long"), at(1, "long") - 1)
-    return at(0, "long") + F.greatest(F.coalesce(inside, F.lit(0)), F.lit(0))
+    # never null, and known not to be, so that no filter of nulls tells one use of it from another
+    return F.coalesce(at(0, "long") + F.greatest(F.coalesce(inside, F.lit(0)), F.lit(0)), F.lit(0).cast("long"))
 
 
 def bases(sums: DataFrame, group: str, bucket: str, value: str, fan: int = 1024) -> DataFrame:
