@@ -2,139 +2,130 @@
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+from gleaner.functions.scalars import strip
+from gleaner.functions.tree import Page
+
+#: Elements whose text is dropped, those whose start and end flush a line
+#: of the full text, and the styles that hide an element.
 DROPPED = frozenset("script style noscript svg meta link".split())
-#: Elements whose start and end flush a line of the full text (fixed values).
-LINES = frozenset("address article aside blockquote body br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tr ul".split())
+LINES = frozenset(
+    "div section article aside header footer nav main h1 h2 h3 h4 h5 h6 p blockquote pre ul ol li table tr td th br hr dd dt dl figcaption figure details summary".split()
+)
 HIDDEN = ("display:none", "visibility:hidden")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+SNIPPET_TAGS = ("h1", "h2", "h3", "h4", "p", "li")
+NOT_VISIBLE = frozenset("script style noscript".split())
+
+
+def table_text(rows: list[list[str | None]]) -> str:
+    """Rows of cells padded to their column's width, with a rule as long as the first
+    row under it; a missing cell is empty."""
+    shown = [["" if cell is None else str(cell) for cell in row] for row in rows or []]
+    widths: dict[int, int] = {}
+    for row in shown:
+        for k, cell in enumerate(row):
+            widths[k] = max(widths.get(k, 0), len(cell))
+    lines = [" | ".join(cell.ljust(widths[k]) for k, cell in enumerate(row)) for row in shown]
+    return "\n".join([*lines[:1], *["-" * len(x) for x in lines[:1]], *lines[1:]])
 
 
-class Element:
-    def __init__(self, tag: str, attrs: dict) -> None:
-        self.tag, self.attrs, self.children = tag, attrs, []
-
-    def strings(self) -> list[str]:
-        out: list[str] = []
-        for c in self.children:
-            out += [c] if isinstance(c, str) else c.strings()
-        return out
-
-    def text(self) -> str:
-        """Stripped strings, joined without a separator."""
-        return "".join(s.strip() for s in self.strings())
-
-    def walk(self):  # noqa: ANN201
-        for c in self.children:
-            if not isinstance(c, str):
-                yield c
-                yield from c.walk()
-
-
-class Tree(HTMLParser):
-    """A tree that keeps unclosed elements nested, without the dropped ones."""
-
-    def __init__(self, page: str) -> None:
-        super().__init__(convert_charrefs=True)
-        self.root = Element("", {})
-        self.stack, self.skip = [self.root], 0
-        self.feed(page)
-        self.close()
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in DROPPED:
-            self.skip += tag not in VOID
-            return
-        if not self.skip:
-            made = Element(tag, dict(attrs))
-            self.stack[-1].children.append(made)
-            if tag not in VOID:
-                self.stack.append(made)
-
-    def handle_endtag(self, tag: str) -> None:
-        if tag in DROPPED:
-            self.skip -= tag not in VOID and self.skip > 0
-            return
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].tag == tag:
-                del self.stack[k:]
-                break
-
-    def handle_data(self, data: str) -> None:
-        if not self.skip:
-            self.stack[-1].children.append(data)
-
-
-def table_text(rows: list[list[str]]) -> str:
-    """Rows of cells padded to their column's width, with a rule under the header."""
-    if not rows:
-        return ""
-    widths = [max((len(r[k]) for r in rows if k < len(r)), default=0) for k in range(max(map(len, rows)))]
-    lines = [" | ".join((r[k] if k < len(r) else "").ljust(w) for k, w in enumerate(widths)).rstrip() for r in rows]
-    return "\n".join([lines[0], "-+-".join("-" * w for w in widths), *lines[1:]])
-
-
-def semantic(root: Element) -> str:
+@F.pandas_udf(T.StringType())
+def table_texts(tables: pd.Series) -> pd.Series:
+    """Of array<array<string>>."""
+    return pd.Series([None if t is None else table_text([list(r) for r in t]) for t in tables], dtype=object)
+
+
+def semantic(page: Page, texts: list[str], gone: list[bool]) -> str:
     """Headings, paragraphs, list items and tables; nested matches repeat their text."""
     out = []
-    for e in root.walk():
-        if len(e.tag) == 2 and e.tag[0] == "h" and e.tag[1] in "123456":
-            out.append("#" * int(e.tag[1]) + " " + e.text())
-        elif e.tag == "p":
-            out.append(e.text())
-        elif e.tag in ("ul", "ol"):
-            out += ["  • " + c.text() for c in e.children if not isinstance(c, str) and c.tag == "li"]
-        elif e.tag == "table":
-            rows = [[c.text() for c in r.walk() if c.tag in ("td", "th")] for r in e.walk() if r.tag == "tr"]
-            out += ["[TABLE]", *[" | ".join(r) for r in rows if r]]
-    return "\n".join(x for x in out if x.strip("# •"))
-
-
-def full(root: Element) -> str:
-    """All visible text, a line for each block."""
+    text = lambda k: "".join(texts[page.first[k] : page.last[k]])
+    for k, tag in enumerate(page.tags):
+        if gone[k]:
+            continue
+        if tag in HEADINGS:
+            if found := text(k):
+                out.append(f"\n{'#' * int(tag[1])} {found}\n")
+        elif tag == "p":
+            if found := text(k):
+                out.append(f"{found}\n")
+        elif tag in ("ul", "ol"):
+            out += [f"  • {found}\n" for c in range(k + 1, page.ends[k]) if page.tags[c] == "li" and page.parents[c] == k and (found := text(c))]
+        elif tag == "table":
+            out.append("\n[TABLE]\n")
+            for r in range(k + 1, page.ends[k]):
+                if page.tags[r] == "tr":
+                    cells = [text(c) for c in range(r + 1, page.ends[r]) if page.tags[c] in ("td", "th")]
+                    out += [" | ".join(cells) + "\n"] if cells else []
+            out.append("\n")
+    return "".join(out)
+
+
+def full(page: Page, texts: list[str], gone: list[bool]) -> str:
+    """All text of the body that no style hides, a line for each block, its strings one
+    blank apart; of the whole page where there is no body."""
     lines: list[str] = []
     current: list[str] = []
 
     def flush() -> None:
-        if line := " ".join("".join(current).split()):
+        if line := " ".join(current).strip():
             lines.append(line)
         current.clear()
 
-    def visit(e: Element) -> None:
-        style = (e.attrs.get("style") or "").replace(" ", "").lower()
+    body = next(iter(k for k in page.find("body") if not gone[k]), None)
+    hidden = 0
+    open_ = body is None
+    for what, k in page.events:
+        if what == 0:
+            if open_ and not hidden and texts[k]:
+                current.append(texts[k])
+            continue
+        if k == body:
+            open_ = what == 1
+        style = page.attrs[k].get("style", "").replace(" ", "")
         if any(h in style for h in HIDDEN):
-            return
-        if e.tag in LINES:
-            flush()
-        for c in e.children:
-            current.append(c) if isinstance(c, str) else visit(c)
-        if e.tag in LINES:
+            hidden += what
+        elif open_ and not hidden and page.tags[k] in LINES:
             flush()
-
-    visit(root)
     flush()
     return "\n".join(lines)
 
 
+FIELDS = ("semantic", "full", "visible", "title", "snippets", "whole")
 
-@F.pandas_udf(T.StructType([T.StructField(k, T.StringType()) for k in ("semantic", "full", "visible", "title")]))
-def page_texts(pages: pd.Series) -> pd.DataFrame:
-    out = []
-    for page in pages:
-        root = Tree(page or "").root
-        heads = [e.text() for e in root.walk() if e.tag in ("title", "h1", "h2")]
-        out.append((semantic(root), full(root), " ".join(s.strip() for s in root.strings() if s.strip()), " ".join(heads)))
-    return pd.DataFrame(out, columns=["semantic", "full", "visible", "title"])
+
+def read(html: str | None) -> tuple[str, ...]:
+    page = Page(html)
+    gone, texts = page.within(DROPPED), page.texts(DROPPED)
+    every = page.texts()
+    seen = page.texts(NOT_VISIBLE)
+    text = lambda k: "".join(every[page.first[k] : page.last[k]])
+    heads = [text(k) for k in [*page.find("title")[:1], *page.find("h1", "h2")]]
+    pieces = [x for k in page.find(*SNIPPET_TAGS) if len(x := text(k)) > 3]
+    code = [o >= 0 and page.tags[o] in ("script", "style", "template") for o in page.owners]
+    whole = "".join(s for s, c in zip(page.strings, code, strict=True) if not c)
+    return (
+        semantic(page, texts, gone), full(page, texts, gone), " ".join(x for x in seen if x), " ".join(x for x in heads if x),
+        " | ".join(pieces)[:500], whole,
+    )
+
+
+@F.pandas_udf(T.StructType([T.StructField(k, T.StringType()) for k in FIELDS]))
+def page_texts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """struct: the semantic and full text, the visible text (for the shell test), the title
+    with all h1 and h2, snippets of headings, paragraphs and items, and the whole text as it stands."""
+    for pages in batches:
+        yield pd.DataFrame([read(p) for p in pages], columns=list(FIELDS))
 
 
 def chosen(texts: Column) -> Column:
     """The full text where it is more than twice as long as the structured one, or
     that has fewer than 200 characters; else the structured text."""
-    s, f = texts["semantic"], texts["full"]
-    return F.when((F.length(F.trim(f)) > 2 * F.length(F.trim(s))) | (F.length(F.trim(s)) < 200), f).otherwise(s)
+    s, f = F.length(strip(texts["semantic"])), F.length(strip(texts["full"]))
+    return F.when((f > 2 * s) | (s < 200), texts["full"]).otherwise(texts["semantic"])

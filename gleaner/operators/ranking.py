@@ -21,26 +21,45 @@ def coefficient(kind: Column, weights: dict[str, str] = COEFFICIENTS) -> Column:
 
 
 def scores(listings: DataFrame, item: str, venue: str, kind: str, weights: dict[str, str] = COEFFICIENTS, mode: str = "listings") -> DataFrame:
-    """(item, score, n): ``listings`` mode counts each listing, ``venues`` mode each
-    venue once. Equal (item, venue) pairs are summed before the coefficient applies."""
-    pairs = listings.groupBy(item, venue, kind).agg(F.count(F.lit(1)).alias("times"))
-    times = F.lit(1).cast("long") if mode == "venues" else F.col("times")
-    return pairs.groupBy(item).agg(F.sum(coefficient(F.col(kind), weights) * times.cast("decimal(18,0)")).cast("decimal(28,1)").alias("score"), F.sum(times).alias("n"))
+    """(item, score, n): ``listings`` mode counts each listing, and is summed before the
+    shuffle; ``venues`` mode counts each venue of an item once."""
+    rows = listings if mode == "listings" else listings.select(item, venue, kind).distinct()
+    return rows.groupBy(item).agg(F.sum(coefficient(F.col(kind), weights)).cast("decimal(28,1)").alias("score"), F.count(F.lit(1)).alias("n"))
 
 
 def normalised(ranked: DataFrame, low: float = 1.0, high: float = 10.0) -> DataFrame:
-    """Scores on a scale from 1 to 10, beside the raw ones."""
+    """Scores on a scale from 1 to 10, beside the raw ones; one row is joined to all."""
     ends = ranked.agg(F.min("score").alias("_min"), F.max("score").alias("_max"))
     span = F.col("_max") - F.col("_min")
     scaled = F.when(span > 0, low + (high - low) * (F.col("score") - F.col("_min")).cast("double") / span.cast("double")).otherwise(high)
     return ranked.crossJoin(F.broadcast(ends)).withColumn("rank_1_10", scaled).drop("_min", "_max")
 
 
+def place_of(ranked: DataFrame, item: str, wanted: list) -> DataFrame:
+    """D2r: of the items ``wanted``: (item, score, place, share_below): their place among all, and
+    the share of the others that score less; how popular each is."""
+    few = ranked.where(F.col(item).isin(*wanted)).select(item, "score")
+    pairs = ranked.select(F.col("score").alias("_s")).groupBy("_s").agg(F.count(F.lit(1)).alias("_n")).join(F.broadcast(few.select("score").distinct()))
+    counts = pairs.groupBy("score").agg(F.sum(F.when(F.col("_s") > F.col("score"), F.col("_n")).otherwise(0)).alias("_above"), F.sum(F.when(F.col("_s") < F.col("score"), F.col("_n")).otherwise(0)).alias("_below"), F.sum("_n").alias("_all"))
+    share = F.when(F.col("_all") > 1, F.col("_below") / (F.col("_all") - 1)).otherwise(F.lit(0.0))
+    return few.join(counts, "score").select(item, "score", (F.col("_above") + 1).cast("int").alias("place"), share.alias("share_below"))
+
+
+def versus(ranked: DataFrame, pairs: DataFrame, item: str) -> DataFrame:
+    """D4r: ``pairs(item, other)`` with ``verdict``: better, worse, equal, or null where one has no score."""
+    a = ranked.select(F.col(item).alias("item"), F.col("score").alias("_x"))
+    b = ranked.select(F.col(item).alias("other"), F.col("score").alias("_y"))
+    verdict = F.when(F.col("_x") > F.col("_y"), "better").when(F.col("_x") < F.col("_y"), "worse").when(F.col("_x") == F.col("_y"), "equal")
+    return pairs.join(a, "item", "left").join(b, "other", "left").select("item", "other", verdict.alias("verdict"))
+
+
 def top_per(ranked: DataFrame, group: str, item: str, n: int = 10) -> DataFrame:
-    """The ``n`` best of each group with their dense rank; ties by the item."""
-    place = Window.partitionBy(group).orderBy(F.col("score").desc(), F.col(item))
-    dense = F.dense_rank().over(Window.partitionBy(group).orderBy(F.col("score").desc()))
-    return ranked.withColumns({"place": F.row_number().over(place), "dense": dense}).where(F.col("place") <= n)
+    """D3r, D7r: the ``n`` best of each group with their dense rank; ties by the item. The limit by
+    place is known before the shuffle; the dense rank looks at what is left alone, which
+    holds the best of the group, so it is the rank among all."""
+    place = F.row_number().over(Window.partitionBy(group).orderBy(F.col("score").desc(), F.col(item)))
+    best = ranked.withColumn("place", place).where(F.col("place") <= n)
+    return best.withColumn("dense", F.dense_rank().over(Window.partitionBy(group).orderBy(F.col("score").desc())))
 
 
 def entity_key(name: Column) -> Column:

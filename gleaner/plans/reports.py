@@ -137,8 +137,12 @@ def listing_search(spark: SparkSession, d: str) -> DataFrame:
     return rows.orderBy(F.asc_nulls_last("p_name"), "l_orderkey", "l_linenumber").limit(100).select("l_orderkey", "l_linenumber", "p_name", "p_brand", "c_name")
 
 
-def filtered(df: DataFrame, name: str | None = None, segments: list[str] | None = None, site: int | None = None, has_balance: bool | None = None) -> DataFrame:
-    """Only the filters that are given; wildcards in ``name`` are left as they are."""
+def filtered(df: DataFrame, name: str | None = None, segments: list[str] | None = None, site: int | None = None, has_balance: bool | None = None, site_name: str | None = None, sites: DataFrame | None = None) -> DataFrame:
+    """Only the filters that are given; wildcards in ``name`` are left as they are. J7: a
+    ``site_name`` is looked up in ``sites``, and one that is unknown filters nothing."""
+    if site_name and sites is not None:
+        found = sites.where(F.col("n_name") == site_name).agg(F.min("n_nationkey").alias("_site"))  # one row
+        df = df.join(F.broadcast(found), F.col("_site").isNull() | (F.col("c_nationkey") == F.col("_site"))).drop("_site")
     if name:
         df = df.where(F.col("c_name").ilike(f"%{name}%"))
     if segments:
@@ -182,36 +186,67 @@ def child_counts(spark: SparkSession, d: str) -> DataFrame:
     return joined.select("n_name", F.coalesce("venues", F.lit(0)).alias("venues"), F.coalesce("jobs", F.lit(0)).alias("jobs"))
 
 
-@query("""WITH w AS (SELECT DISTINCT o_custkey AS wanted FROM orders WHERE o_custkey % 7 = 0), q AS (SELECT wanted, 'customer#' || lpad(CAST(wanted AS VARCHAR), 9, '0') AS name FROM w)
- SELECT wanted, min(c_custkey) AS id FROM q JOIN customer ON lower(c_name) = name GROUP BY wanted""")
+NAME_SQL = "CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) WHEN o_orderkey % 3 = 1 THEN ' customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') ELSE 'CUSTOMER#' || lpad(CAST(o_custkey + 1 AS VARCHAR), 9, '0') || ' ' END"
+
+
+@query(f"""WITH w AS (SELECT DISTINCT {NAME_SQL} AS wanted FROM orders), t AS (SELECT wanted, trim(wanted) AS v FROM w)
+ SELECT wanted, min(c_custkey) AS id FROM t JOIN customer ON (regexp_full_match(v, '[0-9]+') AND CAST(c_custkey AS VARCHAR) = v) OR (NOT regexp_full_match(v, '[0-9]+') AND lower(c_name) = lower(v)) GROUP BY wanted""")
 def resolve_name(spark: SparkSession, d: str) -> DataFrame:
-    """P10: names resolved exactly without regard to case, the smallest id of equals."""
+    """P10: every order's customer by what it is called: digits are an id, else a name
+    without regard to case; the smallest id of equals."""
     o, c = load(spark, d, "orders", "customer")
-    wanted = o.where("o_custkey % 7 = 0").select(F.col("o_custkey").alias("wanted")).distinct()
-    named = wanted.withColumn("name", F.concat(F.lit("customer#"), F.lpad(F.col("wanted").cast("string"), 9, "0")))
-    return named.join(c.select(F.lower("c_name").alias("name"), "c_custkey"), "name").groupBy("wanted").agg(F.min("c_custkey").alias("id"))
+    k, n = F.col("o_orderkey") % 3, F.col("o_custkey")
+    name = lambda x: F.concat(F.lit("customer#"), F.lpad(x.cast("string"), 9, "0"))
+    wanted = o.select(F.when(k == 0, n.cast("string")).when(k == 1, F.concat(F.lit(" "), name(n))).otherwise(F.concat(F.upper(name(n + 1)), F.lit(" "))).alias("wanted")).distinct()
+    return resolve_all(c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), wanted)
+
+
+def resolve_all(venues: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(wanted, id) of many: by id if all digits, else by the whole name. Two equi-joins
+    over aggregated names; parts of names are looked for by ``resolve``, one at a time."""
+    value = X.strip(F.col("wanted"))
+    rows = wanted.select("wanted", value.alias("_v"), value.rlike("^[0-9]+$").alias("_digits")).where(value != "")
+    ids = rows.where("_digits").join(venues.select("id"), F.col("_v").cast("long") == F.col("id")).select("wanted", "id")
+    names = venues.groupBy(F.lower("name").alias("_n")).agg(F.min("id").alias("id"))
+    return ids.unionByName(rows.where("NOT _digits").join(names, F.lower("_v") == F.col("_n")).select("wanted", "id"))
 
 
 def resolve(venues: DataFrame, identifier: str, site: int | None = None) -> DataFrame:
     """P10 for one identifier: digits are an id of any site; else an exact name, else
-    a part of one, of the site if given. At most one row, the smallest id of a tier."""
-    if identifier.isdigit():
-        return venues.where(F.col("id") == int(identifier))
+    a part of one, of the site if given. At most one row, the smallest id of a tier; none
+    for a blank one. Wildcards are left as they are."""
+    value = identifier.strip()
+    if not value:
+        return venues.limit(0)
+    if value.isdigit():
+        return venues.where(F.col("id") == int(value))
     if site is not None:
         venues = venues.where(F.col("site_id") == site)
-    tier = F.when(F.col("name").ilike(identifier), 0).when(F.col("name").ilike(f"%{identifier}%"), 1)
+    tier = F.when(F.col("name").ilike(value), 0).when(F.col("name").ilike(f"%{value}%"), 1)
     return venues.withColumn("_tier", tier).where(F.col("_tier").isNotNull()).orderBy("_tier", "id").limit(1).drop("_tier")
 
 
-@query("""WITH q AS (SELECT unnest(['asia','EUROPE','east','america','']) AS wanted), t AS (SELECT wanted, r_regionkey, CASE WHEN lower(r_name) = lower(wanted) THEN 0 WHEN ends_with(lower(r_name), ' ' || lower(wanted)) THEN 1 END AS tier FROM q CROSS JOIN region WHERE wanted <> '')
- SELECT wanted, CAST(min(r_regionkey) AS INTEGER) AS id FROM t WHERE tier IS NOT NULL GROUP BY wanted""")
+def resolve_sites(sites: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(wanted, id): a site by its whole name, else by the last words of it, without
+    regard to case; the smallest id of the first tier that fits; blank names resolve to none."""
+    words = F.split(F.lower("site_name"), " ")
+    tails = F.transform(F.sequence(F.lit(1), F.size(words)), lambda k: F.struct(F.array_join(F.slice(words, k, F.size(words)), " ").alias("form"), (k > 1).cast("int").alias("tier")))
+    forms = sites.select("id", F.explode(tails).alias("f")).select("f.form", F.struct("f.tier", "id").alias("rank")).groupBy("form").agg(F.min("rank").alias("rank"))
+    value = F.lower(X.strip(F.col("wanted")))
+    return wanted.where(value != "").join(forms, value == F.col("form")).select("wanted", F.col("rank.id").alias("id"))
+
+
+@query("""WITH q AS (SELECT DISTINCT CASE o_orderkey % 3 WHEN 0 THEN c_mktsegment WHEN 1 THEN split_part(c_name, '#', 1) ELSE '' END AS wanted FROM orders JOIN customer ON o_custkey = c_custkey),
+ s AS (SELECT c_custkey AS id, lower(c_mktsegment || ' ' || split_part(c_name, '#', 1)) AS n FROM customer),
+ t AS (SELECT wanted, id, CASE WHEN n = lower(wanted) THEN 0 WHEN ends_with(n, ' ' || lower(wanted)) THEN 1 END AS tier FROM q CROSS JOIN s WHERE wanted <> '')
+ SELECT wanted, arg_min(id, tier * 1000000000 + id) AS id FROM t WHERE tier IS NOT NULL GROUP BY wanted""")
 def resolve_site(spark: SparkSession, d: str) -> DataFrame:
-    """A site by its name or the last words of it; blank names resolve to none."""
-    r = table(spark, d, "region")
-    names = r.select("r_regionkey", F.lower("r_name").alias("n"))
-    forms = names.select("r_regionkey", F.explode(F.transform(F.sequence(F.lit(1), F.size(F.split("n", " "))), lambda k: F.array_join(F.slice(F.split("n", " "), k, 99), " "))).alias("form"))
-    wanted = r.select(F.explode(F.array(*map(F.lit, ("asia", "EUROPE", "east", "america", "")))).alias("wanted")).distinct().where("wanted <> ''")
-    return wanted.join(forms, F.lower("wanted") == F.col("form")).groupBy("wanted").agg(F.min("r_regionkey").cast("int").alias("id"))
+    """P11 over names of two words each, asked for by their first word, last word or none."""
+    o, c = load(spark, d, "orders", "customer")
+    first = F.split_part("c_name", F.lit("#"), F.lit(1))
+    k = F.col("o_orderkey") % 3
+    asked = o.join(c, F.col("o_custkey") == F.col("c_custkey")).select(F.when(k == 0, F.col("c_mktsegment")).when(k == 1, first).otherwise("").alias("wanted")).distinct()
+    return resolve_sites(c.select(F.col("c_custkey").alias("id"), F.concat_ws(" ", "c_mktsegment", first).alias("site_name")), asked)
 
 
 @query("""SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
@@ -235,22 +270,58 @@ def upsert_snapshot(spark: SparkSession, d: str) -> DataFrame:
     return merged.withColumn("segment", X.nullif_blank(F.col("segment")))
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'download_failed' WHEN nullif(path, '') IS NOT NULL THEN 'found' WHEN nullif(url, '') IS NOT NULL THEN 'download_failed'
- WHEN nullif(site, '') IS NULL THEN 'no_website' ELSE 'not_found' END AS status, (o_orderstatus = 'O') AND NOT (o_orderkey % 2 = 0) AS skipped FROM (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN 'x' ELSE '' END AS path,
- CASE WHEN o_orderkey % 5 = 0 THEN 'u' END AS url, CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 's' END AS site FROM orders) t""")
+@query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'download_list_failed' WHEN url <> '' AND path <> '' THEN 'wine_list_found' WHEN url <> '' THEN 'download_list_failed'
+ WHEN site <> '' THEN 'no_wine_list' ELSE 'no_website' END AS status, (o_orderstatus = 'O') AND NOT (o_orderkey % 2 = 0) AS skipped FROM (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN 'x' ELSE '' END AS path,
+ CASE WHEN o_orderkey % 5 < 2 THEN 'u' END AS url, CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 's' END AS site FROM orders) t""")
 def outcome_status(spark: SparkSession, d: str) -> DataFrame:
     k, status = F.col("o_orderkey"), F.col("o_orderstatus")
-    found = lifecycle.outcome(F.when(k % 5 == 0, "u"), F.when(k % 3 == 0, "x").otherwise(""), status == "F", F.when(k % 7 == 0, "").otherwise("s"))
-    return table(spark, d, "orders").select("o_orderkey", found.alias("status"), lifecycle.skipped(F.when(status == "O", "found").otherwise("pending"), k % 2 == 0).alias("skipped"))
-
-
-@query(r"""WITH u AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS bare, url FROM pages)
- SELECT page_id, CASE WHEN regexp_matches(bare, '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*/.+/$') THEN regexp_replace(bare, '/$', '') ELSE bare END AS normal,
- lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) AS host, ends_with(lower(bare), '.pdf') AS pdf,
- regexp_matches(url, '(?i)binwise\.com|starwinelist\.com') AS platform, regexp_matches(url, '(?i)/shop(/|$)|#$|/login') AS skipped FROM u""")
+    found = lifecycle.outcome(F.when(k % 5 < 2, "u"), F.when(k % 3 == 0, "x").otherwise(""), status == "F", F.when(k % 7 == 0, "").otherwise("s"))
+    return table(spark, d, "orders").select("o_orderkey", found.alias("status"), lifecycle.skipped(F.when(status == "O", "wine_list_found").otherwise("pending"), k % 2 == 0).alias("skipped"))
+
+
+STATE_SQL = """SELECT o_orderkey, o_orderkey % 11 <> 0 AS venue, CASE o_orderkey % 3 WHEN 0 THEN 'w' WHEN 1 THEN '' END AS website, CASE o_orderstatus WHEN 'O' THEN 'wine_list_found' WHEN 'F' THEN 'pending' END AS status,
+ o_orderkey % 2 = 0 AS force, CASE WHEN o_orderkey % 5 < 3 THEN 'u' END AS url, CASE WHEN o_orderkey % 7 < 4 THEN '/p' END AS path, CASE o_orderkey % 4 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS failed, o_orderkey % 6 = 0 AS searched,
+ CAST(o_orderkey % 4 AS INTEGER) AS idx, CAST(o_orderkey % 3 AS INTEGER) AS urls, CAST(o_orderkey % 5 + 1 AS INTEGER) AS page, CAST(o_orderkey % 6 AS INTEGER) AS pages, CAST(CASE WHEN o_orderkey % 8 > 0 THEN o_orderkey % 8 - 1 END AS INTEGER) AS failures FROM orders"""
+
+
+@query(f"""SELECT o_orderkey,
+ CASE WHEN NOT venue OR (coalesce(status, '') = 'wine_list_found' AND NOT force) THEN 'save' WHEN coalesce(website, '') <> '' THEN 'crawl' ELSE 'search' END AS after_process,
+ CASE WHEN NOT venue THEN 'save' WHEN url IS NOT NULL THEN 'download' ELSE 'search' END AS after_crawl,
+ CASE WHEN venue AND path IS NOT NULL AND NOT coalesce(failed, FALSE) THEN 'extract' WHEN venue AND coalesce(failed, FALSE) AND NOT searched THEN 'search' ELSE 'save' END AS after_download,
+ CASE WHEN venue AND url IS NOT NULL THEN 'download' ELSE 'save' END AS after_search,
+ CASE WHEN coalesce(failures, 0) >= 3 AND urls = 0 THEN CASE WHEN pages > 0 AND page <= pages THEN 'next_page' ELSE 'done' END WHEN idx < urls THEN 'next_venue' WHEN pages > 0 AND page + 1 <= pages THEN 'next_page' ELSE 'done' END AS after_save
+ FROM ({STATE_SQL}) t""")
+def routes(spark: SparkSession, d: str) -> DataFrame:
+    """What comes after each step, for every state of a venue."""
+    k = F.col("o_orderkey")
+    status = F.when(F.col("o_orderstatus") == "O", "wine_list_found").when(F.col("o_orderstatus") == "F", "pending")
+    venue, website = k % 11 != 0, F.when(k % 3 == 0, "w").when(k % 3 == 1, "")
+    url, path, failed = F.when(k % 5 < 3, "u"), F.when(k % 7 < 4, "/p"), F.when(k % 4 == 0, True).when(k % 4 == 1, False)
+    return table(spark, d, "orders").select(
+        "o_orderkey", lifecycle.route_after_process(venue, website, status, k % 2 == 0).alias("after_process"), lifecycle.route_after_crawl(venue, url).alias("after_crawl"),
+        lifecycle.route_after_download(venue, path, failed, k % 6 == 0).alias("after_download"), lifecycle.route_after_search(venue, url).alias("after_search"),
+        lifecycle.route_after_save(k % 4, k % 3, k % 5 + 1, k % 6, F.when(k % 8 > 0, k % 8 - 1)).alias("after_save"),
+    )
+
+
+ODD_URLS = ("/list.pdf", "/Wine%20List.PDF?x=1", "/Login;a=1", "/shop/#", "/a/b/;p?q#f", "")
+HOSTS = ("hub.binwise.com", "bw-winelist.s3.org", "www.starwinelist.com", "ENOWINE.com", "wineby.com", "binwise.com/restaurant", "opentable.com", "plain.org")
+URL_SQL = "SELECT page_id, CASE CAST(page_id % 9 AS INTEGER) " + " ".join(f"WHEN {k} THEN 'HTTPS://{h}' || x" for k, h in enumerate(HOSTS)) + " ELSE url || x END AS u FROM (SELECT page_id, url, CASE CAST(page_id % 7 AS INTEGER) " + " ".join(f"WHEN {k} THEN '{x}'" for k, x in enumerate(ODD_URLS)) + " ELSE '/careers' END AS x FROM pages) p"
+SKIPPED_SQL = X.SKIPPED.replace("'", "''")
+
+
+@query(rf"""WITH s AS ({URL_SQL}), t AS (SELECT page_id, u, lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) AS scheme, regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) AS host,
+ regexp_replace(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), ';[^/]*$', '') AS path FROM s)
+ SELECT page_id, scheme || '://' || host || CASE WHEN length(path) > 1 THEN regexp_replace(path, '/$', '') ELSE path END AS normal, lower(host) AS host, ends_with(lower(url_decode(path)), '.pdf') AS pdf,
+ regexp_matches(u, '(?i)hub\.binwise\.com|bw-winelist|binwise\.com/restaurant|starwinelist\.com|enowine\.com|wineby\.com') AS platform, regexp_matches(u, '{SKIPPED_SQL}') AS skipped FROM t""")
 def url_parts(spark: SparkSession, d: str) -> DataFrame:
-    u = F.col("url")
-    return table(spark, d, "pages").select("page_id", X.normalize_url(u).alias("normal"), X.domain(u).alias("host"), X.is_pdf(u).alias("pdf"), X.is_platform(u).alias("platform"), X.is_skipped(u).alias("skipped"))
+    """X2-X6 over the pages' urls, in many forms and on many hosts."""
+    p = table(spark, d, "pages")
+    end = F.get(F.array(*map(F.lit, ODD_URLS)), (F.col("page_id") % 7).cast("int"))
+    host = F.get(F.array(*map(F.lit, HOSTS)), (F.col("page_id") % 9).cast("int"))
+    rows = p.select("page_id", F.concat(F.coalesce(F.concat(F.lit("HTTPS://"), host), F.col("url")), F.coalesce(end, F.lit("/careers"))).alias("u"))
+    u = F.col("u")
+    return rows.select("page_id", X.normalize_url(u).alias("normal"), X.domain(u).alias("host"), X.is_pdf(u).alias("pdf"), X.is_platform(u).alias("platform"), X.is_skipped(u).alias("skipped"))
 
 
 @query("""SELECT event_id, CASE WHEN s >= 3600 THEN (s // 3600) || 'h ' || (s % 3600 // 60) || 'm ' || (s % 60) || 's' WHEN s >= 60 THEN (s // 60) || 'm ' || (s % 60) || 's' ELSE s || 's' END AS shown
@@ -259,11 +330,19 @@ def duration_format(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", X.duration_text(F.floor(F.col("value") * 60)).alias("shown"))
 
 
+@query("""SELECT event_id, CASE WHEN s >= 60 THEN (s // 60) || 'm ' || (s % 60) || 's' ELSE s || 's' END AS job, CASE WHEN s = 0 THEN '' ELSE (s // 60) || 'm ' || (s % 60) || 's' END AS in_table,
+ strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%d %H:%M') AS minute, strftime(ts, '%Y-%m-%d %H:%M:%S') AS second FROM (SELECT event_id, ts, CAST(floor(value * 60) AS BIGINT) % 400 AS s FROM events) t""")
+def shown_times(spark: SparkSession, d: str) -> DataFrame:
+    """The other rules for durations, and the date formats."""
+    s = F.floor(F.col("value") * 60).cast("long") % 400
+    return table(spark, d, "events").select("event_id", X.duration_of_job(s).alias("job"), X.duration_in_table(s).alias("in_table"), X.day_text(F.col("ts")).alias("day"), X.minute_text(F.col("ts")).alias("minute"), X.second_text(F.col("ts")).alias("second"))
+
+
 @query("""SELECT o_custkey, count(*) AS total, CAST(greatest(1, ceil(count(*) / 4.0)) AS BIGINT) AS pages, 'base' || CASE WHEN o_custkey % 3 = 1 THEN '/bib-gourmand' ELSE '' END || CASE WHEN count(*) > 1 THEN '/page/' || count(*) ELSE '' END AS url FROM orders GROUP BY o_custkey""")
 def page_math(spark: SparkSession, d: str) -> DataFrame:
     per = table(spark, d, "orders").groupBy("o_custkey").agg(count("total"))
     level = F.when(F.col("o_custkey") % 3 == 1, "gourmand").otherwise("all")
-    return per.select("o_custkey", "total", F.greatest(F.lit(1), F.ceil(F.col("total") / 4)).cast("long").alias("pages"), X.listing_url(F.lit("base"), level, F.col("total")).alias("url"))
+    return per.select("o_custkey", "total", X.page_count(F.col("total"), 4).alias("pages"), X.listing_url(F.lit("base"), level, F.col("total")).alias("url"))
 
 
 @query(r"""SELECT page_id, CASE WHEN html LIKE '%$$$$%' THEN '$$$$' WHEN html LIKE '%$$$%' THEN '$$$' WHEN html LIKE '%$$%' THEN '$$' WHEN html LIKE '%$%' THEN '$' END AS band FROM pages""")
@@ -277,20 +356,27 @@ def page_links(spark: SparkSession, d: str) -> DataFrame:
     return links.anchors(table(spark, d, "pages").select("page_id", "html")).select("page_id", "pos", "href")
 
 
-@query()
+@query(r"""WITH a AS (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/]*)', 1) AS root, regexp_extract_all(html, '<a href="([^"]*)">', 1) AS hrefs FROM pages), f AS (SELECT page_id, root, hrefs[i] AS href, CAST(i - 1 AS INTEGER) AS pos FROM (SELECT page_id, root, hrefs, unnest(range(1, len(hrefs) + 1)) AS i FROM a) t),
+ u AS (SELECT page_id, pos, root, CASE WHEN starts_with(href, '/') THEN root || href ELSE href END AS url FROM f)
+ SELECT page_id, pos, CASE WHEN length(url) > length(root) + 1 THEN regexp_replace(regexp_replace(url, '[;?#].*$', ''), '/$', '') ELSE regexp_replace(url, '[;?#].*$', '') END AS link, starts_with(url, root) AS internal FROM u WHERE NOT regexp_matches(url, '""" + SKIPPED_SQL + """')""")
 def link_split(spark: SparkSession, d: str) -> DataFrame:
     """Absolute links, inside or outside the page's host, without skipped ones."""
-    found = links.anchors(table(spark, d, "pages").select("page_id", "url", "html"))
-    full = found.withColumn("abs_url", X.join_url("url", "href")).where(~X.is_skipped(F.col("abs_url")))
-    return full.select("page_id", "pos", X.normalize_url(F.col("abs_url")).alias("link"), (X.domain(F.col("abs_url")) == X.domain(F.col("url"))).alias("internal"))
+    found = links.resolved(links.anchors(table(spark, d, "pages").select("page_id", "url", "html")))
+    return found.select("page_id", "pos", "link", "internal")
+
 
+WINE_SQL = "SELECT unnest([" + ",".join("'" + w.replace("'", "''") + "'" for w in links.KEYWORDS["wine"]["en"]) + "]) AS w, unnest(range(30, 0, -1)) AS weight"
+#: Phrases by which the fixture's titles become link texts.
+TEXTS = ("Wine List", "beverage program", "Our cellar", "menus", "drinks menu and more")
 
-@query("""WITH k AS (SELECT unnest(['the','and','of','in']) AS w, unnest([4,3,2,1]) AS weight), t AS (SELECT page_id, lower(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title, lower(url) AS url FROM pages)
- SELECT page_id, CAST(sum(weight * (CASE WHEN title = w THEN 10 WHEN contains(title, w) THEN 5 ELSE 0 END + CASE WHEN contains(url, w) THEN 3 ELSE 0 END)) AS INTEGER) AS score FROM t CROSS JOIN k GROUP BY page_id""")
+
+@query(f"""WITH k AS ({WINE_SQL}), t AS (SELECT page_id, lower(x) AS title, lower('/' || replace(x, ' ', '-') || '/' || page_id) AS href FROM (SELECT page_id, CASE CAST(page_id % 6 AS INTEGER) {" ".join(f"WHEN {k} THEN '{x}'" for k, x in enumerate(TEXTS))} ELSE regexp_extract(html, '<title>([^<]*)</title>', 1) END AS x FROM pages) p)
+ SELECT page_id, CAST(sum(weight * (CASE WHEN title = w THEN 10 WHEN contains(title, w) THEN 5 ELSE 0 END + CASE WHEN contains(href, replace(w, ' ', '-')) THEN 3 ELSE 0 END)) AS INTEGER) AS score FROM t CROSS JOIN k GROUP BY page_id""")
 def link_scores(spark: SparkSession, d: str) -> DataFrame:
-    """K1's ranked keyword weights, over the fixture's own vocabulary."""
-    title = F.lower(F.regexp_extract("html", "<title>([^<]*)</title>", 1))
-    return table(spark, d, "pages").select("page_id", links.weighted(["the", "and", "of", "in"], 10, 5, 3, title, F.lower("url")).alias("score"))
+    """The ranked weights of all keywords."""
+    text = F.coalesce(F.get(F.array(*map(F.lit, TEXTS)), (F.col("page_id") % 6).cast("int")), F.regexp_extract("html", "<title>([^<]*)</title>", 1))
+    href = F.lower(F.concat(F.lit("/"), F.replace(text, F.lit(" "), F.lit("-")), F.lit("/"), F.col("page_id").cast("string")))
+    return table(spark, d, "pages").select("page_id", links.wine_score(F.lower(text), href).alias("score"))
 
 
 @query()
@@ -307,9 +393,9 @@ def job_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""WITH a AS (SELECT user_id, event_id, ts, event_type = 'error' AS bad, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM events),
  b AS (SELECT *, CASE WHEN bad THEN sum(CASE WHEN bad THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, island ORDER BY ts, event_id) ELSE 0 END AS r FROM a)
- SELECT event_id, CAST(CASE WHEN r > 0 THEN (r - 1) % 2 + 1 ELSE 0 END AS BIGINT) AS run, bad AND r % 2 = 0 AS trips FROM b""")
+ SELECT event_id, CAST(CASE WHEN r > 0 THEN (r - 1) % 3 + 1 ELSE 0 END AS BIGINT) AS run, bad AND r % 3 = 0 AS trips FROM b""")
 def circuit_breaker(spark: SparkSession, d: str) -> DataFrame:
-    found = lifecycle.breaker(table(spark, d, "events"), "user_id", ["ts", "event_id"], F.col("event_type") == "error", 2)
+    found = lifecycle.breaker(table(spark, d, "events"), "user_id", ["ts", "event_id"], F.col("event_type") == "error")
     return found.select("event_id", F.col("run").cast("long").alias("run"), "trips")
 
 
@@ -344,13 +430,44 @@ def rank_top_region(spark: SparkSession, d: str) -> DataFrame:
     return ranking.top_per(scored, "c_nationkey", "l_partkey").withColumn("score", F.col("score").cast("double"))
 
 
-@query(f"""WITH s AS (SELECT l_partkey, sum({WEIGHT_SQL}) AS score FROM {BASE_SQL} GROUP BY 1)
- SELECT a.l_partkey AS item, b.l_partkey AS other, CASE WHEN a.score > b.score THEN 'better' WHEN a.score < b.score THEN 'worse' ELSE 'equal' END AS verdict FROM s a JOIN s b ON b.l_partkey = a.l_partkey + 1""")
+@query(f"""WITH s AS (SELECT l_partkey, sum({WEIGHT_SQL}) AS score FROM {BASE_SQL} GROUP BY 1), p AS (SELECT p_partkey, first_value(p_partkey) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS other FROM part)
+ SELECT p_partkey AS item, other, CASE WHEN a.score > b.score THEN 'better' WHEN a.score < b.score THEN 'worse' WHEN a.score = b.score THEN 'equal' END AS verdict FROM p LEFT JOIN s a ON a.l_partkey = p_partkey LEFT JOIN s b ON b.l_partkey = other""")
 def rank_compare(spark: SparkSession, d: str) -> DataFrame:
+    """D4r: every item against the first one of its brand."""
     s = ranking.scores(listings(spark, d), "l_partkey", "c_custkey", "c_mktsegment", WEIGHTS)
-    a, b = s.select(F.col("l_partkey").alias("item"), F.col("score").alias("x")), s.select((F.col("l_partkey") - 1).alias("item"), F.col("l_partkey").alias("other"), F.col("score").alias("y"))
-    verdict = F.when(F.col("x") > F.col("y"), "better").when(F.col("x") < F.col("y"), "worse").otherwise("equal")
-    return a.join(b, "item").select("item", "other", verdict.alias("verdict"))
+    p = table(spark, d, "part")
+    first = p.groupBy("p_brand").agg(F.min("p_partkey").alias("other"))
+    return ranking.versus(s, p.join(first, "p_brand").select(F.col("p_partkey").alias("item"), "other"), "l_partkey")
+
+
+@query(f"""WITH s AS (SELECT l_partkey, sum({WEIGHT_SQL}) AS score FROM {BASE_SQL} GROUP BY 1)
+ SELECT l_partkey, CAST(score AS DOUBLE) AS score, CAST(1 + (SELECT count(*) FROM s b WHERE b.score > a.score) AS INTEGER) AS place, CAST((SELECT count(*) FROM s b WHERE b.score < a.score) AS DOUBLE) / ((SELECT count(*) FROM s) - 1) AS share_below FROM s a WHERE l_partkey IN (1, 7, 42, 100)""")
+def rank_of_items(spark: SparkSession, d: str) -> DataFrame:
+    """D2r: the place of some items among all, and how popular they are."""
+    s = ranking.scores(listings(spark, d), "l_partkey", "c_custkey", "c_mktsegment", WEIGHTS)
+    return ranking.place_of(s, "l_partkey", [1, 7, 42, 100]).select("l_partkey", F.col("score").cast("double").alias("score"), "place", "share_below")
+
+
+@query(f"""WITH s AS (SELECT p_type, l_partkey, sum({WEIGHT_SQL}) AS score FROM {BASE_SQL} JOIN part ON l_partkey = p_partkey GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY score DESC, l_partkey) AS place FROM s)
+ SELECT p_type, l_partkey, CAST(score AS DOUBLE) AS score FROM r WHERE place = 1""")
+def rank_best_of_kind(spark: SparkSession, d: str) -> DataFrame:
+    """D3r: the best item of each kind."""
+    s = ranking.scores(listings(spark, d), "l_partkey", "c_custkey", "c_mktsegment", WEIGHTS).drop("n")
+    typed = s.join(table(spark, d, "part").select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey")
+    return ranking.top_per(typed, "p_type", "l_partkey", 1).select("p_type", "l_partkey", F.col("score").cast("double").alias("score"))
+
+
+@query("""WITH r AS (SELECT n_name, l_orderkey, l_linenumber, l_extendedprice / l_quantity AS price, row_number() OVER (PARTITION BY n_name ORDER BY l_extendedprice / l_quantity DESC, l_orderkey, l_linenumber) AS k FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+ SELECT n_name, l_orderkey, l_linenumber, round(price, 4) AS price FROM r WHERE k = 1""")
+def most_expensive_by_country(spark: SparkSession, d: str) -> DataFrame:
+    """D5r: of each country; before the join with venues one listing an order is left."""
+    li, o, c, n = load(spark, d, "lineitem", "orders", "customer", "nation")
+    price = F.col("l_extendedprice") / F.col("l_quantity")
+    best = F.max_by(F.struct("l_orderkey", "l_linenumber", "price"), F.struct("price", -F.col("l_orderkey"), -F.col("l_linenumber"))).alias("x")
+    per = li.withColumn("price", price).groupBy("l_orderkey").agg(best).select("x.*")
+    rows = per.join(o.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).join(c.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    top = rows.groupBy("c_nationkey").agg(best)
+    return top.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", "x.l_orderkey", "x.l_linenumber", F.round("x.price", 4).alias("price"))
 
 
 @query("""WITH r AS (SELECT p_brand, l_orderkey, l_linenumber, l_extendedprice / l_quantity AS price, row_number() OVER (PARTITION BY p_brand ORDER BY l_extendedprice / l_quantity DESC, l_orderkey, l_linenumber) AS k FROM lineitem JOIN part ON l_partkey = p_partkey)
@@ -366,9 +483,10 @@ def most_expensive(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH s AS (SELECT l_partkey, sum({WEIGHT_SQL}) AS score FROM {BASE_SQL} GROUP BY 1), c AS (SELECT o_custkey, l.l_partkey, score FROM lineitem l JOIN orders ON l_orderkey = o_orderkey JOIN s ON l.l_partkey = s.l_partkey WHERE l_extendedprice / l_quantity < 1200),
  r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY score DESC, l_partkey) AS k FROM c) SELECT o_custkey, l_partkey, CAST(score AS DOUBLE) AS score FROM r WHERE k = 1""")
 def best_under_price(spark: SparkSession, d: str) -> DataFrame:
-    rows = listings(spark, d)
-    s = ranking.scores(rows, "l_partkey", "c_custkey", "c_mktsegment", WEIGHTS).drop("n")
-    cheap = rows.where(F.col("l_extendedprice") / F.col("l_quantity") < 1200).select("o_custkey", "l_partkey").distinct()
+    s = ranking.scores(listings(spark, d), "l_partkey", "c_custkey", "c_mktsegment", WEIGHTS).drop("n")
+    li, o = load(spark, d, "lineitem", "orders")
+    low = li.where(F.col("l_extendedprice") / F.col("l_quantity") < 1200).select("l_orderkey", "l_partkey")
+    cheap = low.join(o.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "l_partkey")
     best = F.max_by(F.struct("l_partkey", "score"), F.struct("score", -F.col("l_partkey"))).alias("x")
     return cheap.join(s, "l_partkey").groupBy("o_custkey").agg(best).select("o_custkey", "x.l_partkey", F.col("x.score").cast("double").alias("score"))
 

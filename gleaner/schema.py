@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gleaner.sources.tables import cut
+
 #: Fixed values.
-CRAWL_STATUS = ("pending", "in_progress", "found", "not_found", "no_website", "download_failed", "error")
+CRAWL_STATUS = ("pending", "has_website", "no_website", "wine_list_found", "no_wine_list", "download_list_failed", "error")
 JOB_STATUS = ("pending", "running", "completed", "failed", "cancelled")
 DISTINCTIONS = ("3-stars", "2-stars", "1-star", "bib-gourmand", "selected")
 
@@ -32,7 +34,7 @@ def empty(spark: SparkSession, name: str) -> DataFrame:
 
 
 def with_defaults(df: DataFrame, name: str) -> DataFrame:
-    return df.fillna(DEFAULTS.get(name, {}))
+    return df.fillna({c: v for c, v in DEFAULTS.get(name, {}).items() if c in df.columns})
 
 
 def violations(df: DataFrame, name: str) -> DataFrame:
@@ -61,9 +63,33 @@ def delete_cascade(tables: dict[str, DataFrame], name: str, ids: DataFrame) -> d
     return out
 
 
-def next_ids(new: DataFrame, old: DataFrame, key: str, rows_per_block: int = 100_000) -> DataFrame:
-    """``new`` with ids after the largest of ``old``, in the order of ``key``."""
-    top = old.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-    ordered = new.orderBy(key)
-    pairs = ordered.rdd.zipWithIndex().map(lambda x: (*x[0], x[1] + top + 1))
-    return new.sparkSession.createDataFrame(pairs, new.schema.add("id", "long"))
+def next_ids(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
+    """``new`` with ``id`` after the largest of ``old``, in the order of ``key``. The rows are
+    sorted once, over ranges of the key, and written to the shared folder; only one
+    count for each range is looked at to give each range its first id."""
+    names = ("_part", "_place")
+    rows = cut(new.drop("id").repartitionByRange(F.col(key).asc_nulls_first()).sortWithinPartitions(F.col(key).asc_nulls_first()).withColumns({names[0]: F.spark_partition_id(), names[1]: F.monotonically_increasing_id()}))
+    counts = rows.groupBy(names[0]).agg(F.count(F.lit(1)).alias("_n"), F.min(names[1]).alias("_low"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy(names[0]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each range
+    top = old.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))
+    offsets = counts.select(names[0], (before - F.col("_low")).alias("_offset")).join(F.broadcast(top))
+    numbered = rows.join(F.broadcast(offsets), names[0])
+    kind = dict(old.dtypes)["id"]
+    return numbered.select((F.col("_top") + F.col("_offset") + F.col("_place") + 1).cast(kind).alias("id"), *[c for c in new.columns if c != "id"])
+
+
+def create(spark: SparkSession, name: str, database: str = "default") -> None:
+    """An empty stored table, if there is none."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({SCHEMAS[name]}) USING parquet")
+
+
+def drop(spark: SparkSession, name: str, database: str = "default") -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+
+
+def reset(spark: SparkSession, database: str = "default") -> None:
+    """All tables empty, children dropped before their parents."""
+    for name in reversed(SCHEMAS):
+        drop(spark, name, database)
+    for name in SCHEMAS:
+        create(spark, name, database)

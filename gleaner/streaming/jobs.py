@@ -18,7 +18,7 @@ def rollup(events: DataFrame, key: str, failed: str) -> DataFrame:
     return events.groupBy(key).agg(F.count(F.lit(1)).alias("attempts"), F.sum(F.expr(f"int({failed})")).alias("failures"), F.max("ts").alias("last_ts"))
 
 
-def breaker(events: DataFrame, key: str, failed: str, most: int = 3) -> DataFrame:
+def trips(events: DataFrame, key: str, failed: str, most: int = 3) -> DataFrame:
     """(key, event_id) of the attempts at which ``most`` failures in a row were
     reached, counted on across batches in the state store."""
     name, kind = key, dict(events.dtypes)[key]

@@ -1,0 +1,204 @@
+"""Routes, paging, results, registration and the state of jobs."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from gleaner import schema
+from gleaner.operators import lifecycle as L
+
+AT = dt.datetime(2024, 5, 1, 12, 0, 0)
+NOW = AT
+
+
+def routes(spark, kind: str, rows: list, f) -> list:
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], f"i int, {kind}").orderBy("i")
+    return [r[0] for r in df.select(f(*[F.col(c) for c in df.columns[1:]])).collect()]
+
+
+def test_route_after_process(spark):
+    rows = [
+        (False, None, None, None), (True, "https://e.com", "has_website", False), (True, None, "no_website", False), (True, "", "no_website", False), (True, "https://e.com", "wine_list_found", False),
+        (True, "https://e.com", "wine_list_found", True), (True, "https://e.com", "download_list_failed", False), (True, "https://e.com", "no_wine_list", None), (True, "https://e.com", None, None),
+    ]
+    got = routes(spark, "v boolean, w string, s string, f boolean", rows, L.route_after_process)
+    assert got == ["save", "crawl", "search", "search", "save", "crawl", "crawl", "crawl", "crawl"]
+
+
+def test_routes_after_crawl_download_search(spark):
+    assert routes(spark, "v boolean, u string", [(True, "u"), (True, None), (True, ""), (False, None)], L.route_after_crawl) == ["download", "search", "search", "save"]
+    rows = [(True, "/p", False, False), (True, None, True, False), (True, None, True, True), (False, None, None, None), (True, None, None, None), (True, "/p", True, None), (True, "/p", None, None)]
+    assert routes(spark, "v boolean, p string, f boolean, s boolean", rows, L.route_after_download) == ["extract", "search", "save", "save", "save", "search", "extract"]
+    assert routes(spark, "v boolean, u string", [(True, "u"), (True, None), (False, None)], L.route_after_search) == ["download", "save", "save"]
+
+
+def test_route_after_save(spark):
+    rows = [(2, 4, 1, 1, 0, 3), (3, 3, 1, 1, 0, 3), (3, 3, 1, 3, 0, 3), (3, 3, 3, 3, 0, 3), (0, 0, 2, 5, 3, 3), (0, 0, 6, 5, 3, 3), (1, 0, 1, 3, 2, 3), (0, 0, 1, 0, 3, 3), (3, 3, 1, 2, None, None)]
+    want = ["next_venue", "done", "next_page", "done", "next_page", "done", "next_page", "done", "next_page"]
+    assert routes(spark, "i_ int, u int, p int, t int, f int, m int", rows, L.route_after_save) == want
+
+
+def test_outcomes(spark):
+    rows = [("u", "/p", True, "w"), ("u", "/p", False, "w"), ("u", None, None, "w"), (None, "/p", None, "w"), ("", "", None, "w"), (None, None, None, ""), (None, None, None, None)]
+    want = ["download_list_failed", "wine_list_found", "download_list_failed", "no_wine_list", "no_wine_list", "no_website", "no_website"]
+    assert routes(spark, "u string, p string, f boolean, w string", rows, L.outcome) == want
+    assert routes(spark, "s string, d double", [("wine_list_found", None), ("wine_list_found", 1.0), ("pending", None), (None, None)], L.untouched) == [True, False, False, False]
+
+
+def test_search_is_tried_once(spark):
+    rows = [(False, "Q", True, "u"), (True, "Q", True, "u"), (False, " ", True, "u"), (False, "Q", False, "u"), (None, "Q", True, None)]
+    got = routes(spark, "s boolean, n string, e boolean, u string", rows, L.searched_once)
+    assert [tuple(r) for r in got] == [(True, True, "u"), (True, False, None), (True, False, None), (True, False, None), (True, True, None)]
+    (cost,) = routes(spark, "s double, t int, p int", [(1.005, None, 3)], L.crawl_metrics)
+    assert tuple(cost) == (Decimal("1.00"), 0, 3)
+
+
+ATTEMPTS = "job_id long, attempt long, urls int, pages int, error string"
+
+
+def paging(spark, rows: list, **given) -> dict:
+    out: dict = {}
+    for r in L.fetch_listings(spark.createDataFrame(rows, ATTEMPTS), **given).orderBy("job_id", "attempt").collect():
+        out.setdefault(r["job_id"], []).append(r)
+    return out
+
+
+def test_paging_and_breaker(spark):
+    ok, bad = lambda n, p: (n, p, None), lambda e: (None, None, e)
+    jobs = {
+        1: [ok(3, 3), ok(3, 3), ok(2, 3), ok(9, 9)],
+        2: [ok(3, 4), bad("Network error"), bad("Page closed"), ok(1, 1), bad("a"), bad("b"), bad("Page.goto: Page crashed"), ok(5, 5)],
+        3: [bad("x"), ok(2, 1)],
+        4: [bad("x"), bad("x"), bad("x"), ok(1, 1)],
+        5: [ok(1, 2), bad("a"), bad("b"), bad("c"), ok(1, 1)],
+    }
+    got = paging(spark, [(j, k, *a) for j, steps in jobs.items() for k, a in enumerate(steps)])
+    one = got[1]
+    assert [(r["page"], r["current_page"], r["venues_found"], r["route"]) for r in one] == [(1, 1, 3, "next_page"), (2, 2, 6, "next_page"), (3, 3, 8, "done")]
+    two = got[2]
+    assert [(r["page"], r["failures"], r["restarts"], r["route"]) for r in two] == [
+        (1, 0, False, "next_page"), (2, 1, False, "next_page"), (2, 2, True, "next_page"), (2, 0, False, "next_page"), (3, 1, False, "next_page"), (3, 2, False, "next_page"), (3, 3, True, "next_page"), (4, 0, False, "done"),
+    ]
+    assert two[1]["error"] == "Page 2 attempt 1: Network error" and two[6]["current_page"] == 4 and two[7]["venues_found"] == 9
+    assert [r["route"] for r in got[3]] == ["next_page", "done"] and got[3][1]["total_pages"] == 1
+    assert [(r["failures"], r["route"]) for r in got[4]] == [(1, "next_page"), (2, "next_page"), (3, "done")]
+    assert [(r["page"], r["current_page"], r["route"]) for r in got[5]] == [(1, 1, "next_page"), (2, 1, "next_page"), (2, 1, "next_page"), (2, 3, "done")]
+    after_skip = paging(spark, [(1, 0, 1, 9, None), *[(1, k, None, None, "e") for k in range(1, 5)]])[1]
+    assert [(r["page"], r["failures"]) for r in after_skip] == [(1, 0), (2, 1), (2, 2), (2, 3), (3, 1)] and after_skip[4]["error"] == "Page 3 attempt 1: e"
+
+
+def test_first_page_failure_ends_the_job_without_a_retry(spark):
+    assert [r["route"] for r in paging(spark, [(1, 0, None, None, "x"), (1, 1, 2, 1, None)], retry_first=False)[1]] == ["done"]
+
+
+def test_single_venue_jobs(spark):
+    requests = spark.createDataFrame([(1, "smyth"), (2, "nobody")], "job_id long, wanted string")
+    found = spark.createDataFrame([("smyth", 7)], "wanted string, id int")
+    got = {r["job_id"]: (r["id"], r["venues_found"], r["total_pages"], r["error"]) for r in L.single_listings(requests, found).collect()}
+    assert got == {1: (7, 1, 1, None), 2: (None, 0, 1, "Restaurant not found for filter: nobody")}
+
+
+@pytest.fixture
+def tables(spark):
+    sites = L.seed_sites(schema.empty(spark, "sites"), NOW)
+    pages = spark.createDataFrame([(f"g/{n}", n, w, 1) for n, w in (("a", "https://a.com"), ("b", None), ("c", ""))], "guide_url string, name string, website_url string, site_id int")
+    return {"sites": sites, "venues": L.upsert_venues(schema.empty(spark, "venues"), pages, NOW), "lists": schema.empty(spark, "lists"), "jobs": schema.empty(spark, "jobs")}
+
+
+def by_id(df) -> dict:
+    return {r["id"]: r for r in df.collect()}
+
+
+def test_seeds_are_inserted_once(spark, tables):
+    again = L.seed_sites(tables["sites"], NOW)
+    rows = sorted(again.collect())
+    assert [r["id"] for r in rows] == [1, 2, 3, 4, 5, 6] and rows[0]["site_name"] == "Michelin Guide USA" and rows[4]["site_url"].endswith("/france/restaurants") and rows[0]["created_at"] == AT
+
+
+def test_jobs_start_resume_complete_and_fail(spark, tables):
+    requests = spark.createDataFrame([(1, None, 1, "2"), (2, None, None, None), (3, None, 99, None), (4, None, 5, None)], "request int, job_id int, site_id int, level string")
+    jobs, errors = L.start_jobs(tables["jobs"], requests, tables["sites"], NOW)
+    got = by_id(jobs)
+    assert [(r["id"], r["site_id"], r["level"], r["status"], r["job_type"], r["venues_found"], r["started_at"]) for r in got.values()] == [(1, 1, "2", "running", "crawler", 0, AT), (2, 5, "3", "running", "crawler", 0, AT)]
+    assert {r["request"]: r["error"] for r in errors.collect()} == {2: "site_id is required for new jobs", 3: "Site of record id=99 not found"}
+    later = AT + dt.timedelta(seconds=90, milliseconds=500)
+    ended = L.complete_jobs(jobs, spark.createDataFrame([(1, [f"e{k}" for k in range(30)])], "id int, errors array<string>"), later)
+    failed = by_id(L.fail_jobs(ended, spark.createDataFrame([(1, "late"), (2, "m" * 3000)], "id int, message string"), later))
+    assert failed[1]["status"] == "completed" and failed[1]["error_message"] == "\n".join(f"e{k}" for k in range(20)) and failed[1]["duration_seconds"] == Decimal("90.50")
+    assert failed[2]["status"] == "failed" and failed[2]["error_message"] == "m" * 2000 and failed[2]["completed_at"] == AT + dt.timedelta(seconds=90, milliseconds=500)
+    resumed, none = L.start_jobs(ended, spark.createDataFrame([(9, 1, None, None)], "request int, job_id int, site_id int, level string"), tables["sites"], later)
+    assert by_id(resumed)[1]["status"] == "running" and by_id(resumed)[1]["started_at"] == AT and resumed.count() == 2 and none.count() == 0
+    clean = by_id(L.complete_jobs(jobs, spark.createDataFrame([(2, [])], "id int, errors array<string>"), later))
+    assert clean[2]["error_message"] is None and clean[2]["status"] == "completed" and clean[1]["status"] == "running"
+
+
+def test_job_summary(spark):
+    df = spark.createDataFrame([(3, 10, 2, ["b", "a"]), (4, 1, 0, ["x"]), (5, 1, 1, [])], "j int, p int, d int, n array<string>")
+    assert [r[0] for r in df.select(L.summary(F.col("j"), F.col("p"), F.col("d"), F.col("n"))).collect()] == [
+        "Job 3 complete – 10 restaurants processed, 2 wine lists downloaded: a, b", "Job 4 complete – 1 restaurants processed, 0 wine lists downloaded", "Job 5 complete – 1 restaurants processed, 1 wine lists downloaded",
+    ]
+
+
+def test_upsert_refreshes_the_address_alone(spark, tables):
+    first = by_id(tables["venues"])
+    assert [(r["name"], r["crawl_status"], r["country"]) for r in first.values()] == [("a", "has_website", "USA"), ("b", "no_website", "USA"), ("c", "no_website", "USA")]
+    page = spark.createDataFrame([("g/a", "new name", "https://new.com", "1 St", "", None, 2), ("g/d", "d", None, None, "Rome", "Italy", 2)], "guide_url string, name string, website_url string, address string, city string, country string, site_id int")
+    page = page.withColumns({"state": F.lit(None).cast("string"), "zip_code": F.lit(None).cast("string")})
+    got = by_id(L.upsert_venues(tables["venues"].withColumn("city", F.lit("Paris")), page, AT + dt.timedelta(1)))
+    assert (got[1]["name"], got[1]["address"], got[1]["city"], got[1]["country"], got[1]["last_updated_at"]) == ("a", "1 St", "Paris", "USA", AT + dt.timedelta(1))
+    assert (got[4]["name"], got[4]["city"], got[4]["country"]) == ("d", "Rome", "Italy") and got[2]["last_updated_at"] == AT and len(got) == 4
+
+
+def test_results_are_saved_but_for_skipped_venues(spark, tables):
+    kind = "id int, job_id int, list_url string, local_file_path string, download_failed boolean, website_url string, crawl_status string, crawl_duration_seconds decimal(10,2), llm_tokens_used int, pages_visited int"
+    rows = [(1, 1, "u", "/p", False, "w", "has_website", Decimal("1.50"), 5, 2), (2, 1, None, None, None, None, "no_website", None, None, None), (3, 1, "x", "/y", None, None, "wine_list_found", None, None, None), (None, 1, None, None, None, None, None, None, None, None)]
+    results = spark.createDataFrame(rows, kind)
+    venues = tables["venues"].withColumn("crawl_status", F.when(F.col("id") == 3, "wine_list_found").otherwise(F.col("crawl_status")))
+    got = by_id(L.save_results(venues, results, NOW))
+    assert (got[1]["crawl_status"], got[1]["list_url"], got[1]["crawl_duration_seconds"], got[1]["pages_visited"], got[1]["last_crawled_at"]) == ("wine_list_found", "u", Decimal("1.50"), 2, AT)
+    assert (got[2]["crawl_status"], got[2]["list_url"], got[2]["llm_tokens_used"], got[2]["last_crawled_at"]) == ("no_website", None, 0, AT)
+    assert got[3]["crawl_status"] == "wine_list_found" and got[3]["list_url"] is None and got[3]["last_crawled_at"] is None
+    jobs, _ = L.start_jobs(tables["jobs"], spark.createDataFrame([(1, None, 1, "3")], "request int, job_id int, site_id int, level string"), tables["sites"], NOW)
+    (job,) = L.job_progress(L.job_progress(jobs, results), results).collect()
+    assert (job["venues_processed"], job["lists_downloaded"]) == (6, 4)
+
+
+def test_manual_registration(spark, tables):
+    found = spark.createDataFrame([(1, "/d/a/wine_list.pdf", "h1", "/d/a/wine_list.txt"), (2, "/d/b/x.pdf", "h2", None), (77, "/d/z", "h3", None)], "venue_id int, local_file_path string, file_hash string, text_file_path string")
+    venues = tables["venues"].withColumn("list_url", F.when(F.col("id") == 2, "https://b.com/l.pdf"))
+    venues, lists = L.register_lists(venues, tables["lists"], found, NOW)
+    assert [by_id(venues)[k]["crawl_status"] for k in (1, 2, 3)] == ["wine_list_found", "wine_list_found", "no_website"]
+    assert [(r["id"], r["venue_id"], r["list_name"], r["source_url"], r["item_count"], r["text_file_path"]) for r in sorted(lists.collect())] == [(1, 1, "a Wine List", "manual", 0, "/d/a/wine_list.txt"), (2, 2, "b Wine List", "https://b.com/l.pdf", 0, None)]
+
+
+def test_walks(spark):
+    link = lambda s, u: {"score": s, "url": u}
+    rows = [
+        ("s", "r", None, [], [link(5, "a"), link(9, "b"), link(5, "c")]), ("s", "a", None, [], [link(1, "deep")]), ("s", "b", None, [], [link(2, "r"), link(3, "d")]), ("s", "c", None, [], []), ("s", "d", None, [], [link(1, "e")]), ("s", "e", None, [], [link(1, "f")]), ("s", "f", None, [], []),
+        ("t", "r", None, [{"url": "o", "result": None, "loads": True}, {"url": "p", "result": "found it", "loads": True}], [link(1, "x")]), ("t", "x", "never", [], []),
+        ("u", "r", None, [], [link(1, "x")]), ("u", "x", "doc.pdf", [], []),
+    ]
+    graph = spark.createDataFrame(rows, "site string, url string, found string, external array<struct<url:string,result:string,loads:boolean>>, links array<struct<score:int,url:string>>")
+    starts = spark.createDataFrame([("s", "r"), ("t", "r"), ("u", "r"), ("v", "none")], "site string, url string")
+    steps = lambda **k: {s: [(r["url"], r["depth"], r["result"]) for r in rows] for s, rows in grouped(L.traverse(graph, starts, **k).orderBy("site", "step").collect()).items()}
+    got = steps()
+    assert [x[:2] for x in got["s"]] == [("r", 0), ("b", 1), ("d", 2), ("e", 3), ("a", 1), ("c", 1)]
+    assert got["t"] == [("r", 0, "found it")] and got["u"] == [("r", 0, None), ("x", 1, "doc.pdf")] and "v" not in got
+    assert len(steps(budget=2)["s"]) == 2 and [x[0] for x in steps(depth=2)["s"]] == ["r", "b", "a", "c"] and steps(budget=2)["t"] == [("r", 0, None)]
+
+
+def grouped(rows: list) -> dict:
+    out: dict = {}
+    for r in rows:
+        out.setdefault(r["site"], []).append(r)
+    return out
+
+
+def test_breaker_counts_again_after_a_trip(spark):
+    rows = [(1, k, bad) for k, bad in enumerate([1, 1, 0, 1, 1, 1, 1, 1, 1, 0])]
+    got = L.breaker(spark.createDataFrame(rows, "j int, k int, bad int"), "j", ["k"], F.col("bad") == 1).orderBy("k").collect()
+    assert [r["run"] for r in got] == [1, 2, 0, 1, 2, 3, 1, 2, 3, 0] and [r["k"] for r in got if r["trips"]] == [5, 8]
