@@ -13,8 +13,8 @@ of a batch advance together, one character per step, against all languages at on
 Only letters are compared; whatever is between two words counts as one blank.
 
 Each language also has a rate by chance, that of its own sample with the letters in
-random order. A text that parses no better than ``CHANCE`` of its best language's rate
-by chance is in none of the learned languages.
+random order. A text of ``ENOUGH`` letters that parses no better than at ``CHANCE`` times that
+rate of its best language is in none of the learned languages.
 
 Training takes a bounded sample: ``ROWS_PER_LANGUAGE`` rows of each language by the
 smallest hash of their id and text, the first ``ROW_CHARS`` characters of each, and of
@@ -47,8 +47,9 @@ BLOCK = 512
 UNKNOWN = "und"
 #: Cells of the largest dense table of transitions; larger ones are held as edges.
 DENSE_CELLS = 24_000_000
+MAX_BROADCAST_ROWS = 50_000
 #: Of the rate by chance; and how many letters a text must have to be rejected by it.
-CHANCE, ENOUGH = 0.9, 40
+CHANCE, ENOUGH = 1.0, 80
 
 
 def suffix_automaton(text: np.ndarray) -> list[dict[int, int]]:
@@ -216,8 +217,9 @@ def fit(labelled: DataFrame) -> Model:
     rows = rows.select("lang", F.substring("text", 1, ROW_CHARS).alias("text"), F.xxhash64("doc_id", "text").alias("h"))
     # the row of the smallest hash in each of ROWS_PER_LANGUAGE classes of hashes: only hashes are shuffled
     picked = rows.groupBy("lang", F.pmod("h", F.lit(ROWS_PER_LANGUAGE)).alias("slot")).agg(F.min("h").alias("h")).select("lang", "h")
-    found = rows.join(picked, ["lang", "h"]).dropDuplicates(["lang", "h"])
-    named = [r["lang"] for r in picked.select("lang").distinct().orderBy("lang").collect()]
+    named = [r["lang"] for r in rows.select("lang").distinct().orderBy("lang").collect()]
+    few = len(named) * ROWS_PER_LANGUAGE <= MAX_BROADCAST_ROWS  # hashes alone are broadcast
+    found = rows.join(F.broadcast(picked) if few else picked, ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"])
     room = max(CHARS_TOTAL // max(len(named), 1), LEAST_CHARS)
     # of each language the first rows by hash, as long as there is room
     before = F.sum(F.length("text") + 1).over(Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, -1))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import json
 import random
 import zlib
 from collections import Counter
@@ -309,11 +310,55 @@ def test_wrappers_find_the_article(spark):
 
 
 def test_wrapper_expression_has_slots_repeats_and_options():
-    wrapper = wrappers.infer([page(f"T{i}", ["x"] * (1 + i), "<aside>a</aside>" if i % 2 else "") for i in range(4)])
+    wrapper = wrappers.infer([page(f"T{i}", [f"x{i}"] * (1 + i), "<aside>a</aside>" if i % 2 else "") for i in range(4)])
     shown = wrappers.expression(wrapper)
     assert "#PCDATA" in shown and ")+" in shown and "(<aside>)?" in shown
 
 
+def test_wrappers_select_the_article_without_names(spark):
+    """Boxes without telling names: slots alone tell the article, in two parts, from small ones."""
+    rng = random.Random(11)
+    words = lambda n: " ".join(rng.choice(WORDS) + str(rng.randrange(999)) for _ in range(n))
+    pages, want = [], {}
+    for i in range(40):
+        parts = [words(rng.randint(15, 40)) for _ in range(4)]
+        want[i] = "\n".join([f"T{i}", *parts])
+        body = f"<section><h2>T{i}</h2><table><tr><td><ul><li><b>{parts[0]}</b></ul></table><p>{parts[1]}</section><section class='has-ad comments'><p>{parts[2]}<p>{parts[3]}<p>Read on here</section>"
+        pages.append((i, f"http://h.example/{i}", f"<body><div class=a1>{words(3)}</div><div class='post-{i}'>{body}</div><div class=b2><a href=/x>{words(30)}</a></div><div class=c3>{words(4)}</div>"))
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
+def test_copies_are_no_template():
+    text = "".join(f"<p>Part {k} of a page that many copies on this host repeat in full length, word by word.</p>" for k in range(6))
+    same = [f"<body><div>menu</div><div class=x><h1>Title</h1>{text}</div></body>"] * 8
+    found = wrappers.main_text(same[0], json.dumps(wrappers.infer(same)))
+    assert found.startswith("Title\nPart 0") and found.count("\n") == 6
+
+
+def test_wrapper_alignment_equals_a_plain_one_on_small_input():
+    rng = random.Random(4)
+    for _ in range(200):
+        a, b = ([rng.choice("abcdefgh#") + str(rng.randrange(4)) for _ in range(rng.randint(0, 30))] for _ in range(2))
+        found = list(wrappers.blocks_of(a, b))
+        assert all(a[i : i + n] == b[j : j + n] for i, j, n in found) and all(i + n <= k and j + n <= m for (i, j, n), (k, m, _) in itertools.pairwise(found))
+        once = {x for x in a if a.count(x) == 1 and b.count(x) == 1}
+        assert not once or found
+
+
+def test_extraction_edge_pages(spark, none):
+    deep = "<div>" * 3000 + "<p>deep text of some words" + "</div>" * 3000
+    wide = "<ul>" + "".join(f"<li><a href=/{i}>item {i}</a> note {i % 7}" for i in range(30_000)) + "</ul>"
+    rows = [(1, "http://a.b/", deep, "h"), (1, "http://a.b/", deep, "h"), (None, "x", "<p>one &lt;two&gt; <br>three<script>no</script><!-- no", "h"), (3, "http://a.b/w", wide, "h"), (4, None, "<p>" + "long " * 60_000, "h")]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string, host string").withColumns({"salt": F.lit(1), "wrapper": F.lit("w"), "text": F.lit("t")})
+    got = wrappers.extract(docs, "main")
+    found = got.collect()
+    assert got.columns == [*docs.columns, "main"] and all(r["host"] == "h" and r["salt"] == 1 and r["wrapper"] == "w" and r["text"] == "t" for r in found)
+    texts = [r["main"] for r in sorted(found, key=lambda r: (r["page_id"] is None, r["page_id"]))]
+    assert texts[:2] == ["deep text of some words"] * 2 and texts[4] == "one <two> three" and len(texts[3]) == 5 * 60_000 - 1
+    assert wrappers.extract(docs).columns == ["page_id", "url", "html", "host", "salt", "wrapper", "text"] and wrappers.extract(docs.limit(0)).count() == 0
+
+
 # op8
 
 
