@@ -4,30 +4,16 @@ sort, a single-partition window over the data, or a driver-side collect."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gleaner.sources.tables import cut, shared_folder
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+__all__ = ["cut", "shared_folder"]
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; only where that is unset (tests, a
-    laptop) a local folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return folder or os.path.join(tempfile.gettempdir(), "gleaner-checkpoints")
 
-
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and drop its lineage."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 #: Rows of an Arrow batch where whole texts go to Python: a few MB, not tens.
@@ -113,30 +99,55 @@ def bases(sums: DataFrame, group: str, bucket: str, value: str, fan: int = 1024)
     )
 
 
+#: A key of over one in HOT rows is hot, and there are at most HOT such keys; joins of
+#: fewer than HOT_ROWS rows need no care.
+HOT, HOT_ROWS = 1000, 200_000
+
+
+def join_hot(rows: DataFrame, keyed: DataFrame, on: list[str], n: str) -> DataFrame:
+    """``rows`` joined with ``keyed``, which holds each key once and in ``n`` how many of the
+    rows have it. Rows of hot keys stay where they are: what belongs to those keys, at
+    most HOT rows, is broadcast; all others are joined as usual."""
+    total = keyed.agg(F.sum(n)).first()[0] or 0
+    hot = F.col(n) > total / HOT
+    if total < HOT_ROWS or keyed.where(hot).isEmpty():
+        return rows.join(keyed, on)
+    few = F.broadcast(keyed.where(hot))
+    return rows.join(few, on).unionByName(rows.join(few.select(*on), on, "left_anti").join(keyed.where(~hot), on))
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)``: one row (node, component) for
     each node that has an edge; ``component`` is the smallest node reached.
 
-    Alternating large-star and small-star steps (Kiveris et al., 2014). A hub
-    only ever meets an aggregated minimum, never a collected neighbour list.
-    Each round is materialised in the shared checkpoint folder. Raises an error if
-    ``rounds`` are not enough.
+    Alternating large-star and small-star steps (Kiveris et al., 2014). A hub only ever
+    meets an aggregated minimum, and its edges are not brought together for that. Each
+    round is materialised in the shared checkpoint folder. Raises an error if ``rounds``
+    are not enough.
     """
     one = cut(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    size = one.count()
     seen = None
     for _ in range(rounds):
         # large star: link every larger neighbour of u, and u itself, to the smallest of the neighbourhood
         both = one.unionByName(one.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        low = lowest(both, size)
+        star = join_hot(both, low, ["u"], "n") if size >= HOT_ROWS else both.join(low, "u")
+        large = star.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         # small star: link every smaller neighbour of u, and u itself, to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*").where("u != v").distinct()
         one = cut(small)
-        now = one.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long")), F.count_if(F.lit(True))).first()
-        if now == seen:
+        size, *state = one.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long"))).first()
+        if (size, state) == seen:
             break
-        seen = now
+        seen = (size, state)
     else:
         raise RuntimeError(f"components have not converged in {rounds} rounds")
     return one.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component").unionByName(one.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def lowest(both: DataFrame, size: int) -> DataFrame:
+    """(u, m, n): the smallest of each node and its neighbours, and how many those are."""
+    low = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+    return cut(low) if size >= HOT_ROWS else low

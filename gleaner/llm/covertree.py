@@ -1,14 +1,19 @@
 """Exact near-duplicate pairs of embeddings by dual traversal of cover trees.
 
 Unit vectors are compared by chord length, for which a cosine threshold is a radius.
-Equal vectors of a label are folded into one first. The vectors of a label are dealt
-to cells, by the nearest of a few pivots, and large cells to blocks; every pair of
-blocks of a label that the pivots' covering radii cannot rule out is one unit of
-work. In it, each block becomes a tree of nested levels whose covering radii halve,
-and both trees are descended together: a pair of nodes farther apart than both
-radii and the threshold is pruned, a pair nearer than the threshold less both radii
-is linked whole, all others are opened. Distances of a level come from one matrix
-product; a pair of vectors is decided by its cosine in double precision.
+Equal vectors of a label are folded into one first. The vectors of a label are a cell,
+and every cell with over ``BLOCK_ROWS`` vectors is split by its nearest of at most
+``PIVOTS`` pivots, again and again, which is the top of the tree, grown in Spark. A
+vector is at home in one cell, and visits each other cell of its label in which a
+partner may be, by the pivot's covering radius; of two cells only the vectors of
+the first visit the second, so each pair meets once. A split that saves no work is not
+made, so a cell without structure is left to blocks.
+
+In each cell, blocks of homes and visitors become trees of nested levels whose covering
+radii halve, and two trees are descended together: a pair of nodes farther apart than
+both radii and the threshold is pruned, a pair nearer than the threshold less both
+radii is linked whole, all others are opened. The distances of two nodes' children come
+from one matrix product; a pair of vectors is decided by its cosine in double precision.
 
 Only counts and a spanning set of links leave a unit of work, never all pairs.
 
@@ -20,18 +25,21 @@ other; repeated ids each return a row; an empty table gives none.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gleaner.llm.common import components, cut, table
+from gleaner.llm.common import components, cut, join_hot, table
 
 COSINE = 0.93
-#: Vectors of a label for each of its pivots, at most so many pivots of a label, and
-#: vectors of a block.
-PER_PIVOT, MAX_PIVOTS, BLOCK_ROWS = 2000, 64, 2000
-LEAF = 64
+#: Vectors of a block, and of a cell that is not split; the pivots of a cell at most; the
+#: share of the work that a split must leave at most.
+BLOCK_ROWS, PIVOTS, SAVES = 2000, 64, 0.7
+LEAF = 16
 SAFE = 1e-7  # bounds are widened by this much against rounding
 
 
@@ -39,50 +47,59 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-class Node:
-    __slots__ = ("center", "radius", "rows", "children")
+def chord(cosine: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(2 - 2 * cosine, 0))
 
-    def __init__(self, center: int, radius: float, rows: np.ndarray, children: list) -> None:
-        self.center, self.radius, self.rows, self.children = center, radius, rows, children
 
+class Node:
+    """Rows, covered by the center within the radius; children cover them within half of the level."""
 
-def cover_tree(x: np.ndarray) -> Node:
-    """Nested levels over the rows of ``x``: a node's children are centres at least
-    ``radius / 2`` apart which cover its rows within ``radius / 2``."""
+    __slots__ = ("center", "radius", "rows", "children", "centers", "radii")
 
-    def build(rows: np.ndarray, center: int, reach: float) -> Node:
-        far = chord(x[rows] @ x[center])
-        radius = float(far.max(initial=0.0))
-        if len(rows) <= LEAF or radius == 0:
-            return Node(center, radius, rows, [])
-        while reach / 2 >= radius:
-            reach /= 2
-        half, left, children = reach / 2, rows, []
-        at = center
+    def __init__(self, center: int, radius: float, rows: np.ndarray, children: list) -> None:
+        self.center, self.radius, self.rows, self.children = center, radius, rows, children
+        self.centers, self.radii = np.array([c.center for c in children], int), np.array([c.radius for c in children])
+
+
+def cover_tree(x: np.ndarray, leaf: int | None = None) -> Node:
+    """Nested levels over the rows of ``x``, from the largest chord down: a node's children
+    are centres farther than half of its level apart which cover its rows within that half."""
+    leaf = LEAF if leaf is None else leaf
+
+    def node(rows: np.ndarray, center: int) -> Node:
+        return Node(center, float(chord(x[rows] @ x[center]).max(initial=0.0)), rows, [])
+
+    root = node(np.arange(len(x)), 0)
+    open_ = [(root, 4.0)]
+    while open_:
+        top, level = open_.pop()
+        if len(top.rows) <= leaf or top.radius == 0:
+            continue
+        while level / 2 >= top.radius:
+            level /= 2
+        half, left, at = level / 2, top.rows, top.center
+        children = []
         while len(left):
             near = chord(x[left] @ x[at]) <= half
             near[left == at] = True
-            children.append((left[near], at))
+            children.append(node(left[near], at))
             left = left[~near]
             at = int(left[0]) if len(left) else -1
-        if len(children) > len(rows) // 4:  # next to no two rows are near: a flat level
-            return Node(center, radius, rows, [])
-        return Node(center, radius, rows, [build(r, c, half) for r, c in children])
+        made = Node(top.center, top.radius, top.rows, children)
+        top.children, top.centers, top.radii = made.children, made.centers, made.radii
+        open_ += [(c, half) for c in children]
+    return root
 
-    return build(np.arange(len(x)), 0, 4.0)
 
-
-def chord(cosine: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(2 - 2 * cosine, 0))
-
-
-def dual_links(x: np.ndarray, y: np.ndarray | None, wx: np.ndarray, wy: np.ndarray, cosine: float) -> tuple:
+def dual_links(x: np.ndarray, y: np.ndarray | None, wx: np.ndarray, wy: np.ndarray, cosine: float, seen: Counter | None = None) -> tuple:
     """Counts of links (weighted by copies) of the rows of ``x`` and of ``y``, and
-    links that connect all linked rows; ``y`` None: within ``x``, without row pairs i, i."""
+    links that connect all linked rows; ``y`` None: within ``x``, without row pairs i, i.
+    ``seen`` counts node pairs pruned, linked whole and opened, and row pairs compared."""
     same = y is None
     other = x if same else y
-    tree, right = cover_tree(x), None if same else cover_tree(y)
-    right = tree if same else right
+    seen = Counter() if seen is None else seen
+    tree = cover_tree(x)
+    right = tree if same else cover_tree(y)
     reach = float(np.sqrt(2 - 2 * cosine))
     nx, ny = np.zeros(len(x), np.int64), np.zeros(len(other), np.int64)
     ax: list[np.ndarray] = []
@@ -95,51 +112,68 @@ def dual_links(x: np.ndarray, y: np.ndarray | None, wx: np.ndarray, wy: np.ndarr
         ax.append(np.concatenate([np.full(len(j), i[0]), i[1:]]))
         bx.append(np.concatenate([j, np.full(len(i) - 1, j[0])]))
 
+    def compare(i: np.ndarray, j: np.ndarray, hit: np.ndarray) -> None:
+        """Rows i, j that are linked where ``hit``."""
+        if not hit.any():
+            return
+        np.add.at(nx, i, hit @ wy[j])
+        np.add.at(ny, j, hit.T @ wx[i])
+        p, q = np.nonzero(hit)
+        p, q = forest(p, q, len(i), len(j), False)
+        ax.append(i[p])
+        bx.append(j[q])
+
     def leaves(a: Node, b: Node) -> None:
         hit = x[a.rows] @ other[b.rows].T >= cosine
+        seen["rows"] += hit.size
         if same and a is b:
-            np.fill_diagonal(hit, False)
-        if not hit.any():
-            return
-        nx[a.rows] += hit @ wy[b.rows]
-        if not (same and a is b):
-            ny[b.rows] += hit.T @ wx[a.rows]
-        i, j = np.nonzero(hit)
-        i, j = forest(i, j, len(a.rows), len(b.rows), same and a is b)
-        ax.append(a.rows[i])
-        bx.append(b.rows[j])
-
-    stack = [(tree, right)]
+            hit = np.triu(hit, 1)
+        compare(a.rows, b.rows, hit)
+
+    def meet(left: list[Node], right: list[Node], ca: np.ndarray, cb: np.ndarray, ra: np.ndarray, rb: np.ndarray, one: bool) -> list:
+        """Of all pairs of the two lists' nodes those to open."""
+        product = x[ca] @ other[cb].T
+        d, sums = chord(product), ra[:, None] + rb
+        live = d <= sums + reach + SAFE
+        if one:  # each pair once; a node with itself is opened
+            live = np.triu(live, 1)
+        small = (np.array([len(n.rows) for n in left]) == 1)[:, None] & (np.array([len(n.rows) for n in right]) == 1)
+        seen["pruned"] += live.size - int(live.sum())
+        seen["rows"] += int((live & small).sum())
+        compare(ca, cb, live & small & (product >= cosine))
+        whole = live & ~small & (d < reach - sums - SAFE)
+        for i, j in zip(*np.nonzero(whole), strict=True):
+            take(left[i].rows, right[j].rows)
+        rest = live & ~small & ~whole
+        seen["whole"] += int(whole.sum())
+        seen["opened"] += int(rest.sum())
+        out = [(left[i], right[j]) for i, j in zip(*np.nonzero(rest), strict=True)]
+        return out + [(n, n) for n in left if len(n.rows) > 1] if one else out
+
+    stack = [(tree, right)] if same else meet([tree], [right], *(np.array([v]) for v in (tree.center, right.center, tree.radius, right.radius)), False)
     while stack:
         a, b = stack.pop()
         one = same and a is b
-        if not one:
-            d = float(chord(np.array(x[a.center] @ other[b.center])))
-            if d > a.radius + b.radius + reach + SAFE:
-                continue
-            if d < reach - a.radius - b.radius - SAFE:
-                take(a.rows, b.rows)
-                continue
-        if not a.children and not b.children:
+        if one and 2 * a.radius < reach - SAFE and len(a.rows) > 1:  # all within reach of each other
+            seen["whole"] += 1
+            total = wx[a.rows].sum()
+            nx[a.rows] += total - wx[a.rows]
+            ax.append(np.full(len(a.rows) - 1, a.rows[0]))
+            bx.append(a.rows[1:])
+        elif not a.children and not b.children:
             leaves(a, b)
         elif one:
-            kids = a.children
-            stack += [(kids[i], kids[j]) for i in range(len(kids)) for j in range(i, len(kids))]
+            stack += meet(a.children, a.children, a.centers, a.centers, a.radii, a.radii, True)
         elif a.children and (not b.children or a.radius >= b.radius):
-            stack += near_children(a, b, x, other, reach)
+            stack += meet(a.children, [b], a.centers, np.array([b.center]), a.radii, np.array([b.radius]), False)
         else:
-            stack += [(p, q) for q, p in near_children(b, a, other, x, reach)]
+            stack += meet([a], b.children, np.array([a.center]), b.centers, np.array([a.radius]), b.radii, False)
     if same:
         nx += ny
     ends = (np.concatenate(ax), np.concatenate(bx)) if ax else (np.zeros(0, int), np.zeros(0, int))
     return nx, ny, *ends
 
 
-def near_children(a: Node, b: Node, x: np.ndarray, y: np.ndarray, reach: float) -> list[tuple[Node, Node]]:
-    d = chord(x[[c.center for c in a.children]] @ y[b.center])
-    return [(c, b) for c, v in zip(a.children, d, strict=True) if v <= c.radius + b.radius + reach + SAFE]
-
-
 def forest(i: np.ndarray, j: np.ndarray, n: int, m: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Of the links i-j, some that connect the same rows."""
     parent = list(range(n if same else n + m))
@@ -172,62 +206,108 @@ def usable(vectors: DataFrame) -> DataFrame:
     return vectors.where(can_link()).select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
 
 
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def distances(v: pd.Series, pivots: pd.Series) -> pd.Series:
+    """The chords from each vector to its cell's pivots."""
+    out = []
+    known: dict[int, np.ndarray] = {}
+    for x, p in zip(v, pivots, strict=True):
+        if id(p) not in known:
+            known = {id(p): unit(np.array([q["v"] for q in p]))}
+        out.append(chord(known[id(p)] @ (x / np.linalg.norm(x))))
+    return pd.Series(out)
+
+
+CELL = ("label", "dim", "cell")
+
+
+def sizes(rows: DataFrame, *more: str) -> DataFrame:
+    return rows.groupBy(*CELL, *more).agg(F.count_if("home").alias("h"), F.count_if(~F.col("home")).alias("v"))
+
+
+def split(rows: DataFrame, level: int, reach: float) -> DataFrame:
+    """``rows`` in the cells below theirs: with ``cell`` and ``home`` there, and ``parent``."""
+    counted = sizes(rows).select(*CELL, F.least(F.lit(PIVOTS), F.ceil(F.col("h") / (BLOCK_ROWS / 4))).cast("int").alias("k"))
+    homes = rows.where("home").select(*CELL, "rep", F.xxhash64(F.lit(level), "v").alias("hash")).join(counted, list(CELL))
+    # the vector of the smallest hash in each hash class
+    chosen = homes.groupBy(*CELL, F.pmod("hash", F.col("k")).alias("slot")).agg(F.min_by("rep", "hash").alias("rep"))
+    pivots = chosen.join(rows.where("home").select(*CELL, "rep", "v"), [*CELL, "rep"]).groupBy(*CELL).agg(F.sort_array(F.collect_list(F.struct("slot", "v"))).alias("pivots"))
+    far = cut(rows.join(pivots, list(CELL)).withColumn("away", distances("v", "pivots")).drop("pivots"))
+    nearest = F.array_position("away", F.array_min("away")).cast("int")
+    far = far.withColumn("own", F.when(F.col("home"), nearest))
+    radii = far.where("home").groupBy(*CELL, "own").agg(F.max(F.element_at("away", F.col("own"))).alias("radius"))
+    listed = radii.groupBy(*CELL).agg(F.collect_list(F.struct(F.col("own").alias("at"), "radius")).alias("below"))  # at most PIVOTS
+    reached = F.filter("below", lambda c: F.element_at("away", c["at"]) <= c["radius"] + F.lit(reach))
+    # of its siblings a home visits those after it; a visitor visits all in reach
+    visits = F.transform(F.filter(reached, lambda c: F.col("own").isNull() | (c["at"] > F.col("own"))), lambda c: F.struct(c["at"].alias("at"), F.lit(False).alias("home")))
+    there = F.when(F.col("home"), F.concat(F.array(F.struct(F.col("own").alias("at"), F.lit(True).alias("home"))), visits)).otherwise(visits)
+    moved = far.join(listed, list(CELL)).select("label", "dim", F.col("cell").alias("parent"), "rep", "copies", "v", F.explode(there).alias("x"))
+    return moved.select("label", "dim", F.xxhash64("parent", "x.at", F.lit(level)).alias("cell"), "parent", "rep", "copies", "v", "x.home")
+
+
+def cells(reps: DataFrame, reach: float) -> DataFrame:
+    """(label, dim, cell, rep, copies, v, home): every vector in its last cell and in those it visits."""
+    rows = reps.select("label", "dim", F.xxhash64("label", "dim").alias("cell"), "rep", "copies", "v", F.lit(True).alias("home"))
+    done, level = [], 0
+    work = F.col("h") * (F.col("h") + F.col("v"))
+    while True:
+        before = cut(sizes(rows))
+        large = before.where(F.col("h") > BLOCK_ROWS).select(*CELL, work.alias("before"))
+        if large.isEmpty():
+            return unioned([*done, rows])
+        done.append(rows.join(large.select(*CELL), list(CELL), "left_anti"))
+        rows = rows.join(large.select(*CELL), list(CELL), "left_semi")
+        moved = cut(split(rows, level, reach))
+        after = sizes(moved, "parent").groupBy("label", "dim", "parent").agg(F.sum(work).alias("after")).withColumnRenamed("parent", "cell")
+        better = cut(large.join(after, list(CELL)).where(F.col("after") <= SAVES * F.col("before")).select(*CELL))
+        done.append(rows.join(better, list(CELL), "left_anti"))
+        parents = better.withColumnRenamed("cell", "parent")
+        rows = cut(moved.join(parents, ["label", "dim", "parent"], "left_semi").drop("parent"))
+        level += 1
+
+
+def unioned(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def units_of(rows: DataFrame) -> DataFrame:
+    """Rows of ``cells`` in units of work: two blocks of a cell's homes, p <= q, or one of them
+    and a block of visitors. ``side``: 2 in one block, else 0 for the first, 1 for the other."""
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK_ROWS).cast("int")
+    counted = sizes(rows).select(*CELL, blocks("h").alias("hb"), blocks("v").alias("vb"))
+    placed = rows.join(counted, list(CELL)).withColumn("block", F.pmod(F.xxhash64("rep"), F.when(F.col("home"), F.col("hb")).otherwise(F.col("vb"))).cast("int"))
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    own = F.col("block")
+    pairs = F.transform(upto(F.col("hb")), lambda q: F.struct(F.least(own, q).alias("p"), F.greatest(own, q).alias("q"), F.when(own == q, 2).when(own < q, 0).otherwise(1).alias("side")))
+    meets = F.transform(upto(F.col("vb")), lambda w: F.struct(own.alias("p"), (F.col("hb") + w).alias("q"), F.lit(0).alias("side")))
+    comes = F.transform(upto(F.col("hb")), lambda p: F.struct(p.alias("p"), (F.col("hb") + own).alias("q"), F.lit(1).alias("side")))
+    there = F.when(F.col("home"), F.concat(pairs, meets)).otherwise(comes)
+    return placed.select(*CELL, "rep", "copies", "v", F.explode(there).alias("x")).select(*CELL, "x.p", "x.q", "x.side", "rep", "copies", "v")
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """Per row of ``vectors(vec_id, label, embedding)``: vec_id, n_links,
     component_id, kept. See the module for the method."""
-    rows = cut(usable(vectors.select("vec_id", "label", "embedding")).withColumn("dim", F.size("v")))
-    folded = rows.groupBy("label", "dim", "v").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("copies"))
+    rows = usable(vectors.select("vec_id", "label", "embedding")).withColumn("dim", F.size("v"))
+    rows = cut(rows.withColumns({"h1": F.xxhash64(F.lit(1), "v"), "h2": F.xxhash64(F.lit(2), "v")}))
+    folded = rows.groupBy("label", "dim", "h1", "h2").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("copies"), F.any_value("v").alias("v"))
     reps = cut(folded.withColumn("rep", F.monotonically_increasing_id()))
-    # a few pivots of each label: of the rows of each hash class, the one with the smallest hash
-    sizes = reps.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
-    hashed = reps.select("label", "dim", "rep", F.xxhash64("v").alias("h")).join(sizes, ["label", "dim"])
-    pivots_of = F.least(F.lit(MAX_PIVOTS), F.ceil(F.col("n") / PER_PIVOT))
-    chosen = hashed.groupBy("label", "dim", F.pmod("h", pivots_of).alias("slot")).agg(F.min_by("rep", "h").alias("rep"))
-    pivots = chosen.join(reps.select("rep", "v"), "rep").groupBy("label", "dim").agg(F.collect_list(F.struct("slot", "v")).alias("pivots"))
-
-    @F.pandas_udf("struct<cell:int,away:array<double>>")
-    def nearest(v: pd.Series, pivots: pd.Series) -> pd.DataFrame:
-        cells, away = [], []
-        for x, p in zip(v, pivots, strict=True):
-            d = chord(unit(np.array([q["v"] for q in sorted(p, key=lambda q: q["slot"])])) @ (x / np.linalg.norm(x)))
-            cells.append(int(d.argmin()))
-            away.append(d)
-        return pd.DataFrame({"cell": cells, "away": away})
-
-    dealt = reps.join(pivots, ["label", "dim"]).withColumn("near", nearest("v", "pivots")).select("label", "dim", "rep", "copies", "v", F.col("near.cell").alias("cell"), F.col("near.away").alias("away"))
-    dealt = cut(dealt)
-    # cells: their covering radius, and how many blocks they take
-    cells = dealt.groupBy("label", "dim", "cell").agg(F.count(F.lit(1)).alias("rows"), F.max(F.element_at("away", F.col("cell") + 1)).alias("radius"))
-    cells = cells.select("label", "dim", "cell", "radius", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks"))
-    listed = cells.groupBy("label", "dim").agg(F.sort_array(F.collect_list(F.struct("cell", "radius", "blocks"))).alias("cells"))  # at most MAX_PIVOTS of a label
-    reach = float(np.sqrt(2 - 2 * cosine)) + SAFE
-    own = F.filter("cells", lambda c: c["cell"] == F.col("cell"))[0]
-    placed = dealt.join(listed, ["label", "dim"]).withColumn("block", F.pmod(F.xxhash64("rep"), own["blocks"]).cast("int"))
-    # a row visits each block that a partner may be in; in block pair (p, q), p <= q,
-    # block p's rows are on the left and q's on the right
-    homes = F.struct(F.col("cell").alias("cell"), F.col("block").alias("block"))
-    others = F.flatten(F.transform(
-        F.filter("cells", lambda c: F.element_at("away", c["cell"] + 1) <= c["radius"] + F.lit(reach)),
-        lambda c: F.transform(F.sequence(F.lit(0), c["blocks"] - 1), lambda k: F.struct(c["cell"].alias("cell"), k.alias("block"))),
-    ))
-    visits = placed.select("label", "dim", "rep", "copies", "v", homes.alias("home"), F.explode(F.array_distinct(F.concat(F.array(homes), others))).alias("there"))
-    units = visits.select(
-        "label", "dim", F.least("home", "there").alias("p"), F.greatest("home", "there").alias("q"), "rep", "copies", "v",
-        F.when(F.col("home") == F.col("there"), 2).when(F.col("home") < F.col("there"), 0).otherwise(1).alias("side"),
-    )
+    units = units_of(cells(reps, float(np.sqrt(2 - 2 * cosine)) + SAFE))
 
     def work(keys: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         side = frame["side"].to_numpy()
         rep, copies = frame["rep"].to_numpy(np.int64), frame["copies"].to_numpy(np.int64)
+        v = frame["v"].to_numpy()
         if (side == 2).any():
-            x = unit(np.stack(frame["v"].to_numpy()))
-            n, _, a, b = dual_links(x, None, copies, copies, cosine)
+            n, _, a, b = dual_links(unit(np.stack(v)), None, copies, copies, cosine)
             got, ends = (rep, n), (rep[a], rep[b])
         else:
             left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
             if not len(left) or not len(right):
                 return pd.DataFrame({"a": [], "b": [], "n": []}).astype("int64")
-            v = frame["v"].to_numpy()
             n, m, a, b = dual_links(unit(np.stack(v[left])), unit(np.stack(v[right])), copies[left], copies[right], cosine)
             got, ends = (np.append(rep[left], rep[right]), np.append(n, m)), (rep[left][a], rep[right][b])
         counted = got[1] > 0
@@ -235,13 +315,15 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
             "a": np.append(got[0][counted], ends[0]), "b": np.append(got[0][counted], ends[1]), "n": np.append(got[1][counted], np.zeros(len(ends[0]), np.int64)),
         })
 
-    found = cut(units.groupBy("label", "dim", "p", "q").applyInPandas(work, "a long, b long, n long"))
+    found = cut(units.groupBy(*CELL, "p", "q").applyInPandas(work, "a long, b long, n long"))
     counts = found.where("n > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     grouped = reps.select("rep", "low", "copies").join(components(found.where("n = 0").select("a", "b")), F.col("rep") == F.col("node"), "left")
     grouped = grouped.withColumn("c", F.coalesce("component", "rep")).drop("node", "component")
     lowest = grouped.groupBy("c").agg(F.min("low").alias("component_id"))
-    known = grouped.join(lowest, "c").join(counts, "rep", "left").select("rep", "component_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    members = rows.join(reps.select("label", "dim", "v", "rep"), ["label", "dim", "v"]).join(known, "rep").select("vec_id", "n_links", "component_id")
+    known = grouped.join(lowest, "c").join(counts, "rep", "left").select("rep", "copies", "component_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    keys = ["label", "dim", "h1", "h2"]
+    named = cut(reps.select(*keys, "rep").join(known, "rep").select(*keys, "copies", "n_links", "component_id"))
+    members = join_hot(rows.select("vec_id", *keys), named, keys, "copies").select("vec_id", "n_links", "component_id")
     alone = vectors.where(~can_link()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return members.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gleaner.llm import covertree
+from gleaner.llm import common, covertree
 from gleaner.llm.common import components
 
 
@@ -36,17 +39,77 @@ def vectors() -> list[tuple]:
     return rows + [(400, None, 1), (401, [], 1), (402, [0.0] * 8, 1), (403, [float("nan")] * 8, 1), (404, [None] * 8, 1), (405, rows[5][1], None), (406, [1.0, 0.0], 1), (407, [1.0, 0.001], 1)]
 
 
-def test_links_and_components_equal_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize(("block", "leaf", "pivots", "saves"), [(2000, 16, 64, 0.7), (20, 4, 3, 10.0), (15, 2, 64, 0.9), (30, 1, 4, 0.0)])
+def test_links_and_components_equal_brute_force(spark, monkeypatch, block, leaf, pivots, saves):
     rows = vectors()
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<float>, label int, extra string")
-    want = brute(rows, covertree.COSINE)
-    for per, block, leaf in ((2000, 2000, 64), (30, 20, 4)):
-        monkeypatch.setattr(covertree, "PER_PIVOT", per)
-        monkeypatch.setattr(covertree, "BLOCK_ROWS", block)
-        monkeypatch.setattr(covertree, "LEAF", leaf)
-        got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in covertree.near_duplicates(df).collect()}
-        assert got == want
-    assert covertree.near_duplicates(df.limit(0)).count() == 0
+    for name, value in (("BLOCK_ROWS", block), ("LEAF", leaf), ("PIVOTS", pivots), ("SAVES", saves)):
+        monkeypatch.setattr(covertree, name, value)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in covertree.near_duplicates(df).collect()}
+    assert got == brute(rows, covertree.COSINE)
+
+
+def test_no_vectors(spark):
+    assert covertree.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_trees_prune_and_equal_all_pairs():
+    rng = np.random.default_rng(5)
+    centers = rng.normal(size=(40, 24))
+    x = covertree.unit(np.concatenate([c + rng.normal(size=(12, 24)) * rng.choice([0.02, 0.2, 0.3]) for c in centers]))
+    w = rng.integers(1, 5, len(x))
+    for y in (None, covertree.unit(np.concatenate([x[:100] + rng.normal(size=(100, 24)) * 0.03, rng.normal(size=(60, 24))]))):
+        wy = w if y is None else rng.integers(1, 5, len(y))
+        seen = Counter()
+        nx, ny, a, b = covertree.dual_links(x, y, w, wy, 0.93, seen)
+        hit = x @ (x if y is None else y).T >= 0.93
+        if y is None:
+            np.fill_diagonal(hit, False)
+        assert (nx == hit @ wy).all() and (y is None or (ny == hit.T @ w).all()) and hit[a, b].all()
+        group = lambda p, q: components_of(len(x), len(x) if y is None else len(y), p, q, y is None)
+        assert group(a, b) == group(*np.nonzero(hit))
+        assert seen["rows"] < (0.25 if y is None else 0.5) * hit.size and seen["pruned"] > 0 and seen["opened"] > 0 and (y is not None or seen["whole"] > 0)
+
+
+def components_of(n: int, m: int, a, b, same: bool) -> list[int]:
+    parent = list(range(n if same else n + m))
+
+    def find(v: int) -> int:
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for i, j in zip(a.tolist(), b.tolist()):
+        u, v = find(i), find(j if same else n + j)
+        parent[max(u, v)] = min(u, v)
+    return [find(v) for v in range(len(parent))]
+
+
+def test_cover_tree_levels():
+    rng = np.random.default_rng(6)
+    x = covertree.unit(rng.normal(size=(300, 6)))
+    todo, nodes = [covertree.cover_tree(x, 4)], 0
+    while todo:
+        node = todo.pop()
+        nodes += 1
+        assert (covertree.chord(x[node.rows] @ x[node.center]) <= node.radius + 1e-12).all()
+        if node.children:
+            assert sorted(np.concatenate([c.rows for c in node.children]).tolist()) == sorted(node.rows.tolist())
+            assert all(c.radius <= node.radius for c in node.children) and node.children[0].center == node.center
+        todo += node.children
+    assert nodes > 50
+
+
+@pytest.mark.parametrize("hot", [200_000, 0])
+def test_hot_keys_and_hubs(spark, monkeypatch, hot):
+    monkeypatch.setattr(common, "HOT_ROWS", hot)
+    monkeypatch.setattr(common, "HOT", 3)
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 60 + [2] * 5 + list(range(3, 20)))], "k long, i long")
+    keyed = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("x", F.col("k") * 2)
+    assert sorted((r["k"], r["i"], r["x"]) for r in common.join_hot(rows, keyed, ["k"], "n").collect()) == sorted((r["k"], r["i"], 2 * r["k"]) for r in rows.collect())
+    edges = [(0, k) for k in range(1, 80)] + [(200, 201), (201, 202)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {k: 0 for k in range(80)} | {200: 200, 201: 200, 202: 200}
 
 
 def test_components_of_chains_and_stars(spark):
