@@ -6,7 +6,8 @@ states. Functions compose associatively, so token boundaries come from a scan:
 blocks of a fixed length are composed side by side, the blocks' functions are
 scanned by doubling, and each block is replayed from its entry state. No regular
 expression is involved. The slices between boundaries feed merges by rank, cached
-per worker; byte offsets are kept with the ids.
+per worker. The byte offset where each id ends is kept with the ids: decoding lays the
+ids' bytes out by them, all ids of a batch at once, and any span of ids alone.
 
 Defined cases: a null or empty text has no ids and decodes to no bytes; texts of any
 length and slices of any length are encoded whole (long slices by a heap of merges);
@@ -23,7 +24,6 @@ from functools import cache
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -139,6 +139,8 @@ class Codec:
         self.sizes = np.zeros(max(self.bytes) + 1, np.int64)
         for i, x in self.bytes.items():
             self.sizes[i] = len(x)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(self.bytes.get(i, b"") for i in range(len(self.sizes))), np.uint8)
         self.cache: dict[str, bytes] = {}
         ranks = self.ranks
         pairs = sorted((ranks[x[:k]] << 32 | ranks[x[k:]], i) for x, i in ranks.items() for k in range(1, len(x)) if x[:k] in ranks and x[k:] in ranks)
@@ -254,8 +256,24 @@ class Codec:
             coded = list(map(known.__getitem__, slices))
         return [b"".join(coded[a + 1 : b]) for a, b in zip(at, at[1:], strict=False)]  # without the marks
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids))
+    def ends(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """The byte offset in its text where each id ends; text k has ids bounds[k]..bounds[k+1]."""
+        total = np.append(0, np.cumsum(self.sizes[ids]))
+        return total[1:] - np.repeat(total[bounds[:-1]], np.diff(bounds))
+
+    def decode(self, ids: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, offsets): each text's bytes, one after another, and where they begin. An
+        id's bytes lie before its end in its text."""
+        filled = np.diff(bounds) > 0
+        length = np.zeros(len(bounds) - 1, np.int64)
+        length[filled] = ends[bounds[1:][filled] - 1]
+        offsets = np.append(0, np.cumsum(length))
+        size = self.sizes[ids]
+        begin = np.repeat(offsets[:-1], np.diff(bounds)) + ends - size
+        out = np.empty(int(offsets[-1]), np.uint8)
+        step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        out[np.repeat(begin, size) + step] = self.flat[np.repeat(self.starts[ids], size) + step]
+        return out, offsets
 
 
 @cache
@@ -263,36 +281,53 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
+#: Texts that are encoded or decoded together.
+TEXTS = 400
+
+
+def decoded_array(coder: Codec, ids: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    raw, offsets = coder.decode(ids, ends, bounds)
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(raw)]).cast(pa.binary())
+
+
+def encode(docs: DataFrame, vocabulary: str, decoded: bool = False) -> DataFrame:
     """(doc_id, ids array<int>, ends array<int>): the ids of ``docs(doc_id, text)``
-    and the byte offset in the UTF-8 text where each one ends."""
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
+    and the byte offset in the UTF-8 text where each one ends. With ``decoded`` also
+    the bytes that those two decode to, in the same pass."""
+    fields = [("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))] + [("decoded", pa.binary())] * decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(vocabulary)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 400):
-                part = batch.slice(lo, 400)
+            for lo in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(lo, TEXTS)
                 coded = coder.encode(part.column(1).to_pylist())
-                flat = np.frombuffer(b"".join(coded), "<i4")
+                ids = np.frombuffer(b"".join(coded), "<i4")
                 bounds = np.cumsum([0] + [len(x) // 4 for x in coded]).astype(np.int32)
-                total = np.append(0, np.cumsum(coder.sizes[flat]))
-                ends = total[1:] - np.repeat(total[bounds[:-1]], np.diff(bounds))
-                lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(x.astype(np.int32))) for x in (flat, ends)]
-                yield pa.RecordBatch.from_arrays([part.column(0), *lists], schema=schema)
+                ends = coder.ends(ids, bounds)
+                lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(x.astype(np.int32))) for x in (ids, ends)]
+                more = [decoded_array(coder, ids, ends, bounds)] if decoded else []
+                yield pa.RecordBatch.from_arrays([part.column(0), *lists, *more], schema=pa.schema(fields))
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>, ends array<int>")
+    schema = "doc_id long, ids array<int>, ends array<int>" + ", decoded binary" * decoded
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
 def decode(coded: DataFrame, vocabulary: str) -> DataFrame:
-    """``coded`` with ``decoded``, the bytes of its ``ids``."""
+    """``coded(doc_id, ids, ends)`` with ``decoded``, the bytes of its ids; null ids are none."""
+    fields = [("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("decoded", pa.binary())]
 
-    @F.pandas_udf("binary")
-    def udf(ids: pd.Series) -> pd.Series:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(vocabulary)
-        return pd.Series([coder.decode(x.tolist()) for x in ids], dtype=object)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(lo, TEXTS)
+                lists = [part.column(k).fill_null([]) for k in (1, 2)]
+                ids, ends = (x.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for x in lists)
+                bounds = np.append(0, np.cumsum([len(x) for x in lists[0]]))
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(3)), decoded_array(coder, ids, ends, bounds)], schema=pa.schema(fields))
 
-    return coded.withColumn("decoded", udf("ids"))
+    return coded.select("doc_id", "ids", "ends").mapInArrow(run, "doc_id long, ids array<int>, ends array<int>, decoded binary")
 
 
 def vocabulary_path() -> str:
@@ -303,7 +338,7 @@ def vocabulary_path() -> str:
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary_path()
-    coded = decode(encode(table(spark, sf_dir, "documents"), path).drop("ends"), path)
+    coded = encode(table(spark, sf_dir, "documents"), path, decoded=True)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -481,7 +481,13 @@ def test_byte_bpe_equals_the_library(spark, docs, rows):
     for t, ids in zip(texts, coder.encode(texts)):
         ids = np.frombuffer(ids, "<i4").tolist()
         assert ids == library.encode_ordinary(t), repr(t)
-        assert coder.decode(ids) == t.encode()
+        ids = np.array(ids, np.int64)
+        bounds = np.array([0, len(ids)])
+        assert coder.decode(ids, coder.ends(ids, bounds), bounds)[0].tobytes() == t.encode()
     got = bytepair.decode(bytepair.encode(docs, path), path).collect()
+    assert sorted(map(repr, bytepair.encode(docs, path, decoded=True).collect())) == sorted(map(repr, got))
+    cut = bytepair.decode(bytepair.encode(docs, path).select("doc_id", F.slice("ids", 1, 3).alias("ids"), F.slice("ends", 1, 3).alias("ends")), path).where("doc_id = 0").first()
+    assert cut["decoded"].decode("utf-8", "ignore") == rows[0][1][: len(cut["decoded"].decode("utf-8", "ignore"))] and len(cut["decoded"]) == cut["ends"][-1]
+    assert bytepair.encode(docs.limit(0), path, decoded=True).count() == 0
     assert sorted((repr(r["doc_id"]), tuple(r["ids"]), bytes(r["decoded"])) for r in got) == sorted((repr(r[0]), tuple(library.encode_ordinary(r[1] or "")), (r[1] or "").encode()) for r in rows)
     assert all(list(r["ends"]) == np.cumsum([len(coder.bytes[i]) for i in r["ids"]]).tolist() for r in got)
