@@ -9,7 +9,9 @@ space, so some v has an even product with all of them (Pagh, 2016, "Locality-sen
 
 Equal fingerprints are folded to one before the search, so groups of exact copies
 cost nothing. Inside a collision group, links are found by growing neighbourhoods
-with vectorised Hamming distances, and only a spanning set of links leaves the task.
+with vectorised Hamming distances; a group of over ``GROUP`` fingerprints is first dealt
+again by covering masks over the bits in which its members can still differ, so its
+cost stays near its size. Only a spanning set of links leaves the task.
 
 Defined cases: a null, empty or blank text has fingerprint zero and links like any
 other; fewer words than a shingle give the whole sequence as the one shingle;
@@ -28,11 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import components, cut, small_batches, table
+from gleaner.llm.common import components, cut, join_hot, small_batches, table
 
 RADIUS = 3
 SHINGLE = 3
 BITS = 64
+#: Fingerprints of a collision group that are compared without dealing them again.
+GROUP = 4096
 
 
 def shingle_hashes(text: str | None, size: int = SHINGLE, seed: int = 42) -> np.ndarray:
@@ -68,10 +72,12 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return small_batches(docs).withColumn("fp", udf("text"))
 
 
-def covering_masks(radius: int = RADIUS, seed: int = 1) -> list[int]:
-    """2**(radius+1)-1 masks of which any two words within ``radius`` share one."""
-    vectors = np.random.default_rng(seed).permutation(np.arange(BITS) % ((1 << (radius + 1)) - 1) + 1)
-    return [sum(1 << i for i in range(BITS) if int(vectors[i] & v).bit_count() % 2 == 1) for v in range(1, 1 << (radius + 1))]
+def covering_masks(radius: int = RADIUS, seed: int = 1, free: int = (1 << BITS) - 1) -> list[int]:
+    """2**(radius+1)-1 masks of ``free`` bits, of which any two words that differ in at most
+    ``radius`` bits, all of them free, share one."""
+    places = [i for i in range(BITS) if free >> i & 1]
+    vectors = np.random.default_rng(seed).permutation(np.arange(len(places)) % ((1 << (radius + 1)) - 1) + 1)
+    return [sum(1 << i for i, w in zip(places, vectors.tolist(), strict=True) if (w & v).bit_count() % 2 == 1) for v in range(1, 1 << (radius + 1))]
 
 
 def signed(x: int) -> int:
@@ -96,35 +102,57 @@ def spanning_links(fps: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
     return a, b
 
 
+def group_links(fps: np.ndarray, radius: int, free: int) -> tuple[list[int], list[int]]:
+    """The same for many values that differ in ``free`` bits alone."""
+    fps = np.unique(fps)
+    if len(fps) <= GROUP or free.bit_count() <= 8:
+        return spanning_links(fps, radius)
+    a, b = [], []
+    for mask in covering_masks(radius, free.bit_count(), free):
+        key = fps.view(np.uint64) & np.uint64(mask)
+        by = np.argsort(key, kind="stable")
+        starts = np.append(np.flatnonzero(np.append(True, key[by][1:] != key[by][:-1])), len(by))
+        for i in np.flatnonzero(np.diff(starts) > 1):
+            x, y = group_links(fps[by[starts[i] : starts[i + 1]]], radius, free & ~mask)
+            a += x
+            b += y
+    return a, b
+
+
 def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b): links between distinct fingerprints ``fps(fp)`` that connect all
     those within ``radius`` bits; no pair within the radius stays unconnected."""
-    masks = F.array(*[F.struct(F.lit(i).cast("byte").alias("t"), F.lit(signed(m)).cast("long").alias("m")) for i, m in enumerate(covering_masks(radius))])
+    every = covering_masks(radius)
+    masks = F.array(*[F.struct(F.lit(i).cast("byte").alias("t"), F.lit(signed(m)).cast("long").alias("m")) for i, m in enumerate(every)])
     keyed = fps.select("fp", F.explode(masks).alias("x")).select(F.col("x.t").alias("t"), F.col("fp").bitwiseAND(F.col("x.m")).alias("key"), "fp")
     keyed = keyed.repartition("t", "key").sortWithinPartitions("t", "key")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tail: tuple | None = None  # the last group may go on in the next batch
+        last, open_ = None, []  # the last group of a batch may go on in the next one
         for batch in batches:
             t, key, fp = (batch[c].to_numpy() for c in ("t", "key", "fp"))
-            if tail:
-                t, key, fp = np.append(tail[0], t), np.append(tail[1], key), np.append(tail[2], fp)
-            starts = np.flatnonzero(np.append(True, (t[1:] != t[:-1]) | (key[1:] != key[:-1]))) if len(t) else np.zeros(0, int)
-            if not len(starts):
+            if not len(t):
+                continue
+            starts = np.flatnonzero(np.append(True, (t[1:] != t[:-1]) | (key[1:] != key[:-1])))
+            groups = [fp[i:j] for i, j in zip(starts, [*starts[1:], len(fp)], strict=True)]
+            if (t[0], key[0]) == last:
+                open_.append(groups.pop(0))
+                starts = starts[1:]
+            if not groups:
                 continue
-            last = starts[-1]
-            tail = (t[last:], key[last:], fp[last:])
-            yield linked(fp, starts)
-        if tail:
-            yield linked(np.append(tail[2], 0), np.array([0, len(tail[2])]))
+            ended = [(last[0], np.concatenate(open_))] if open_ else []
+            yield linked(ended + [(t[i], g) for i, g in zip(starts, groups[:-1], strict=False)])
+            last, open_ = (t[-1], key[-1]), [groups[-1]]
+        if open_:
+            yield linked([(last[0], np.concatenate(open_))])
 
-    def linked(fp: np.ndarray, starts: np.ndarray) -> pd.DataFrame:
+    def linked(groups: list[tuple]) -> pd.DataFrame:
         a, b = [], []
-        many = np.flatnonzero(np.diff(starts) > 1)
-        for i in many:
-            x, y = spanning_links(fp[starts[i] : starts[i + 1]], radius)
-            a += x
-            b += y
+        for t, group in groups:
+            if len(group) > 1:
+                x, y = group_links(group, radius, ~every[t] & ((1 << BITS) - 1))
+                a += x
+                b += y
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     return keyed.mapInPandas(run, "a long, b long")
@@ -133,12 +161,12 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs(doc_id, text)``."""
     signatures = cut(fingerprints(docs.select("doc_id", "text"), size).select("doc_id", "fp"))
-    distinct = cut(signatures.groupBy("fp").agg(F.min("doc_id").alias("low")))
+    distinct = cut(signatures.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")))
     found = components(links(distinct.select("fp"), radius))
-    grouped = distinct.join(found, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("component", "fp").alias("component"))
+    grouped = distinct.join(found, F.col("fp") == F.col("node"), "left").select("fp", "low", "n", F.coalesce("component", "fp").alias("component"))
     lowest = grouped.groupBy("component").agg(F.min("low").alias("component_id"))
-    numbered = grouped.join(lowest, "component").select("fp", "component_id")
-    return signatures.join(numbered, "fp").select("doc_id", "fp", "component_id")
+    numbered = cut(grouped.join(lowest, "component").select("fp", "n", "component_id"))
+    return join_hot(signatures, numbered, ["fp"], "n").select("doc_id", "fp", "component_id")
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

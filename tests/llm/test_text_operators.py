@@ -160,7 +160,9 @@ def test_simhash_components_equal_brute_force(spark, docs, rows, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
-def test_links_connect_all_near_fingerprints(spark):
+@pytest.mark.parametrize("group", [simhash.GROUP, 5])
+def test_links_connect_all_near_fingerprints(spark, monkeypatch, group):
+    monkeypatch.setattr(simhash, "GROUP", group)
     rng = random.Random(2)
     base = [rng.getrandbits(64) for _ in range(40)]
     fps = sorted({b ^ sum(1 << k for k in rng.sample(range(64), rng.randint(0, 4))) for b in base for _ in range(15)})
@@ -180,6 +182,27 @@ def test_links_connect_all_near_fingerprints(spark):
             assert find(simhash.signed(a)) == find(simhash.signed(b))
 
 
+def test_a_large_group_of_near_fingerprints_is_dealt_again():
+    rng = np.random.default_rng(3)
+    fps = np.unique(np.bitwise_xor.reduce(np.left_shift(np.int64(1), rng.integers(0, 32, (20_000, 6))), axis=1))
+    a, b = simhash.group_links(fps, 3, (1 << 32) - 1)
+    place = {x: i for i, x in enumerate(fps.tolist())}
+    parent = list(range(len(fps)))
+
+    def find(v: int) -> int:
+        while parent[v] != v:
+            parent[v] = parent[parent[v]]
+            v = parent[v]
+        return v
+
+    for x, y in zip(a, b):
+        assert (x ^ y).bit_count() <= 3
+        parent[find(place[x])] = find(place[y])
+    for i in rng.integers(0, len(fps), 300).tolist():
+        for j in np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= 3).tolist():
+            assert find(i) == find(j)
+
+
 # op6
 
 
