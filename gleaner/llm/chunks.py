@@ -9,7 +9,9 @@ documents (or earlier places of the same one) already hold is removed when it is
 at least ``MIN_RUN`` code points long; the document with the smallest id keeps it.
 
 Only digests and numbers are shuffled to find repeats; frequent digests are summed
-before the shuffle. Texts move once, to be cut.
+before the shuffle, and the chunks of those that hold over one in ``HOT`` of all shared
+chunks (at most so many, hence broadcast) are dealt to ``SALTS`` tasks, not to one. Texts
+move once, to be cut.
 
 Defined cases: a null text stays null and has no chunks; an empty text stays empty;
 a row without an id never owns a passage that a row with an id holds; each is a document of its own, as is each row that repeats an id (such rows, and
@@ -28,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import shared_folder, small_batches, table
+from gleaner.llm.common import cut, fresh_name, shared_folder, small_batches, table
 
 #: Code points that decide a cut, and the bits of the hash that must be zero there:
 #: a chunk has 2**MASK_BITS code points on average beyond the smallest.
@@ -36,6 +38,8 @@ BITS, MASK_BITS = 16, 5
 MIN_CHUNK, MAX_CHUNK = 16, 256
 #: Code points; shorter repeats are common phrases, not copied passages.
 MIN_RUN = 100
+#: Digests of over one in HOT of all shared chunks, and of over HOT_ROWS, are dealt by salts.
+HOT, HOT_ROWS, SALTS = 1000, 1000, 64
 
 
 def gear_table(size: int = 4096) -> np.ndarray:
@@ -57,7 +61,7 @@ def gear_hash(points: np.ndarray) -> np.ndarray:
     return h
 
 
-def cuts(points: np.ndarray) -> list[int]:
+def ends_of(points: np.ndarray) -> list[int]:
     """Ends of the chunks, the last at the text's end."""
     n = len(points)
     found = (np.flatnonzero(gear_hash(points) >> np.uint16(BITS - MASK_BITS) == 0) + 1).tolist() if n else []
@@ -88,7 +92,7 @@ def chunk_rows(docs: DataFrame, nth: bool = False) -> DataFrame:
                         continue
                     raw = text.encode("utf-32-le", "surrogatepass")
                     at, seen = 0, set()
-                    ends = cuts(np.frombuffer(raw, np.uint32))
+                    ends = ends_of(np.frombuffer(raw, np.uint32))
                     for end in ends:
                         digest = hashlib.blake2b(raw[4 * at : 4 * end], digest_size=16).digest()
                         starts.append(at)
@@ -130,9 +134,15 @@ def repeats(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     chunks, key = chunk_rows(docs.where("_nth = 0")).withColumn("_nth", F.lit(0).cast("long")), plain
     if not many.isEmpty():
         chunks, key = chunks.unionByName(chunk_rows(many, nth=True)), F.struct(plain.alias("o"), "_nth")
-    shared = chunks.groupBy("d1", "d2").agg(F.min(key).alias("first"), F.max(key).alias("last"), F.max("again").alias("twice"))
-    shared = shared.where((F.col("first") < F.col("last")) | F.col("twice")).select("d1", "d2", "first")
-    held = chunks.join(shared, ["d1", "d2"]).where((key > F.col("first")) | F.col("again"))
+    shared = chunks.groupBy("d1", "d2").agg(F.min(key).alias("first"), F.max(key).alias("last"), F.max("again").alias("twice"), F.count(F.lit(1)).alias("n"))
+    shared = cut(shared.where((F.col("first") < F.col("last")) | F.col("twice")).select("d1", "d2", "first", "n"))
+    total = shared.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = F.col("n") > max(total / HOT, HOT_ROWS)
+    frequent = F.broadcast(shared.where(hot).select("d1", "d2", F.lit(True).alias("hot")))  # at most HOT rows
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "_nth", "start"), F.lit(SALTS))).otherwise(0).cast("int")
+    salts = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    dealt = chunks.join(frequent, ["d1", "d2"], "left").withColumn("salt", salt).drop("hot")
+    held = dealt.join(shared.select("d1", "d2", "first", F.explode(salts).alias("salt")), ["d1", "d2", "salt"]).where((key > F.col("first")) | F.col("again"))
     held = held.withColumn("first_doc", F.col("first") if key is plain else F.col("first.o"))
 
     @F.pandas_udf("array<struct<start:int,size:int,first_doc:long>>")
@@ -155,7 +165,11 @@ def merged(chunks: list[dict], min_run: int) -> list[dict]:
 
 
 def remove_repeats(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
-    """``docs`` with repeated passages cut out of ``text``, and ``_spans``, what was cut."""
+    """``docs`` with repeated passages cut out of ``text``, and ``_spans``, what was cut. A
+    column of that name is kept as ``_spans_aside``."""
+    if clash := {"_doc", "_row", "_nth", "_spans", "_id"} & {c.lower() for c in docs.columns}:  # set aside, put back below
+        aside = {c: fresh_name(docs, f"{c}_aside") for c in docs.columns if c.lower() in clash}
+        return remove_repeats(docs.withColumnsRenamed(aside), min_run).withColumnsRenamed({v: k for k, v in aside.items() if k.lower() != "_spans"})
     docs = numbered(docs)
     spans = repeats(docs, min_run).select(F.col("doc_id").alias("_doc"), F.col("_nth").alias("_row"), F.col("spans").alias("_spans"))
     joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_nth") == F.col("_row")), "left").drop("_doc", "_row", "_nth")
@@ -169,9 +183,12 @@ def remove_repeats(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
 def without_repeats(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     """``docs`` with repeated passages cut out; documents of which only white space
     is left after a cut go, all others stay. ``n_chars`` is counted anew."""
-    found = remove_repeats(docs, min_run).where(F.col("_spans").isNull() | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
-    counted = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
-    return (found.withColumn("n_chars", counted) if "n_chars" in docs.columns else found).select(docs.columns)
+    found = remove_repeats(docs, min_run)
+    kept = found.where(F.col("_spans").isNull() | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
+    counted = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")) if "n_chars" in docs.columns else None
+    kept = kept if counted is None else kept.withColumn("n_chars", counted)
+    aside = {c: f"{c}_aside" for c in docs.columns if c.lower() == "_spans"}
+    return kept.drop("_spans").withColumnsRenamed({v: k for k, v in aside.items()}).select(docs.columns)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

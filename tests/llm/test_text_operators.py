@@ -96,9 +96,9 @@ def test_chunks_follow_the_content():
     rng = np.random.default_rng(1)
     points = rng.integers(97, 123, 20_000).astype(np.uint32)
     moved = np.insert(points, 50, [97, 98, 99])
-    a, b = set(chunks.cuts(points)), {c - 3 for c in chunks.cuts(moved)}
+    a, b = set(chunks.ends_of(points)), {c - 3 for c in chunks.ends_of(moved)}
     assert len(a & b) > 0.95 * len(a)
-    assert chunks.cuts(points)[-1] == len(points) and chunks.cuts(points[:0]) == []
+    assert chunks.ends_of(points)[-1] == len(points) and chunks.ends_of(points[:0]) == []
     naive = []
     h = 0
     for i, p in enumerate(points[:300]):
@@ -107,6 +107,48 @@ def test_chunks_follow_the_content():
     assert naive[20:] == chunks.gear_hash(points[:300])[20:].tolist()
 
 
+def brute_spans(texts: dict[int, str]) -> dict[int, list]:
+    """Chunks that an earlier document, or an earlier place, holds; joined, the long ones."""
+    seen: dict[str, int] = {}
+    out = {}
+    for i in sorted(texts):
+        at, runs, own = 0, [], set()
+        t = texts[i] or ""
+        for end in chunks.ends_of(np.frombuffer(t.encode("utf-32-le"), np.uint32)):
+            piece = t[at:end]
+            if piece in seen or piece in own:
+                if runs and runs[-1][1] == at:
+                    runs[-1][1] = end
+                else:
+                    runs.append([at, end])
+            own.add(piece)
+            at = end
+        for piece in own:
+            seen.setdefault(piece, i)
+        out[i] = [(a, b - a) for a, b in runs if b - a >= chunks.MIN_RUN]
+    return out
+
+
+@pytest.mark.parametrize("hot", [chunks.HOT_ROWS, 0])
+def test_spans_equal_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(chunks, "HOT_ROWS", hot)
+    monkeypatch.setattr(chunks, "SALTS", 3)
+    rng = random.Random(21)
+    passages = [prose(rng, 60) for _ in range(6)]
+    texts = {i: "".join(rng.choice([prose(rng, rng.randint(1, 50)), rng.choice(passages), passages[0]]) for _ in range(rng.randint(0, 6))) for i in range(60)}
+    df = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in texts.items()], "doc_id long, text string, _spans int, _nth int, Salt int").repartition(5)
+    found = chunks.remove_repeats(df)
+    got = {r["doc_id"]: r for r in found.collect()}
+    want = brute_spans(texts)
+    assert any(want.values()) and {i: [(s["start"], s["size"]) for s in r["_spans"] or []] for i, r in got.items()} == want
+    assert all(r["_spans_aside"] == 1 and r["_nth"] == 2 and r["Salt"] == 3 for r in got.values()) and chunks.without_repeats(df).columns == df.columns
+    for i, r in got.items():
+        kept, at = "", 0
+        for start, size in want[i]:
+            kept, at = kept + texts[i][at:start], start + size
+        assert r["text"] == kept + texts[i][at:]
+
+
 def test_repeats_edge_rows(docs, none, rows):
     assert chunks.remove_repeats(docs).count() == len(rows) and chunks.remove_repeats(none).count() == 0
     assert chunks.without_repeats(docs).columns == docs.columns
