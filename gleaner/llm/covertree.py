@@ -37,8 +37,9 @@ from gleaner.llm.common import components, cut, join_hot, table
 
 COSINE = 0.93
 #: Vectors of a block, and of a cell that is not split; the pivots of a cell at most; the
-#: share of the work that a split must leave at most.
-BLOCK_ROWS, PIVOTS, SAVES = 2000, 64, 0.7
+#: share of the work that a split must leave at most, where to move a vector to a unit of
+#: work counts as so many comparisons.
+BLOCK_ROWS, PIVOTS, SAVES, MOVED = 2000, 64, 0.7, 1200
 LEAF = 16
 SAFE = 1e-7  # bounds are widened by this much against rounding
 
@@ -52,24 +53,21 @@ def chord(cosine: np.ndarray) -> np.ndarray:
 
 
 class Node:
-    """Rows, covered by the center within the radius; children cover them within half of the level."""
+    """Rows, covered by the center within the radius. Its children, covered within half of
+    its level, are ``centers`` with ``radii``; ``nodes`` has those of several rows, by place."""
 
-    __slots__ = ("center", "radius", "rows", "children", "centers", "radii")
+    __slots__ = ("center", "radius", "rows", "centers", "radii", "nodes")
 
-    def __init__(self, center: int, radius: float, rows: np.ndarray, children: list) -> None:
-        self.center, self.radius, self.rows, self.children = center, radius, rows, children
-        self.centers, self.radii = np.array([c.center for c in children], int), np.array([c.radius for c in children])
+    def __init__(self, center: int, radius: float, rows: np.ndarray) -> None:
+        self.center, self.radius, self.rows = center, radius, rows
+        self.centers, self.radii, self.nodes = np.zeros(0, int), np.zeros(0), {}
 
 
 def cover_tree(x: np.ndarray, leaf: int | None = None) -> Node:
     """Nested levels over the rows of ``x``, from the largest chord down: a node's children
     are centres farther than half of its level apart which cover its rows within that half."""
     leaf = LEAF if leaf is None else leaf
-
-    def node(rows: np.ndarray, center: int) -> Node:
-        return Node(center, float(chord(x[rows] @ x[center]).max(initial=0.0)), rows, [])
-
-    root = node(np.arange(len(x)), 0)
+    root = Node(0, float(chord(x @ x[0]).max(initial=0.0)) if len(x) else 0.0, np.arange(len(x)))
     open_ = [(root, 4.0)]
     while open_:
         top, level = open_.pop()
@@ -77,101 +75,139 @@ def cover_tree(x: np.ndarray, leaf: int | None = None) -> Node:
             continue
         while level / 2 >= top.radius:
             level /= 2
-        half, left, at = level / 2, top.rows, top.center
-        children = []
+        half = level / 2
+        far = chord(x[top.rows] @ x[top.rows].T)
+        near = far <= half
+        np.fill_diagonal(near, True)
+        # rows that no other covers are centres; of the others one after another, first the node's own
+        alone = near.sum(axis=1) == 1
+        left = np.flatnonzero(~alone)
+        at = int(np.flatnonzero(top.rows == top.center)[0])
+        centers, radii = [np.flatnonzero(alone)], [np.zeros(int(alone.sum()))]
+        place = len(centers[0])
         while len(left):
-            near = chord(x[left] @ x[at]) <= half
-            near[left == at] = True
-            children.append(node(left[near], at))
-            left = left[~near]
-            at = int(left[0]) if len(left) else -1
-        made = Node(top.center, top.radius, top.rows, children)
-        top.children, top.centers, top.radii = made.children, made.centers, made.radii
-        open_ += [(c, half) for c in children]
+            at = at if at >= 0 and not alone[at] else int(left[0])
+            own = left[near[at, left]]
+            radius = float(far[at, own].max())
+            centers.append(np.array([at]))
+            radii.append(np.array([radius]))
+            if len(own) > 1:
+                top.nodes[place] = child = Node(int(top.rows[at]), radius, top.rows[own])
+                open_.append((child, half))
+            place += 1
+            left, at = left[~near[at, left]], -1
+        top.centers, top.radii = top.rows[np.concatenate(centers)], np.concatenate(radii)
     return root
 
 
-def dual_links(x: np.ndarray, y: np.ndarray | None, wx: np.ndarray, wy: np.ndarray, cosine: float, seen: Counter | None = None) -> tuple:
-    """Counts of links (weighted by copies) of the rows of ``x`` and of ``y``, and
-    links that connect all linked rows; ``y`` None: within ``x``, without row pairs i, i.
-    ``seen`` counts node pairs pruned, linked whole and opened, and row pairs compared."""
-    same = y is None
-    other = x if same else y
-    seen = Counter() if seen is None else seen
-    tree = cover_tree(x)
-    right = tree if same else cover_tree(y)
-    reach = float(np.sqrt(2 - 2 * cosine))
-    nx, ny = np.zeros(len(x), np.int64), np.zeros(len(other), np.int64)
-    ax: list[np.ndarray] = []
-    bx: list[np.ndarray] = []
+class Links:
+    """Counts of links (weighted by copies) of the rows of ``x`` and of ``y``, and links that
+    connect all linked rows; ``seen`` counts node pairs pruned, linked whole and opened, and
+    row pairs compared."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, wx: np.ndarray, wy: np.ndarray, cosine: float, seen: Counter) -> None:
+        self.x, self.y, self.wx, self.wy, self.cosine, self.seen = x, y, wx, wy, cosine, seen
+        self.reach = float(np.sqrt(2 - 2 * cosine))
+        self.nx, self.ny = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
+        self.a: list[np.ndarray] = []
+        self.b: list[np.ndarray] = []
 
-    def take(i: np.ndarray, j: np.ndarray) -> None:
+    def take(self, i: np.ndarray, j: np.ndarray) -> None:
         """Every row of i is linked with every row of j."""
-        nx[i] += wy[j].sum()
-        ny[j] += wx[i].sum()
-        ax.append(np.concatenate([np.full(len(j), i[0]), i[1:]]))
-        bx.append(np.concatenate([j, np.full(len(i) - 1, j[0])]))
+        self.nx[i] += self.wy[j].sum()
+        self.ny[j] += self.wx[i].sum()
+        self.a.append(np.concatenate([np.full(len(j), i[0]), i[1:]]))
+        self.b.append(np.concatenate([j, np.full(len(i) - 1, j[0])]))
 
-    def compare(i: np.ndarray, j: np.ndarray, hit: np.ndarray) -> None:
+    def compare(self, i: np.ndarray, j: np.ndarray, hit: np.ndarray) -> None:
         """Rows i, j that are linked where ``hit``."""
-        if not hit.any():
-            return
-        np.add.at(nx, i, hit @ wy[j])
-        np.add.at(ny, j, hit.T @ wx[i])
         p, q = np.nonzero(hit)
-        p, q = forest(p, q, len(i), len(j), False)
-        ax.append(i[p])
-        bx.append(j[q])
-
-    def leaves(a: Node, b: Node) -> None:
-        hit = x[a.rows] @ other[b.rows].T >= cosine
-        seen["rows"] += hit.size
-        if same and a is b:
-            hit = np.triu(hit, 1)
-        compare(a.rows, b.rows, hit)
-
-    def meet(left: list[Node], right: list[Node], ca: np.ndarray, cb: np.ndarray, ra: np.ndarray, rb: np.ndarray, one: bool) -> list:
-        """Of all pairs of the two lists' nodes those to open."""
-        product = x[ca] @ other[cb].T
-        d, sums = chord(product), ra[:, None] + rb
-        live = d <= sums + reach + SAFE
-        if one:  # each pair once; a node with itself is opened
-            live = np.triu(live, 1)
-        small = (np.array([len(n.rows) for n in left]) == 1)[:, None] & (np.array([len(n.rows) for n in right]) == 1)
-        seen["pruned"] += live.size - int(live.sum())
-        seen["rows"] += int((live & small).sum())
-        compare(ca, cb, live & small & (product >= cosine))
-        whole = live & ~small & (d < reach - sums - SAFE)
-        for i, j in zip(*np.nonzero(whole), strict=True):
-            take(left[i].rows, right[j].rows)
-        rest = live & ~small & ~whole
-        seen["whole"] += int(whole.sum())
-        seen["opened"] += int(rest.sum())
-        out = [(left[i], right[j]) for i, j in zip(*np.nonzero(rest), strict=True)]
-        return out + [(n, n) for n in left if len(n.rows) > 1] if one else out
-
-    stack = [(tree, right)] if same else meet([tree], [right], *(np.array([v]) for v in (tree.center, right.center, tree.radius, right.radius)), False)
-    while stack:
-        a, b = stack.pop()
-        one = same and a is b
-        if one and 2 * a.radius < reach - SAFE and len(a.rows) > 1:  # all within reach of each other
-            seen["whole"] += 1
-            total = wx[a.rows].sum()
-            nx[a.rows] += total - wx[a.rows]
-            ax.append(np.full(len(a.rows) - 1, a.rows[0]))
-            bx.append(a.rows[1:])
-        elif not a.children and not b.children:
-            leaves(a, b)
-        elif one:
-            stack += meet(a.children, a.children, a.centers, a.centers, a.radii, a.radii, True)
-        elif a.children and (not b.children or a.radius >= b.radius):
-            stack += meet(a.children, [b], a.centers, np.array([b.center]), a.radii, np.array([b.radius]), False)
-        else:
-            stack += meet([a], b.children, np.array([a.center]), b.centers, np.array([a.radius]), b.radii, False)
-    if same:
-        nx += ny
-    ends = (np.concatenate(ax), np.concatenate(bx)) if ax else (np.zeros(0, int), np.zeros(0, int))
-    return nx, ny, *ends
+        if len(p):
+            np.add.at(self.nx, i[p], self.wy[j[q]])
+            np.add.at(self.ny, j[q], self.wx[i[p]])
+            p, q = forest(p, q, len(i), len(j), False)
+            self.a.append(i[p])
+            self.b.append(j[q])
+
+    def block(self, i: np.ndarray, j: np.ndarray, one: bool = False) -> None:
+        """All pairs of rows i and j; ``one``: of the same rows, each once."""
+        hit = self.x[i] @ self.y[j].T >= self.cosine
+        self.seen["rows"] += hit.size
+        self.compare(i, j, np.triu(hit, 1) if one else hit)
+
+    def meet(self, ca: np.ndarray, ra: np.ndarray, left: dict[int, Node], cb: np.ndarray, rb: np.ndarray, right: dict[int, Node], one: bool) -> list[tuple[Node, Node]]:
+        """Of all pairs of two lists of nodes those to open. Nodes of one row are in no dict."""
+        product = self.x[ca] @ self.y[cb].T
+        single_a, single_b = np.ones(len(ca), bool), np.ones(len(cb), bool)
+        single_a[list(left)], single_b[list(right)] = False, False
+        # two rows: a pair is decided at once; most are far apart
+        bound = ra[:, None] + rb + (self.reach + SAFE)
+        live = 2 - 2 * product <= bound * bound
+        if one:
+            live &= np.arange(len(ca))[:, None] < np.arange(len(cb))
+        self.seen["pruned"] += (live.size // 2 if one else live.size) - int(live.sum())
+        i, j = np.nonzero(live)
+        small = single_a[i] & single_b[j]
+        self.seen["rows"] += int(small.sum())
+        hit = small & (product[i, j] >= self.cosine)
+        if hit.any():
+            p, q = i[hit], j[hit]
+            np.add.at(self.nx, ca[p], self.wy[cb[q]])
+            np.add.at(self.ny, cb[q], self.wx[ca[p]])
+            p, q = forest(p, q, len(ca), len(cb), False)
+            self.a.append(ca[p])
+            self.b.append(cb[q])
+        out = []
+        i, j = i[~small], j[~small]
+        # single rows that are near a node of several meet it together
+        for k, node in right.items():
+            if len(rows := i[(j == k) & single_a[i]]):
+                self.block(ca[rows], node.rows)
+        for k, node in left.items():
+            if len(rows := j[(i == k) & single_b[j]]):
+                self.block(node.rows, cb[rows])
+        many = ~single_a[i] & ~single_b[j]
+        for p, q in zip(i[many].tolist(), j[many].tolist(), strict=True):
+            a, b = left[p], right[q]
+            if float(chord(product[p, q])) < self.reach - a.radius - b.radius - SAFE:
+                self.seen["whole"] += 1
+                self.take(a.rows, b.rows)
+            else:
+                out.append((a, b))
+        self.seen["opened"] += len(out)
+        return out + [(n, n) for n in left.values()] if one else out
+
+    def descend(self, tree: Node, right: Node) -> None:
+        alone = lambda n: (np.array([n.center]), np.array([n.radius]), {0: n} if len(n.rows) > 1 else {})
+        below = lambda n: (n.centers, n.radii, n.nodes)
+        stack = [(tree, right)] if tree is right else self.meet(*alone(tree), *alone(right), False)
+        while stack:
+            a, b = stack.pop()
+            one = a is b
+            if one and 2 * a.radius < self.reach - SAFE and len(a.rows) > 1:  # all within reach of each other
+                self.seen["whole"] += 1
+                self.nx[a.rows] += self.wx[a.rows].sum() - self.wx[a.rows]
+                self.a.append(np.full(len(a.rows) - 1, a.rows[0]))
+                self.b.append(a.rows[1:])
+            elif not len(a.centers) and not len(b.centers):
+                self.block(a.rows, b.rows, one)
+            elif one:
+                stack += self.meet(*below(a), *below(a), True)
+            elif len(a.centers) and (not len(b.centers) or a.radius >= b.radius):
+                stack += self.meet(*below(a), *alone(b), False)
+            else:
+                stack += self.meet(*alone(a), *below(b), False)
+
+
+def dual_links(x: np.ndarray, y: np.ndarray | None, wx: np.ndarray, wy: np.ndarray, cosine: float, seen: Counter | None = None) -> tuple:
+    """The counts and links of two blocks; ``y`` None: within ``x``, without row pairs i, i."""
+    found = Links(x, x if y is None else y, wx, wy, cosine, Counter() if seen is None else seen)
+    tree = cover_tree(x)
+    found.descend(tree, tree if y is None else cover_tree(y))
+    if y is None:
+        found.nx += found.ny
+    ends = (np.concatenate(found.a), np.concatenate(found.b)) if found.a else (np.zeros(0, int), np.zeros(0, int))
+    return found.nx, found.ny, *ends
 
 
 def forest(i: np.ndarray, j: np.ndarray, n: int, m: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -249,7 +285,8 @@ def cells(reps: DataFrame, reach: float) -> DataFrame:
     """(label, dim, cell, rep, copies, v, home): every vector in its last cell and in those it visits."""
     rows = reps.select("label", "dim", F.xxhash64("label", "dim").alias("cell"), "rep", "copies", "v", F.lit(True).alias("home"))
     done, level = [], 0
-    work = F.col("h") * (F.col("h") + F.col("v"))
+    hb, vb = (F.ceil(F.col(c) / BLOCK_ROWS) for c in ("h", "v"))
+    work = F.col("h") * (F.col("h") + F.col("v")) + MOVED * (F.col("h") * (hb + vb) + F.col("v") * hb)
     while True:
         before = cut(sizes(rows))
         large = before.where(F.col("h") > BLOCK_ROWS).select(*CELL, work.alias("before"))

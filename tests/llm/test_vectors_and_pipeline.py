@@ -49,6 +49,18 @@ def test_links_and_components_equal_brute_force(spark, monkeypatch, block, leaf,
     assert got == brute(rows, covertree.COSINE)
 
 
+def test_clustered_cells_are_split_and_random_ones_are_not(spark, monkeypatch):
+    monkeypatch.setattr(covertree, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(covertree, "MOVED", 10)
+    rng = np.random.default_rng(8)
+    centers = rng.normal(size=(20, 16)) * 5
+    tight = [(i, 1, [float(x) for x in centers[i % 20] + rng.normal(size=16) * 0.2]) for i in range(400)]
+    loose = [(1000 + i, 2, [float(x) for x in rng.normal(size=16)]) for i in range(200)]
+    reps = spark.createDataFrame([(i, k, 16, v, 1) for i, k, v in tight + loose], "rep long, label int, dim int, v array<double>, copies long")
+    found = covertree.cells(reps, 0.374).groupBy("label").agg(F.countDistinct("cell").alias("cells"), F.count(F.lit(1)).alias("rows"), F.count_if("home").alias("homes")).orderBy("label").collect()
+    assert [r["homes"] for r in found] == [400, 200] and found[0]["cells"] >= 8 and found[0]["rows"] < 800 and (found[1]["cells"], found[1]["rows"]) == (1, 200)
+
+
 def test_no_vectors(spark):
     assert covertree.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
@@ -93,11 +105,12 @@ def test_cover_tree_levels():
         node = todo.pop()
         nodes += 1
         assert (covertree.chord(x[node.rows] @ x[node.center]) <= node.radius + 1e-12).all()
-        if node.children:
-            assert sorted(np.concatenate([c.rows for c in node.children]).tolist()) == sorted(node.rows.tolist())
-            assert all(c.radius <= node.radius for c in node.children) and node.children[0].center == node.center
-        todo += node.children
-    assert nodes > 50
+        if len(node.centers):
+            singles = [c for k, c in enumerate(node.centers) if k not in node.nodes]
+            assert sorted([*singles, *(r for n in node.nodes.values() for r in n.rows.tolist())]) == sorted(node.rows.tolist())
+            assert (node.radii <= node.radius).all() and node.center in node.centers and all(node.radii[k] == n.radius and node.centers[k] == n.center for k, n in node.nodes.items())
+        todo += node.nodes.values()
+    assert nodes > 20
 
 
 @pytest.mark.parametrize("hot", [200_000, 0])
