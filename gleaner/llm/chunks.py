@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import cut, fresh_name, shared_folder, small_batches, table
+from gleaner.llm.common import cut, fresh_name, shared_folder, table
 
 #: Code points that decide a cut, and the bits of the hash that must be zero there:
 #: a chunk has 2**MASK_BITS code points on average beyond the smallest.
@@ -108,7 +108,7 @@ def chunk_rows(docs: DataFrame, nth: bool = False) -> DataFrame:
                 yield out.assign(_nth=np.array(numbers, np.int64)) if nth else out
 
     schema = "doc_id long, start int, size int, d1 long, d2 long, again boolean" + ", _nth long" * nth
-    return small_batches(docs).select("doc_id", "text", *["_nth"] * nth).mapInPandas(run, schema)
+    return docs.select("doc_id", "text", *["_nth"] * nth).mapInPandas(run, schema)
 
 
 LAST = (1 << 63) - 1

@@ -16,19 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Rows of an Arrow batch where whole texts go to Python: a few MB, not tens.
-TEXT_ROWS = 1000
-
-
-def small_batches(df: DataFrame, rows: int = TEXT_ROWS) -> DataFrame:
-    """``df``, with its session's Arrow batches bounded to ``rows`` rows (a smaller
-    bound of the user's own stays): each task holds a batch of texts several times."""
-    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
-    if not 0 < int(conf.get(name)) <= rows:
-        conf.set(name, rows)
-    return df
-
-
 def fresh_name(df: DataFrame, name: str) -> str:
     """``name``, with as many underscores as it takes to be none of ``df``'s columns."""
     taken = {c.lower() for c in df.columns}

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm.bytepair import LETTER, classes
-from gleaner.llm.common import fold, fresh_name, small_batches, table
+from gleaner.llm.common import fold, fresh_name, table
 from gleaner.llm.hashmap import HashMap
 
 ROWS_PER_LANGUAGE, ROW_CHARS, CHARS_TOTAL, LEAST_CHARS = 64, 4000, 80_000, 2000
@@ -246,7 +246,7 @@ def predict(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str =
 
     found = fresh_name(docs, "predicted")
     results = {lang: F.col(found)["lang"], score: F.col(found)["score"]} | ({inside: F.col(found)["inside"]} if inside else {})
-    return small_batches(docs).withColumn(found, udf("text")).withColumns(results).drop(found)
+    return docs.withColumn(found, udf("text")).withColumns(results).drop(found)
 
 
 def held_out() -> F.Column:

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import components, cut, small_batches
+from gleaner.llm.common import components, cut
 from gleaner.llm.simhash import covering_masks, majority, shingle_hashes
 
 SHINGLE = 5
@@ -43,6 +43,7 @@ NEAR = 4
 #: Buckets of up to SMALL documents are compared by joins; documents of a block of larger ones.
 SMALL, BLOCK = 4, 500
 LAST = (1 << 63) - 1
+TEXTS = 500
 
 _random = np.random.default_rng(11)
 FACTORS = _random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -75,14 +76,16 @@ def signatures(docs: DataFrame) -> DataFrame:
     """Per row its key, the digest of its set of shingles, the set's size and bands."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [shingle_set(t) for t in batch["text"]]
-            digests = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), np.int64).reshape(-1, 2)
-            out = batch[["o", "id", "_k1", "_k2"]].assign(s1=digests[:, 0], s2=digests[:, 1], n=[len(s) for s in sets])
-            yield out.assign(bands=[band_keys(s) for s in sets])
+        for whole in batches:
+            for lo in range(0, len(whole), TEXTS):
+                batch = whole.iloc[lo : lo + TEXTS]
+                sets = [shingle_set(t) for t in batch["text"]]
+                digests = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), np.int64).reshape(-1, 2)
+                out = batch[["o", "id", "_k1", "_k2"]].assign(s1=digests[:, 0], s2=digests[:, 1], n=[len(s) for s in sets])
+                yield out.assign(bands=[band_keys(s) for s in sets])
 
     # no null in the id: pandas would make floats of the column
-    rows = row_key(small_batches(docs).select(F.col("doc_id").isNull().alias("o"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), "text"))
+    rows = row_key(docs.select(F.col("doc_id").isNull().alias("o"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), "text"))
     found = rows.mapInPandas(run, "o boolean, id long, _k1 long, _k2 long, s1 long, s2 long, n int, bands array<long>")
     return found.withColumn("doc_id", F.when(~F.col("o"), F.col("id"))).drop("o", "id")
 
