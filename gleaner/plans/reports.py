@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import pagetext
 from gleaner.functions import scalars as X
-from gleaner.operators import lifecycle, links, ranking
+from gleaner.operators import display, lifecycle, links, ranking
 from gleaner.sources.tables import table
 
 QUERIES: dict = {}
@@ -157,7 +157,7 @@ def filtered(df: DataFrame, name: str | None = None, segments: list[str] | None
 
 @query("""SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_name ILIKE '%00%' AND c_mktsegment IN ('BUILDING','MACHINERY') AND nullif(greatest(c_acctbal, 0.0), 0.0) IS NOT NULL""")
 def venue_filter(spark: SparkSession, d: str) -> DataFrame:
-    return filtered(table(spark, d, "customer"), "00", ["BUILDING", "MACHINERY"], None, True).select("c_custkey", "c_name", "c_mktsegment")
+    return filtered(table(spark, d, "customer"), "00", ["BUILDING", "MACHINERY"], None, True).select("c_custkey", "c_name", "c_mktsegment").orderBy(F.asc_nulls_last("c_name"), "c_custkey")
 
 
 @query("""SELECT c_name, o_orderkey, CAST(row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey) AS INTEGER) AS place FROM orders JOIN customer ON o_custkey = c_custkey""")
@@ -345,6 +345,116 @@ def page_math(spark: SparkSession, d: str) -> DataFrame:
     return per.select("o_custkey", "total", X.page_count(F.col("total"), 4).alias("pages"), X.listing_url(F.lit("base"), level, F.col("total")).alias("url"))
 
 
+@query("""SELECT c_custkey AS id, coalesce(n_name, '—') AS site, c_name AS name, CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_mktsegment END AS distinction, CASE WHEN o.u <> '' THEN '✓' ELSE '✗' END AS has_list,
+ CASE WHEN o.n IS NULL THEN '' WHEN o.n * 7 < 60 THEN o.n * 7 || '.0s' ELSE (o.n * 7 * 10 // 60) // 10 || '.' || (o.n * 7 * 10 // 60) % 10 || 'm' END AS crawl_time, coalesce(o.n, 0) AS pages, coalesce(strftime(o.t, '%Y-%m-%d'), 'Never') AS last_crawled
+ FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey % 5 <> 0 LEFT JOIN (SELECT o_custkey, count(*) AS n, max(o_orderdate) AS t, CASE WHEN count(*) % 3 = 0 THEN '' ELSE 'u' END AS u FROM orders GROUP BY 1) o ON o_custkey = c_custkey
+ WHERE coalesce(o.n, 0) * 7 % 6 = 0 OR coalesce(o.n, 0) < 9""")
+def display_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Venues as they are shown: missing values, ticks, durations and dates."""
+    c, n, o = load(spark, d, "customer", "nation", "orders")
+    per = o.groupBy("o_custkey").agg(count("n"), F.max("o_orderdate").alias("t"))
+    rows = c.join(per, F.col("c_custkey") == F.col("o_custkey"), "left")
+    lit = lambda kind: F.lit(None).cast(kind)
+    venues = rows.select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("distinction"),
+        *[lit("string").alias(x) for x in ("address", "city", "state", "zip_code", "country", "cuisine", "price_range", "crawl_status")], F.when(F.col("n") % 3 == 0, "").when(F.col("n") > 0, "u").alias("list_url"),
+        (F.col("n") * 7).cast("decimal(10,2)").alias("crawl_duration_seconds"), lit("int").alias("llm_tokens_used"), F.col("n").alias("pages_visited"), F.col("t").alias("last_crawled_at"), F.col("c_nationkey").alias("site_id"),
+    ).where((F.coalesce("pages_visited", F.lit(0)) * 7 % 6 == 0) | (F.coalesce("pages_visited", F.lit(0)) < 9))
+    sites = n.where("n_nationkey % 5 <> 0").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("site_name"))
+    return display.venues(venues, sites).select("id", "site", "name", "distinction", "has_list", "crawl_time", "pages", "last_crawled")
+
+
+@query("""SELECT c_custkey AS id, CASE WHEN r.f > 0 THEN 'download_list_failed' WHEN r.n % 3 = 0 THEN 'wine_list_found' WHEN r.n % 3 = 1 THEN 'no_wine_list' WHEN r.n % 3 = 2 THEN 'no_website' ELSE 'pending' END AS crawl_status,
+ CASE WHEN r.f > 0 OR r.n % 3 = 0 THEN 'u' ELSE 'old' END AS list_url, CAST(coalesce(r.n, 0) AS INTEGER) AS pages_visited FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'P') AS f FROM orders GROUP BY 1) r ON o_custkey = c_custkey""")
+def saved_results(spark: SparkSession, d: str) -> DataFrame:
+    """Venues after the results of their crawls."""
+    c, o = load(spark, d, "customer", "orders")
+    got = o.groupBy("o_custkey").agg(count("n"), F.count_if(F.col("o_orderstatus") == "P").alias("f"))
+    k = F.col("n") % 3
+    results = got.select(
+        F.col("o_custkey").alias("id"), F.when((k == 0) | (F.col("f") > 0), "u").alias("list_url"), F.when(k == 0, "/p").alias("local_file_path"), (F.col("f") > 0).alias("download_failed"), F.when(k == 1, "w").otherwise("").alias("website_url"),
+        F.lit("pending").alias("crawl_status"), F.lit(1).cast("decimal(10,2)").alias("crawl_duration_seconds"), F.lit(None).cast("int").alias("llm_tokens_used"), F.col("n").cast("int").alias("pages_visited"),
+    )
+    none = lambda kind: F.lit(None).cast(kind)
+    venues = c.select(F.col("c_custkey").alias("id"), F.lit("old").alias("list_url"), F.lit("pending").alias("crawl_status"), none("timestamp").alias("last_crawled_at"), none("timestamp").alias("last_updated_at"), none("decimal(10,2)").alias("crawl_duration_seconds"), F.lit(0).alias("llm_tokens_used"), F.lit(0).alias("pages_visited"))
+    return lifecycle.save_results(venues, results, F.lit("2024-01-01").cast("timestamp")).select("id", "crawl_status", "list_url", "pages_visited")
+
+
+@query("""WITH e AS (SELECT user_id, ts, event_id, event_type || ' ' || event_id AS m, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events WHERE event_type = 'error'),
+ j AS (SELECT user_id, min(ts) AS s, max(ts) AS t FROM events GROUP BY 1), x AS (SELECT user_id, string_agg(m, chr(10) ORDER BY k) AS msg FROM e WHERE k <= 20 GROUP BY 1)
+ SELECT j.user_id AS id, CASE WHEN j.user_id % 2 = 0 THEN 'completed' WHEN j.user_id % 3 = 0 THEN 'failed' ELSE 'running' END AS status, CASE WHEN j.user_id % 2 = 0 THEN x.msg WHEN j.user_id % 3 = 0 THEN 'stopped' END AS error_message FROM j LEFT JOIN x ON j.user_id = x.user_id""")
+def finished_jobs(spark: SparkSession, d: str) -> DataFrame:
+    """Jobs that were completed, with their first errors, that failed, or go on."""
+    e = table(spark, d, "events")
+    none = lambda kind: F.lit(None).cast(kind)
+    jobs = e.groupBy(F.col("user_id").alias("id")).agg(F.min("ts").cast("timestamp").alias("started_at")).withColumns({"status": F.lit("running"), "error_message": none("string"), "completed_at": none("timestamp"), "duration_seconds": none("decimal(10,2)")})
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    first = e.where("event_type = 'error'").withColumn("k", place).where(F.col("k") <= lifecycle.SHOWN_ERRORS)  # no longer list is ever gathered
+    texts = F.transform(F.sort_array(F.collect_list(F.struct("k", F.concat_ws(" ", "event_type", F.col("event_id").cast("string")).alias("m")))), lambda x: x["m"])
+    errors = first.groupBy(F.col("user_id").alias("id")).agg(texts.alias("errors"))
+    ended = jobs.where("id % 2 = 0").select("id").join(errors, "id", "left").withColumn("errors", F.coalesce("errors", F.array().cast("array<string>")))
+    at = F.lit("2030-01-01").cast("timestamp")
+    done = lifecycle.complete_jobs(jobs, ended, at)
+    failed = jobs.where("id % 3 = 0").select("id", F.lit("stopped").alias("message"))
+    return lifecycle.fail_jobs(done, failed, at).select("id", "status", "error_message")
+
+
+@query("""WITH a AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events)
+ SELECT user_id AS job_id, CAST(max(k) AS BIGINT) AS attempts, CAST(max(k) AS INTEGER) AS page FROM a WHERE k <= 4 GROUP BY user_id HAVING count(*) FILTER (WHERE event_type = 'error') = 0""")
+def paging(spark: SparkSession, d: str) -> DataFrame:
+    """The paging of jobs of four pages, of those whose fetches all succeeded."""
+    e = table(spark, d, "events")
+    k = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    rows = e.select(F.col("user_id").alias("job_id"), k.cast("long").alias("attempt"), F.lit(2).alias("urls"), F.lit(4).alias("pages"), F.when(F.col("event_type") == "error", "failed").alias("error")).where("attempt <= 4")
+    found = lifecycle.fetch_listings(rows)
+    ended = found.groupBy("job_id").agg(F.max("attempt").alias("attempts"), F.max("page").alias("page"), F.count_if(F.col("error").isNotNull()).alias("bad"))
+    return ended.where("bad = 0").drop("bad")
+
+
+PLACE_SQL = "array_to_string(list_transform(string_split(lower({0}), ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
+
+
+@query(f"""SELECT c_custkey, {PLACE_SQL.format("c_mktsegment")} AS city, CASE WHEN n_name = 'CHINA' THEN 'DC' ELSE {PLACE_SQL.format("n_name")} END AS state FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def guide_places(spark: SparkSession, d: str) -> DataFrame:
+    """City and state of venues, from the urls of their pages."""
+    c, n = load(spark, d, "customer", "nation")
+    slug = F.when(F.col("n_name") == "CHINA", "district-of-columbia").otherwise(X.slug(F.col("n_name")))
+    url = F.concat(F.lit("https://g/us/en/"), slug, F.lit("/"), F.lower("c_mktsegment"), F.lit("_"), F.col("c_custkey").cast("string"), F.lit("/restaurant/"), X.slug(F.col("c_name")), F.lit("/"))
+    return c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", X.city_state(url).alias("p")).select("c_custkey", "p.*")
+
+
+@query(r"""WITH f AS (SELECT p_partkey, CASE CAST(p_partkey % 4 AS INTEGER) WHEN 0 THEN ' .' || p_name || '?.pdf' WHEN 1 THEN repeat(p_name, 30) || '.html' WHEN 2 THEN '...' ELSE repeat(p_brand, 40) END AS n FROM part),
+ c AS (SELECT p_partkey, regexp_replace(translate(n, '<>:"/\|?*', '_________'), '^[. ]+|[. ]+$', '', 'g') AS n FROM f)
+ SELECT p_partkey, CASE WHEN n = '' THEN 'wine_list' WHEN length(n) <= 200 THEN n WHEN contains(n, '.') THEN left(regexp_replace(n, '\.[^.]*$', ''), 190) || regexp_extract(n, '(\.[^.]*)$', 1) ELSE left(n, 200) END AS name FROM c""")
+def file_names(spark: SparkSession, d: str) -> DataFrame:
+    """Names that a file system takes."""
+    k, name = F.col("p_partkey") % 4, F.col("p_name")
+    given = F.when(k == 0, F.concat(F.lit(" ."), name, F.lit("?.pdf"))).when(k == 1, F.concat(F.repeat(name, F.lit(30)), F.lit(".html"))).when(k == 2, "...").otherwise(F.repeat("p_brand", F.lit(40)))
+    return table(spark, d, "part").select("p_partkey", X.safe_filename(given).alias("name"))
+
+
+@query(r"""WITH p AS (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/]*)', 1) AS root, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS hrefs, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS texts FROM pages),
+ a AS (SELECT page_id, root, hrefs[i] AS href, trim(texts[i]) AS text, i - 1 AS pos FROM (SELECT *, unnest(range(1, len(hrefs) + 1)) AS i FROM p) t),
+ u AS (SELECT page_id, pos, text, root, CASE WHEN starts_with(href, '/') THEN root || href ELSE href END AS url FROM a), f AS (SELECT * FROM u WHERE starts_with(url, root) AND NOT regexp_matches(url, '""" + SKIPPED_SQL + """')),
+ r AS (SELECT *, row_number() OVER (PARTITION BY page_id, regexp_replace(regexp_replace(url, '[;?#].*$', ''), '/$', '') ORDER BY pos) AS n FROM f)
+ SELECT page_id, count(*) AS n, CAST(min(pos) AS INTEGER) AS first_pos, CAST(max(pos) AS INTEGER) AS last_pos FROM r WHERE n = 1 AND length(text) BETWEEN 1 AND 100 GROUP BY page_id""")
+def navigation(spark: SparkSession, d: str) -> DataFrame:
+    """The links that a page offers on its own host."""
+    found = links.resolved(links.anchors(table(spark, d, "pages").select("page_id", "url", "html")))
+    nav = links.nav_links(found, "page_id")
+    return nav.select("page_id", F.size("links").cast("long").alias("n"), F.element_at("links", 1)["pos"].alias("first_pos"), F.element_at("links", -1)["pos"].alias("last_pos"))
+
+
+@query(r"""SELECT o_orderkey, o_orderkey % 97 || '/' || o_orderkey % 89 AS progress, CASE WHEN o_orderkey % 5 > 0 THEN '$' || CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS VARCHAR) ELSE '' END AS price, left(sha256(CAST(o_orderkey AS VARCHAR)), 8) || '...' AS hash,
+ CASE WHEN o_orderkey % 8 > 0 THEN CAST(o_orderkey % 8 * 125 // 10 AS VARCHAR) || '.' || CAST(o_orderkey % 8 * 125 % 10 AS VARCHAR) || '% complete' END AS complete FROM orders""")
+def shown_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Progress, prices, hashes and percentages as text."""
+    k = F.col("o_orderkey")
+    price = F.when(k % 5 > 0, F.col("o_totalprice").cast("decimal(10,2)")).otherwise(F.lit(0).cast("decimal(10,2)"))
+    done = F.when(k % 8 > 0, X.percent_text(k % 8, F.lit(8)))
+    return table(spark, d, "orders").select("o_orderkey", X.progress_text(k % 97, k % 89).alias("progress"), X.price_text(price).alias("price"), X.hash_text(F.sha2(k.cast("string"), 256)).alias("hash"), done.alias("complete"))
+
+
 @query(r"""SELECT page_id, CASE WHEN html LIKE '%$$$$%' THEN '$$$$' WHEN html LIKE '%$$$%' THEN '$$$' WHEN html LIKE '%$$%' THEN '$$' WHEN html LIKE '%$%' THEN '$' END AS band FROM pages""")
 def price_band(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", X.price_band(F.col("html")).alias("band"))

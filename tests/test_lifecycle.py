@@ -202,3 +202,35 @@ def test_breaker_counts_again_after_a_trip(spark):
     rows = [(1, k, bad) for k, bad in enumerate([1, 1, 0, 1, 1, 1, 1, 1, 1, 0])]
     got = L.breaker(spark.createDataFrame(rows, "j int, k int, bad int"), "j", ["k"], F.col("bad") == 1).orderBy("k").collect()
     assert [r["run"] for r in got] == [1, 2, 0, 1, 2, 3, 1, 2, 3, 0] and [r["k"] for r in got if r["trips"]] == [5, 8]
+
+
+def test_a_crawl_in_stages(spark):
+    from gleaner.operators import stages
+
+    page = lambda name, site: f"<h1>{name}</h1><p>One Star</p>" + (f"<a href='{site}'>Visit Website</a>" if site else "")
+    names = {"doc": "https://doc.com/", "deep": "https://deep.com", "hub": "https://hub.com", "none": "https://none.com", "nosite": None, "old": "https://old.com", "fails": "https://fails.com"}
+    pages = spark.createDataFrame([(f"https://g/us/en/illinois/chicago/restaurant/{n}", page(n, s)) for n, s in names.items()], "url string, html string")
+    sites = L.seed_sites(schema.empty(spark, "sites"), NOW)
+    venues = stages.guide_stage(schema.empty(spark, "venues"), pages, 1, "Michelin Guide USA", NOW)
+    ids = {r["name"]: r["id"] for r in venues.collect()}
+    assert len(ids) == 7 and {r["city"] for r in venues.collect()} == {"Chicago"}
+    venues = venues.withColumn("crawl_status", F.when(F.col("name") == "old", "wine_list_found").otherwise(F.col("crawl_status"))).withColumn("list_url", F.when(F.col("name") == "old", "https://old.com/w.pdf"))
+    jobs, _ = L.start_jobs(schema.empty(spark, "jobs"), spark.createDataFrame([(1, None, 1, "3")], "request int, job_id int, site_id int, level string"), sites, NOW)
+    fetched = [
+        ("https://doc.com/", "<a href='/about'>About</a><a href='/wine.pdf'>Wine List</a>"), ("https://deep.com", "<a href='/menus'>Menus</a><a href='/x'>x</a>"), ("https://deep.com/menus", "<p>wine list</p><a href='https://elsewhere.org/p'>wine list</a>"),
+        ("https://elsewhere.org/p", "<a href='https://starwinelist.com/9'>s</a>"), ("https://hub.com", "<a href='/about'>About</a>"), ("https://hub.com/about", "nothing"), ("https://none.com", "no links"), ("https://fails.com", "<a href='/list.pdf'>l</a>"),
+    ]
+    searches = spark.createDataFrame([(str(ids["hub"]), "hub", 1, 0, "https://hub.binwise.com/list/hub", "hub wines"), (str(ids["nosite"]), "nosite", 2, 0, "https://hub.binwise.com/list/n", "nosite"), (str(ids["doc"]), "doc", 1, 0, "https://hub.binwise.com/list/doc", "doc")], "key string, name string, pass int, rank int, url string, page_text string")
+    files = spark.createDataFrame([(u, f"/d{k}", f"h{k}") for k, u in enumerate(("https://doc.com/wine.pdf", "https://starwinelist.com/9", "https://hub.binwise.com/list/hub"))], "url string, local_file_path string, file_hash string")
+    wanted = venues.select(F.lit(1).alias("job_id"), "id")
+    out = stages.crawl(venues, jobs, schema.empty(spark, "lists"), wanted, spark.createDataFrame(fetched, "link string, html string"), searches, files, NOW)
+    got = {r["id"]: (r["status"], r["list_url"], r["way"]) for r in out["routes"].collect()}
+    assert {n: got[i] for n, i in ids.items()} == {
+        "doc": ("wine_list_found", "https://doc.com/wine.pdf", "site"), "deep": ("wine_list_found", "https://starwinelist.com/9", "site"), "hub": ("wine_list_found", "https://hub.binwise.com/list/hub", "search"), "none": ("no_wine_list", None, "none"),
+        "nosite": ("download_list_failed", "https://hub.binwise.com/list/n", "search"), "old": ("wine_list_found", None, "skipped"), "fails": ("download_list_failed", None, "site"),
+    }
+    after = by_id(out["venues"])
+    assert after[ids["doc"]]["list_url"] == "https://doc.com/wine.pdf" and after[ids["deep"]]["pages_visited"] == 2 and after[ids["old"]]["list_url"] == "https://old.com/w.pdf" and after[ids["old"]]["last_crawled_at"] is None
+    assert sorted((r["venue_id"], r["local_file_path"]) for r in out["lists"].collect()) == sorted([(ids["doc"], "/d0"), (ids["deep"], "/d1"), (ids["hub"], "/d2")])
+    (job,) = out["jobs"].collect()
+    assert (job["venues_processed"], job["lists_downloaded"]) == (7, 3)
