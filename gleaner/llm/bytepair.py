@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import table
+from gleaner.llm.common import bounded_batches, table
 
 #: Symbols: letter, number, other, apostrophe before a contraction of one or two
 #: letters, white space inside a run or at the text's end, the last white space of
@@ -337,6 +337,7 @@ def vocabulary_path() -> str:
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     path = vocabulary_path()
     coded = encode(table(spark, sf_dir, "documents"), path, decoded=True)
     return coded.select(

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import cut, fresh_name, shared_folder, table
+from gleaner.llm.common import bounded_batches, cut, fresh_name, shared_folder, table
 
 #: Code points that decide a cut, and the bits of the hash that must be zero there:
 #: a chunk has 2**MASK_BITS code points on average beyond the smallest.
@@ -193,6 +193,7 @@ def without_repeats(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its text without passages that it shares, and what was cut."""
+    bounded_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.length("text").alias("before"))
     found = remove_repeats(docs)
     return found.select(

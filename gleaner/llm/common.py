@@ -16,6 +16,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch where whole texts go to Python: a few MB, not tens.
+TEXT_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
+    """For queries, not operators: bound the Arrow batches of the session to ``rows`` rows, for
+    each task holds a batch of texts several times. A smaller bound of the user's stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def fresh_name(df: DataFrame, name: str) -> str:
     """``name``, with as many underscores as it takes to be none of ``df``'s columns."""
     taken = {c.lower() for c in df.columns}

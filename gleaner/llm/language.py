@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm.bytepair import LETTER, classes
-from gleaner.llm.common import fold, fresh_name, table
+from gleaner.llm.common import bounded_batches, fold, fresh_name, table
 from gleaner.llm.hashmap import HashMap
 
 ROWS_PER_LANGUAGE, ROW_CHARS, CHARS_TOTAL, LEAST_CHARS = 64, 4000, 80_000, 2000
@@ -254,6 +254,7 @@ def held_out() -> F.Column:
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     docs = table(spark, sf_dir, "documents")
     model = fit(docs.where(~held_out()))
     return predict(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

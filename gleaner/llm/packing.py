@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import bases, cut, ordered_buckets, table
+from gleaner.llm.common import bases, bounded_batches, cut, ordered_buckets, table
 from gleaner.llm.hashmap import HashMap
 
 SEQUENCE = 4096
@@ -406,4 +406,5 @@ def vocabulary_path() -> str:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return pack(table(spark, sf_dir, "documents"), vocabulary_path())

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import cut, fold, table
+from gleaner.llm.common import bounded_batches, cut, fold, table
 from gleaner.llm.hashmap import HashMap
 
 ORDER = 5
@@ -327,4 +327,5 @@ def score(docs: DataFrame, training: F.Column, order: int = ORDER, contexts: int
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return score(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 5) != 1)

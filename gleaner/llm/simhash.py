@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import components, cut, join_hot, table
+from gleaner.llm.common import bounded_batches, components, cut, join_hot, table
 
 RADIUS = 3
 SHINGLE = 3
@@ -170,5 +170,6 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS)
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
