@@ -17,28 +17,32 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from gleaner.llm import chunks, language, packing, shingles
-from gleaner.llm.common import shared_folder, table
+from gleaner.llm.common import bounded_batches, shared_folder, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go that have no letter, or that parse by their best language hardly
     better than its own letters in random order do."""
+    bounded_batches(spark)
     return language.in_known_language(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the first by id stays; groups are linked by 0.8 or
     more of the five-word shingles."""
+    bounded_batches(spark)
     return shingles.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document holds are cut out; emptied documents go."""
+    bounded_batches(spark)
     return chunks.without_repeats(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every token of what is left in a training sequence."""
+    bounded_batches(spark)
     return packing.pack(docs, packing.vocabulary_path(), cached=400_000)  # the stages share the executors' memory
 
 
