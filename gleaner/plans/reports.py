@@ -236,17 +236,19 @@ def resolve_sites(sites: DataFrame, wanted: DataFrame) -> DataFrame:
     return wanted.where(value != "").join(forms, value == F.col("form")).select("wanted", F.col("rank.id").alias("id"))
 
 
-@query("""WITH q AS (SELECT DISTINCT CASE o_orderkey % 3 WHEN 0 THEN c_mktsegment WHEN 1 THEN split_part(c_name, '#', 1) ELSE '' END AS wanted FROM orders JOIN customer ON o_custkey = c_custkey),
- s AS (SELECT c_custkey AS id, lower(c_mktsegment || ' ' || split_part(c_name, '#', 1)) AS n FROM customer),
- t AS (SELECT wanted, id, CASE WHEN n = lower(wanted) THEN 0 WHEN ends_with(n, ' ' || lower(wanted)) THEN 1 END AS tier FROM q CROSS JOIN s WHERE wanted <> '')
+@query("""WITH c AS (SELECT c_custkey, c_mktsegment, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey),
+ q AS (SELECT DISTINCT CASE o_orderkey % 4 WHEN 0 THEN n_name WHEN 1 THEN ' ' || c_mktsegment || ' ' || n_name WHEN 2 THEN c_mktsegment ELSE '' END AS wanted FROM orders JOIN c ON o_custkey = c_custkey),
+ s AS (SELECT c_custkey AS id, lower(c_mktsegment || ' ' || n_name) AS n FROM c),
+ t AS (SELECT wanted, id, CASE WHEN n = lower(trim(wanted)) THEN 0 WHEN ends_with(n, ' ' || lower(trim(wanted))) THEN 1 END AS tier FROM q CROSS JOIN s WHERE wanted <> '')
  SELECT wanted, arg_min(id, tier * 1000000000 + id) AS id FROM t WHERE tier IS NOT NULL GROUP BY wanted""")
 def resolve_site(spark: SparkSession, d: str) -> DataFrame:
-    """P11 over names of two words each, asked for by their first word, last word or none."""
-    o, c = load(spark, d, "orders", "customer")
-    first = F.split_part("c_name", F.lit("#"), F.lit(1))
-    k = F.col("o_orderkey") % 3
-    asked = o.join(c, F.col("o_custkey") == F.col("c_custkey")).select(F.when(k == 0, F.col("c_mktsegment")).when(k == 1, first).otherwise("").alias("wanted")).distinct()
-    return resolve_sites(c.select(F.col("c_custkey").alias("id"), F.concat_ws(" ", "c_mktsegment", first).alias("site_name")), asked)
+    """P11 over names of two and more words, asked for whole, by their last words, by their first or by none."""
+    o, c, n = load(spark, d, "orders", "customer", "nation")
+    sites = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_mktsegment", "n_name")
+    k = F.col("o_orderkey") % 4
+    whole = F.concat_ws(" ", "c_mktsegment", "n_name")
+    asked = o.join(sites, F.col("o_custkey") == F.col("c_custkey")).select(F.when(k == 0, F.col("n_name")).when(k == 1, F.concat(F.lit(" "), whole)).when(k == 2, F.col("c_mktsegment")).otherwise("").alias("wanted")).distinct()
+    return resolve_sites(sites.select(F.col("c_custkey").alias("id"), whole.alias("site_name")), asked)
 
 
 @query("""SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
