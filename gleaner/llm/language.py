@@ -123,9 +123,9 @@ class Model:
     def codes(self, points: np.ndarray) -> np.ndarray:
         """0 pads, 1 is a character that no labelled text holds."""
         if not len(self.points):
-            return np.ones(len(points), np.int32)
+            return np.ones(len(points), np.uint8)
         at = np.minimum(np.searchsorted(self.points, points), len(self.points) - 1)
-        return np.where(self.points[at] == points, at + 2, 1).astype(np.int32)
+        return np.where(self.points[at] == points, at + 2, 1).astype(np.uint8 if self.width <= 256 else np.int32)
 
     def transitions(self):  # noqa: ANN201
         """By cell, a state's first one plus a code: twice the first cell of the next
@@ -170,9 +170,10 @@ class Model:
         moves, k = self.transitions(), len(self.languages)
         points, sizes = letters_of(texts)
         blocks = -(-sizes // BLOCK)
-        grid = np.zeros((int(blocks.sum()), BLOCK), np.int32)
+        codes = self.codes(points)
+        grid = np.zeros((int(blocks.sum()), BLOCK), codes.dtype)
         within = np.arange(len(points)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        grid.ravel()[within + np.repeat((np.cumsum(blocks) - blocks) * BLOCK, sizes)] = self.codes(points)
+        grid.ravel()[within + np.repeat((np.cumsum(blocks) - blocks) * BLOCK, sizes)] = codes
         # the fullest blocks first, so that a step handles only those that go on
         lengths = np.concatenate([np.append(np.full(b - 1, BLOCK), s - (b - 1) * BLOCK) for b, s in zip(blocks.tolist(), sizes.tolist(), strict=True) if b] or [np.zeros(0, int)])
         order = np.argsort(-lengths, kind="stable")

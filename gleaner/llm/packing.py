@@ -124,7 +124,7 @@ class WordTokenizer:
 
     def __init__(self, path: str, most: int = CACHED) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.inner = Tokenizer.from_file(path)
         self.inner.encode_special_tokens = True  # their strings in a text are ordinary text
@@ -134,9 +134,9 @@ class WordTokenizer:
         spec = json.loads(self.inner.to_str())
         self.by_words = splits_into_words(spec)
         if self.by_words:
-            pieces = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
-            self.plain = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": pieces}))
-            self.plain.encode_special_tokens = True
+            # one tokenizer, whose normaliser and splitter are set for what it is to encode
+            self.whole = (self.inner.normalizer, self.inner.pre_tokenizer)
+            self.piecewise = (None, pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)]))
             self.ends = np.zeros(size, bool)
             for piece, i in self.inner.get_vocab().items():
                 self.ends[i] = piece.endswith(WORD_END)
@@ -149,7 +149,9 @@ class WordTokenizer:
         """(how many, ids) of runs of letters or marks, many in one call, told apart in
         the result by the ids that end a piece; then of whole words."""
         lines = [" ".join(runs[k : k + 1000]) for k in range(0, len(runs), 1000)]
-        raw = b"".join(self.narrow(self.plain.encode_batch_fast(lines, add_special_tokens=False)))
+        self.inner.normalizer, self.inner.pre_tokenizer = self.piecewise
+        raw = b"".join(self.narrow(self.inner.encode_batch_fast(lines, add_special_tokens=False)))
+        self.inner.normalizer, self.inner.pre_tokenizer = self.whole
         ids = np.frombuffer(raw, self.type)
         counts = np.diff(np.append(-1, np.flatnonzero(self.ends[ids])))
         more = self.narrow(self.inner.encode_batch_fast(words, add_special_tokens=False))
