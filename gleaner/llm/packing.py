@@ -63,13 +63,14 @@ WORD_END = "</w>"
 SPACE, LETTER, MARK, OTHER = range(4)
 #: Longer pieces are hashed as a whole.
 LONG = 64
+SPREAD = np.uint64(0xFF51AFD7ED558CCD)
 POWERS = np.cumprod(np.append(np.uint64(1), np.full(LONG - 1, 0x9E3779B97F4A7C15, np.uint64)))
 MORE_POWERS = np.cumprod(np.append(np.uint64(1), np.full(LONG - 1, 0xD6E8FEB86659FD93, np.uint64)))
 
 
 @cache
-def kinds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """By code point: its kind, its lower case if it is a letter, and a random number."""
+def kinds() -> tuple[np.ndarray, np.ndarray]:
+    """By code point: its kind, and its lower case if it is a letter."""
     kind = np.full(0x110000, OTHER, np.uint8)
     low = np.arange(0x110000, dtype=np.uint32)
     for first, last in (("A", "Z"), ("\xc0", "\xd6"), ("\xd8", "\xde")):
@@ -79,8 +80,7 @@ def kinds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for first, last in (("!", "&"), ("(", "/"), (":", "@"), ("[", "`"), ("{", "~")):
         kind[ord(first) : ord(last) + 1] = MARK
     kind[[9, 10, 11, 12, 13, 32]] = SPACE
-    number = np.random.default_rng(23).integers(1, 1 << 63, 0x110000, dtype=np.uint64)
-    return kind, low, number
+    return kind, low
 
 
 class Known:
@@ -187,7 +187,7 @@ class WordTokenizer:
     def encode_group(self, texts: list[str]) -> list[bytes]:
         if not texts:
             return []
-        kind, low, number = kinds()
+        kind, low = kinds()
         joined = "\n".join(texts)
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         of = kind[points]
@@ -215,7 +215,8 @@ class WordTokenizer:
 
     def hashes(self, points: np.ndarray, inside: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Two 64-bit hashes of each piece."""
-        value = np.where(inside, kinds()[2][points], 0)
+        value = (points.astype(np.uint64) + np.uint64(1)) * SPREAD
+        value = np.where(inside, value ^ (value >> np.uint64(32)), 0)  # a number for each code point
         place = np.minimum(np.arange(len(points)) - np.repeat(starts, np.diff(np.append(starts, len(points)))), LONG - 1)
         keys, checks = (np.add.reduceat(value * powers[place], starts) for powers in (POWERS, MORE_POWERS))
         size = (ends - starts).astype(np.uint64)
