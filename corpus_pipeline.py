@@ -43,7 +43,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every token of what is left in a training sequence."""
     bounded_batches(spark)
-    return packing.pack(docs, packing.vocabulary_path(), cached=400_000)  # the stages share the executors' memory
+    return packing.pack(docs, packing.vocabulary_path(), cached=150_000)  # the stages share the executors' memory
 
 
 STAGES = [
