@@ -7,9 +7,9 @@ largest of their ids. The store (``Runs``) keeps entries in runs: tables in the
 and sorted by it in each bucket, so that a batch meets a run by a merge join for which the
 run is neither shuffled nor sorted again. Entries that a run settles already (it
 counts ``MIN_DOCS`` documents or more, and no smaller id) are anti-joined away; the others are
-the batch's own run on level 0. Once a level holds ``FAN`` runs they are merged to one of
-the next level, so a store of n batches has about FAN * log(n) runs, and every entry is
-rewritten log(n) times. Compacting all runs gives the totals.
+the batch's own run on level 0. A level holds one run: a second one is merged with it, to one of
+the next level, so a store of n batches has log2(n) runs at most, and every entry is
+rewritten log2(n) times. Compacting all runs gives the totals.
 
 ``deduplicate`` deals the documents into ``BATCHES`` batches, the largest ids first, so that frequent lines are
 settled early, and then drops, of each line in ``MIN_DOCS`` documents or more, all but
@@ -39,7 +39,7 @@ from gleaner.llm.chunks import numbered
 from gleaner.llm.common import bounded_batches, fresh_name, join_hot, shared_folder, table
 
 MIN_CHARS, MIN_DOCS = 20, 3
-BATCHES, FAN = 8, 3
+BATCHES = 8
 SPACE = b" \t\n\v\f\r"
 HASH = ["h1", "h2"]
 
@@ -87,59 +87,64 @@ class Runs:
     """Sorted runs of entries in levels; see the module. ``name`` makes its tables' names, which
     ``forget`` takes out of the catalog again; the files stay in ``folder``."""
 
-    def __init__(self, spark: SparkSession, folder: str, min_docs: int = MIN_DOCS, fan: int = FAN) -> None:
-        self.spark, self.folder, self.min_docs, self.fan = spark, folder, min_docs, fan
+    def __init__(self, spark: SparkSession, folder: str, min_docs: int = MIN_DOCS) -> None:
+        self.spark, self.folder, self.min_docs = spark, folder, min_docs
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.name, self.made = f"line_runs_{uuid.uuid4().hex}", 0
-        self.levels: list[list[str]] = []
+        self.levels: list[str | None] = []
 
     def write(self, rows: DataFrame) -> str:
+        """A run of ``rows``, which an aggregation or a merge has dealt by their hash already."""
         name = f"{self.name}_{self.made}"
         self.made += 1
-        dealt = rows.repartition(self.buckets, *HASH)  # one file a bucket
-        dealt.write.bucketBy(self.buckets, *HASH).sortBy(*HASH).option("path", f"{self.folder}/{name}").saveAsTable(name)
+        rows.write.bucketBy(self.buckets, *HASH).sortBy(*HASH).option("path", f"{self.folder}/{name}").saveAsTable(name)
         return name
 
-    def runs(self) -> list[DataFrame]:
-        """The oldest, and largest, first."""
-        return [self.spark.table(name) for level in reversed(self.levels) for name in level]
-
     def add(self, batch: DataFrame) -> None:
         """The entries of a batch: those that no run settles become a run of level 0."""
         fresh = batch.alias("new")
-        for run in self.runs():
-            settled = run.where(F.col("n") >= self.min_docs).alias("run")
+        for name in filter(None, reversed(self.levels)):  # the oldest, and largest, first
+            settled = self.spark.table(name).where(F.col("n") >= self.min_docs).alias("run")
             same = (F.col("new.h1") == F.col("run.h1")) & (F.col("new.h2") == F.col("run.h2"))
             newer = F.coalesce(F.col("run.last") < F.col("new.last"), F.col("run.last").isNull() & F.col("new.last").isNotNull())
             fresh = fresh.join(settled.hint("merge"), same & ~newer, "left_anti").alias("new")
         self.put(self.write(fresh), 0)
 
     def put(self, name: str, level: int) -> None:
+        """A run on its level, or with the run that is there as one on the next."""
         if level == len(self.levels):
-            self.levels.append([])
-        self.levels[level].append(name)
-        if len(self.levels[level]) == self.fan:
-            merged = self.write(self.merged([self.spark.table(x) for x in self.levels[level]]))
-            for old in self.levels[level]:
-                self.spark.sql(f"DROP TABLE {old}")
-            self.levels[level] = []
-            self.put(merged, level + 1)
-
-    def merged(self, runs: list[DataFrame]) -> DataFrame:
-        rows = runs[0]
-        for run in runs[1:]:
-            rows = rows.unionByName(run)
-        return rows.groupBy(*HASH).agg(F.sum("n").alias("n"), F.max("last").alias("last"))
+            self.levels.append(None)
+        if self.levels[level] is None:
+            self.levels[level] = name
+        else:
+            old, self.levels[level] = self.levels[level], None
+            self.put(self.merged(old, name), level + 1)
+
+    def merged(self, one: str, two: str) -> str:
+        """Two runs as one, bucket by bucket: a merge join, without a shuffle. The two are forgotten."""
+        a, b = self.spark.table(one).alias("a"), self.spark.table(two).alias("b")
+        same = (F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") == F.col("b.h2"))
+        hashes = [F.coalesce(f"a.{h}", f"b.{h}").alias(h) for h in HASH]
+        n = F.coalesce("a.n", F.lit(0)) + F.coalesce("b.n", F.lit(0))
+        name = self.write(a.join(b.hint("merge"), same, "full_outer").select(*hashes, n.alias("n"), F.greatest("a.last", "b.last").alias("last")))
+        self.drop(one, two)
+        return name
 
     def totals(self) -> DataFrame:
-        """(h1, h2, n, last) of the keys in ``min_docs`` documents or more. ``n`` is a lower bound, for settled
-        entries are not counted on."""
-        return self.merged(self.runs()).where(F.col("n") >= self.min_docs)
+        """(h1, h2, n, last) of the keys in ``min_docs`` documents or more, all runs being compacted to
+        one. ``n`` is a lower bound, for settled entries are not counted on."""
+        names = [x for x in self.levels if x]
+        while len(names) > 1:
+            names = [self.merged(names[0], names[1]), *names[2:]]
+        self.levels = names
+        return self.spark.table(names[0]).where(F.col("n") >= self.min_docs)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            self.spark.sql(f"DROP TABLE {name}")
 
     def forget(self) -> None:
-        for level in self.levels:
-            for name in level:
-                self.spark.sql(f"DROP TABLE {name}")
+        self.drop(*filter(None, self.levels))
         self.levels = []
 
 
