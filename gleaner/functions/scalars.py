@@ -321,8 +321,10 @@ def duration_in_table(seconds: Column) -> Column:
 def rounded(c: Column, digits: int) -> Column:
     """decimal(38,0): ``c`` times 10**digits, rounded as the exact value of the double is;
     an exact half goes to the even number. Exact for up to two digits below 2**30, and as
-    ``bround`` beyond."""
+    ``bround`` beyond. Only what is close to a half needs the exact value."""
     x = F.abs(c.cast("double"))
+    times = x * F.lit(float(10**digits))
+    clear = (x < 2.0**30) & (F.abs(times - F.floor(times) - 0.5) > 1e-4)
 
     def scaled(bits: int) -> Column:  # a double in this range is a whole number of 2**-bits
         one = F.lit(2**bits).cast("decimal(38,0)")
@@ -331,7 +333,7 @@ def rounded(c: Column, digits: int) -> Column:
         rest = (n - low * one) * 2
         return low + F.when((rest > one) | ((rest == one) & (low % 2 == 1)), 1).otherwise(0)
 
-    whole = F.when(x < 0.25, scaled(62)).when(x < 16, scaled(58)).when(x < 1024, scaled(52)).when(x < 2.0**20, scaled(42)).when(x < 2.0**30, scaled(32)).otherwise(F.bround(c.cast("string").cast("decimal(38,9)"), digits) * 10**digits)
+    whole = F.when(clear, F.floor(times + 0.5).cast("decimal(38,0)")).when(x < 0.25, scaled(62)).when(x < 16, scaled(58)).when(x < 1024, scaled(52)).when(x < 2.0**20, scaled(42)).when(x < 2.0**30, scaled(32)).otherwise(F.bround(c.cast("string").cast("decimal(38,9)"), digits) * 10**digits)
     return (whole * F.when(c < 0, -1).otherwise(1)).cast("decimal(38,0)")
 
 

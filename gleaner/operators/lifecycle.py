@@ -262,44 +262,40 @@ def breaker(attempts: DataFrame, key: str, order: list[str], failed: Column, mos
     }).drop("_failed", "_island", "_run")
 
 
-LISTING = "job_id long, attempt long, page int, failures int, error string, restarts boolean, current_page int, total_pages int, venues_found int, route string"
-
-
 def fetch_listings(attempts: DataFrame, most: int = 3, retry_first: bool = True) -> DataFrame:
     """The paging of jobs, from ``attempts(job_id, attempt, urls, pages, error)``: how many
     urls a fetched page had and of how many pages it was one, or the error. Every
-    attempt up to the end of its job gives a row: the page, the failures in a row, whether
+    attempt up to the end of its job gives a row (job_id, attempt, page, failures, error, restarts, current_page, total_pages,
+    venues_found, route): the page, the failures in a row, whether
     the browser restarts, the state after it and what comes next. After ``most`` failures
     a page is skipped. ``retry_first``: a first page that failed is tried again; without it
-    the job ends there, since it has no number of pages yet. A job is one group, for each
-    attempt depends on all before it."""
-
-    def walk(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        page, pages, urls, found, failures, out = 1, 0, 0, 0, 0, []
-        for r in rows.sort_values("attempt").itertuples(index=False):
-            at = page + 1 if urls else page
-            failed = isinstance(r.error, str)
-            restarts, error = False, None
-            if failed:
-                failures = (0 if failures >= most else failures) + 1
-                error = f"Page {at} attempt {failures}: {r.error}"
-                restarts = any(x in r.error for x in CRASHES)
-                if failures >= most:
-                    page, urls = at + 1, 0
-                    more = 0 < pages and page <= pages
-                else:
-                    more = 0 < pages and page + 1 <= pages or (retry_first and not pages)
-            else:
-                page, urls, failures = at, int(r.urls), 0
-                found += urls
-                pages = int(r.pages) if at == 1 else pages
-                more = page + 1 <= pages
-            out.append((key[0], r.attempt, at, failures, error, restarts, page, pages, found, "next_page" if more else "done"))
-            if not more:
-                break
-        return pd.DataFrame(out, columns=[c.split()[0] for c in LISTING.split(", ")])
-
-    return attempts.select("job_id", "attempt", "urls", "pages", "error").groupBy("job_id").applyInPandas(walk, LISTING)
+    the job ends there, since it has no number of pages yet.
+
+    All is counted by windows over a job's attempts: a page that had urls and a skipped one each move on by one, so the
+    page of an attempt is one more than those before it; a job ends with the first attempt after which nothing
+    comes."""
+    failed, urls = F.col("error").isNotNull(), F.coalesce("urls", F.lit(0)).cast("int")
+    rows = breaker(attempts.select("job_id", "attempt", "urls", "pages", "error"), "job_id", ["attempt"], failed, most)
+    so_far = Window.partitionBy("job_id").orderBy("attempt").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy("job_id").orderBy("attempt").rowsBetween(Window.unboundedPreceding, -1)
+    moves = ((~failed & (urls > 0)) | F.col("trips")).cast("int")
+    rows = rows.withColumn("page", (1 + F.coalesce(F.sum(moves).over(before), F.lit(0))).cast("int"))
+    reached = F.when(~failed, F.col("page")).when(F.col("trips"), F.col("page") + 1)
+    first = F.when(~failed & (F.col("page") == 1), F.coalesce("pages", F.lit(0)).cast("int"))
+    rows = rows.withColumns({
+        "current_page": F.coalesce(F.last(reached, ignorenulls=True).over(so_far), F.lit(1)), "total_pages": F.coalesce(F.last(first, ignorenulls=True).over(so_far), F.lit(0)),
+        "venues_found": F.sum(F.when(~failed, urls).otherwise(0)).over(so_far).cast("int"),
+    })
+    total, at = F.col("total_pages"), F.col("current_page")
+    more = F.when(~failed, at + 1 <= total).when(F.col("trips"), (total > 0) & (at <= total)).otherwise(((total > 0) & (at + 1 <= total)) | (F.lit(retry_first) & (total == 0)))
+    rows = rows.withColumn("_more", more)
+    told = F.concat(F.lit("Page "), F.col("page").cast("string"), F.lit(" attempt "), F.col("run").cast("string"), F.lit(": "), F.col("error"))
+    crashed = F.coalesce(F.exists(F.array(*map(F.lit, CRASHES)), lambda x: F.contains(F.col("error"), x)), F.lit(False))
+    ended = F.coalesce(F.sum((~F.col("_more")).cast("int")).over(before), F.lit(0))
+    return rows.withColumn("_ended", ended).where("_ended = 0").select(
+        "job_id", "attempt", "page", F.col("run").cast("int").alias("failures"), told.alias("error"), crashed.alias("restarts"), "current_page", "total_pages", "venues_found",
+        F.when(F.col("_more"), "next_page").otherwise("done").alias("route"),
+    )
 
 
 def single_listings(requests: DataFrame, resolved: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.sources.tables import cut
+
 #: Fixed values, by distinction: three stars, two, one, bib, selected; none is 1.0.
 COEFFICIENTS = {"3-stars": "1.5", "2-stars": "1.4", "1-star": "1.3", "bib-gourmand": "1.2", "selected": "1.1"}
 OTHER = "1.0"
@@ -35,14 +37,27 @@ def normalised(ranked: DataFrame, low: float = 1.0, high: float = 10.0) -> DataF
     return ranked.crossJoin(F.broadcast(ends)).withColumn("rank_1_10", scaled).drop("_min", "_max")
 
 
-def place_of(ranked: DataFrame, item: str, wanted: list) -> DataFrame:
-    """D2r: of the items ``wanted``: (item, score, place, share_below): their place among all, and
-    the share of the others that score less; how popular each is."""
-    few = ranked.where(F.col(item).isin(*wanted)).select(item, "score")
-    pairs = ranked.select(F.col("score").alias("_s")).groupBy("_s").agg(F.count(F.lit(1)).alias("_n")).join(F.broadcast(few.select("score").distinct()))
-    counts = pairs.groupBy("score").agg(F.sum(F.when(F.col("_s") > F.col("score"), F.col("_n")).otherwise(0)).alias("_above"), F.sum(F.when(F.col("_s") < F.col("score"), F.col("_n")).otherwise(0)).alias("_below"), F.sum("_n").alias("_all"))
-    share = F.when(F.col("_all") > 1, F.col("_below") / (F.col("_all") - 1)).otherwise(F.lit(0.0))
-    return few.join(counts, "score").select(item, "score", (F.col("_above") + 1).cast("int").alias("place"), share.alias("share_below"))
+def places(ranked: DataFrame, item: str) -> DataFrame:
+    """D2r: (item, score, place, dense, share_below, percent_rank) of every item of ``ranked(item, score)``: its place among all, the
+    highest score first, ties sharing one; the same without gaps; the share of the others that score less; and
+    (place - 1) / (items - 1). Where there is one item alone both shares are 0. A null score comes last.
+
+    Scores are counted, and the distinct ones dealt by ranges into ordered parts, written down so that a part
+    stays what it is. A part's items before it are a sum over the parts, one row each; inside a part a window
+    counts on. So no window holds more than a part, and no score is compared with all others."""
+    counted = ranked.groupBy("score").agg(F.count(F.lit(1)).alias("_n"))
+    parts = cut(counted.repartitionByRange(F.desc_nulls_last("score")).withColumn("_part", F.spark_partition_id()))
+    sums = parts.groupBy("_part").agg(F.sum("_n").alias("_items"), F.count(F.lit(1)).alias("_scores"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
+    total = F.sum("_items").over(Window.partitionBy())
+    starts = sums.select("_part", *[F.coalesce(F.sum(x).over(earlier), F.lit(0)).alias(f"{x}_before") for x in ("_items", "_scores")], total.alias("_all"))
+    inside = Window.partitionBy("_part").orderBy(F.desc_nulls_last("score")).rowsBetween(Window.unboundedPreceding, -1)
+    above = F.col("_items_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    dense = F.col("_scores_before") + F.count(F.lit(1)).over(inside) + 1
+    share = lambda x: F.when(F.col("_all") > 1, x / (F.col("_all") - 1)).otherwise(F.lit(0.0))
+    found = parts.join(F.broadcast(starts), "_part").withColumns({"place": above + 1, "dense": dense})
+    found = found.select(F.col("score").alias("_score"), "place", "dense", share(F.col("_all") - F.col("place") + 1 - F.col("_n")).alias("share_below"), share(F.col("place") - 1).alias("percent_rank"))
+    return ranked.select(item, "score").join(found, F.col("score").eqNullSafe(F.col("_score"))).drop("_score")
 
 
 def versus(ranked: DataFrame, pairs: DataFrame, item: str) -> DataFrame:

@@ -203,10 +203,10 @@ def resolve_name(spark: SparkSession, d: str) -> DataFrame:
 
 def resolve_all(venues: DataFrame, wanted: DataFrame) -> DataFrame:
     """(wanted, id) of many: by id if all digits, else by the whole name. Two equi-joins
-    over aggregated names; parts of names are looked for by ``resolve``, one at a time."""
+    over aggregated names; parts of names are looked for by ``names.resolve_many``."""
     value = X.strip(F.col("wanted"))
     rows = wanted.select("wanted", value.alias("_v"), value.rlike("^[0-9]+$").alias("_digits")).where(value != "")
-    ids = rows.where("_digits").join(venues.select("id"), F.col("_v").cast("long") == F.col("id")).select("wanted", "id")
+    ids = rows.where("_digits").join(venues.select("id"), F.col("_v").try_cast("long") == F.col("id")).select("wanted", "id")
     names = venues.groupBy(F.lower("name").alias("_n")).agg(F.min("id").alias("id"))
     return ids.unionByName(rows.where("NOT _digits").join(names, F.lower("_v") == F.col("_n")).select("wanted", "id"))
 
@@ -348,9 +348,8 @@ def page_math(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT c_custkey AS id, coalesce(n_name, '—') AS site, c_name AS name, CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_mktsegment END AS distinction, CASE WHEN o.u <> '' THEN '✓' ELSE '✗' END AS has_list,
- CASE WHEN o.n IS NULL THEN '' WHEN o.n * 7 < 60 THEN o.n * 7 || '.0s' ELSE (o.n * 7 * 10 // 60) // 10 || '.' || (o.n * 7 * 10 // 60) % 10 || 'm' END AS crawl_time, coalesce(o.n, 0) AS pages, coalesce(strftime(o.t, '%Y-%m-%d'), 'Never') AS last_crawled
- FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey % 5 <> 0 LEFT JOIN (SELECT o_custkey, count(*) AS n, max(o_orderdate) AS t, CASE WHEN count(*) % 3 = 0 THEN '' ELSE 'u' END AS u FROM orders GROUP BY 1) o ON o_custkey = c_custkey
- WHERE coalesce(o.n, 0) * 7 % 6 = 0 OR coalesce(o.n, 0) < 9""")
+ CASE WHEN o.n IS NULL THEN '' WHEN o.n * 7 < 60 THEN format('{:.1f}s', o.n * 7.0::DOUBLE) ELSE format('{:.1f}m', o.n * 7.0::DOUBLE / 60) END AS crawl_time, coalesce(o.n, 0) AS pages, coalesce(strftime(o.t, '%Y-%m-%d'), 'Never') AS last_crawled
+ FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey % 5 <> 0 LEFT JOIN (SELECT o_custkey, count(*) AS n, max(o_orderdate) AS t, CASE WHEN count(*) % 3 = 0 THEN '' ELSE 'u' END AS u FROM orders GROUP BY 1) o ON o_custkey = c_custkey""")
 def display_rows(spark: SparkSession, d: str) -> DataFrame:
     """Venues as they are shown: missing values, ticks, durations and dates."""
     c, n, o = load(spark, d, "customer", "nation", "orders")
@@ -361,7 +360,7 @@ def display_rows(spark: SparkSession, d: str) -> DataFrame:
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("distinction"),
         *[lit("string").alias(x) for x in ("address", "city", "state", "zip_code", "country", "cuisine", "price_range", "crawl_status")], F.when(F.col("n") % 3 == 0, "").when(F.col("n") > 0, "u").alias("list_url"),
         (F.col("n") * 7).cast("decimal(10,2)").alias("crawl_duration_seconds"), lit("int").alias("llm_tokens_used"), F.col("n").alias("pages_visited"), F.col("t").alias("last_crawled_at"), F.col("c_nationkey").alias("site_id"),
-    ).where((F.coalesce("pages_visited", F.lit(0)) * 7 % 6 == 0) | (F.coalesce("pages_visited", F.lit(0)) < 9))
+    )
     sites = n.where("n_nationkey % 5 <> 0").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("site_name"))
     return display.venues(venues, sites).select("id", "site", "name", "distinction", "has_list", "crawl_time", "pages", "last_crawled")
 
@@ -401,16 +400,20 @@ def finished_jobs(spark: SparkSession, d: str) -> DataFrame:
     return lifecycle.fail_jobs(done, failed, at).select("id", "status", "error_message")
 
 
-@query("""WITH a AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events)
- SELECT user_id AS job_id, CAST(max(k) AS BIGINT) AS attempts, CAST(max(k) AS INTEGER) AS page FROM a WHERE k <= 4 GROUP BY user_id HAVING count(*) FILTER (WHERE event_type = 'error') = 0""")
+@query("""WITH RECURSIVE a AS (SELECT user_id AS job_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS attempt, event_id % 5 AS urls, 3 + user_id % 30 AS pages, CASE WHEN event_type = 'error' OR event_id % 3 = 1 THEN CASE WHEN event_id % 2 = 0 THEN 'Page crashed' ELSE 'timeout' END END AS e FROM events),
+ r AS (SELECT DISTINCT job_id, 0::BIGINT AS attempt, 0::BIGINT AS page, 0::BIGINT AS failures, NULL::VARCHAR AS error, FALSE AS restarts, 1::BIGINT AS current_page, 0::BIGINT AS total_pages, 0::BIGINT AS venues_found, 0::BIGINT AS urls, TRUE AS more FROM a
+  UNION ALL SELECT job_id, attempt, page, failures, error, restarts, current_page, total_pages, venues_found, urls, CASE WHEN e IS NULL THEN current_page + 1 <= total_pages WHEN failures = 3 THEN total_pages > 0 AND current_page <= total_pages ELSE (total_pages > 0 AND current_page + 1 <= total_pages) OR total_pages = 0 END
+  FROM (SELECT job_id, attempt, page, failures, CASE WHEN e IS NOT NULL THEN 'Page ' || page || ' attempt ' || failures || ': ' || e END AS error, coalesce(e = 'Page crashed', FALSE) AS restarts, e, CASE WHEN e IS NULL THEN page WHEN failures = 3 THEN page + 1 ELSE was END AS current_page, CASE WHEN e IS NULL AND page = 1 THEN pages ELSE total END AS total_pages,
+   found + CASE WHEN e IS NULL THEN fetched ELSE 0 END AS venues_found, CASE WHEN e IS NULL THEN fetched WHEN failures = 3 THEN 0 ELSE had END AS urls
+   FROM (SELECT r.job_id, a.attempt, CASE WHEN r.urls > 0 THEN r.current_page + 1 ELSE r.current_page END AS page, CASE WHEN e IS NULL THEN 0 WHEN r.failures >= 3 THEN 1 ELSE r.failures + 1 END AS failures, e, r.current_page AS was, r.total_pages AS total, a.pages, r.venues_found AS found, a.urls AS fetched, r.urls AS had
+    FROM r JOIN a ON a.job_id = r.job_id AND a.attempt = r.attempt + 1 WHERE r.more) x) y)
+ SELECT job_id, attempt, page::INTEGER AS page, failures::INTEGER AS failures, error, restarts, current_page::INTEGER AS current_page, total_pages::INTEGER AS total_pages, venues_found::INTEGER AS venues_found, CASE WHEN more THEN 'next_page' ELSE 'done' END AS route FROM r WHERE attempt > 0""")
 def paging(spark: SparkSession, d: str) -> DataFrame:
-    """The paging of jobs of four pages, of those whose fetches all succeeded."""
+    """The paging of jobs over all their attempts: fetched pages, empty ones, failures in a row, skipped pages and restarts."""
     e = table(spark, d, "events")
-    k = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    rows = e.select(F.col("user_id").alias("job_id"), k.cast("long").alias("attempt"), F.lit(2).alias("urls"), F.lit(4).alias("pages"), F.when(F.col("event_type") == "error", "failed").alias("error")).where("attempt <= 4")
-    found = lifecycle.fetch_listings(rows)
-    ended = found.groupBy("job_id").agg(F.max("attempt").alias("attempts"), F.max("page").alias("page"), F.count_if(F.col("error").isNotNull()).alias("bad"))
-    return ended.where("bad = 0").drop("bad")
+    k, n = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")), F.col("event_id")
+    error = F.when((F.col("event_type") == "error") | (n % 3 == 1), F.when(n % 2 == 0, "Page crashed").otherwise("timeout"))
+    return lifecycle.fetch_listings(e.select(F.col("user_id").alias("job_id"), k.cast("long").alias("attempt"), (n % 5).alias("urls"), (3 + F.col("user_id") % 30).alias("pages"), error.alias("error")))
 
 
 PLACE_SQL = "array_to_string(list_transform(string_split(lower({0}), ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
@@ -553,11 +556,11 @@ def rank_compare(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH s AS (SELECT l_partkey, sum({WEIGHT_SQL}) AS score FROM {BASE_SQL} GROUP BY 1)
- SELECT l_partkey, CAST(score AS DOUBLE) AS score, CAST(1 + (SELECT count(*) FROM s b WHERE b.score > a.score) AS INTEGER) AS place, CAST((SELECT count(*) FROM s b WHERE b.score < a.score) AS DOUBLE) / ((SELECT count(*) FROM s) - 1) AS share_below FROM s a WHERE l_partkey IN (1, 7, 42, 100)""")
+ SELECT l_partkey, CAST(score AS DOUBLE) AS score, rank() OVER (ORDER BY score DESC) AS place, dense_rank() OVER (ORDER BY score DESC) AS dense, percent_rank() OVER (ORDER BY score) AS share_below, percent_rank() OVER (ORDER BY score DESC) AS percent_rank FROM s""")
 def rank_of_items(spark: SparkSession, d: str) -> DataFrame:
-    """D2r: the place of some items among all, and how popular they are."""
+    """D2r: the place of every item among all, and how popular it is."""
     s = ranking.scores(listings(spark, d), "l_partkey", "c_custkey", "c_mktsegment", WEIGHTS)
-    return ranking.place_of(s, "l_partkey", [1, 7, 42, 100]).select("l_partkey", F.col("score").cast("double").alias("score"), "place", "share_below")
+    return ranking.places(s, "l_partkey").withColumn("score", F.col("score").cast("double"))
 
 
 @query(f"""WITH s AS (SELECT p_type, l_partkey, sum({WEIGHT_SQL}) AS score FROM {BASE_SQL} JOIN part ON l_partkey = p_partkey GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY score DESC, l_partkey) AS place FROM s)

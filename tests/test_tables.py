@@ -148,7 +148,7 @@ def test_ranking(spark):
     assert {r["item"]: float(r["score"]) for r in venues.collect()} == {"w1": 11.4, "w2": 1.5, "w3": 1.0}
     scaled = {r["item"]: r["rank_1_10"] for r in ranking.normalised(venues).collect()}
     assert scaled["w1"] == 10.0 and scaled["w3"] == 1.0 and 1.0 < scaled["w2"] < 2.0
-    assert {r["item"]: (r["place"], r["share_below"]) for r in ranking.place_of(venues, "item", ["w1", "w2"]).collect()} == {"w1": (1, 1.0), "w2": (2, 0.5)}
+    assert {r["item"]: (r["place"], r["share_below"]) for r in ranking.places(venues, "item").collect()} == {"w1": (1, 1.0), "w2": (2, 0.5), "w3": (3, 0.0)}
 
 
 def test_streams(spark, tmp_path):
