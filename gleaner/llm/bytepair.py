@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import unicodedata
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -39,7 +38,6 @@ LETTER, NUMBER, OTHER, SHORT, LONG, INSIDE, EDGE, BLANK, START = range(9)
 FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHER, IN_SPACE, AFTER_BLANK, ONE_LEFT, TWO_LEFT = range(8)
 #: The contractions of the public GPT-2 pattern (fixed values).
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
-WHITE_SPACE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 BLOCK = 64
 CHUNK = 1 << 20
 CACHED_SLICES = 200_000
@@ -69,14 +67,17 @@ FOLLOW, BEGINS = machine()
 
 @cache
 def classes() -> np.ndarray:
-    """The class of every code point: letter, number, white space (INSIDE) or other."""
+    """The class of every code point: letter, number, white space (INSIDE) or other. The library itself is
+    asked once in each worker, for its tables of Unicode are of another version than this Python's:
+    an encoding whose pattern is a class drops all code points beyond it."""
+    import tiktoken
+
     kinds = np.full(0x110000, OTHER, np.uint8)
-    by = {"L": LETTER, "N": NUMBER}
-    for c in chain(range(0xD800), range(0xE000, 0x110000)):
-        kind = by.get(unicodedata.category(chr(c))[0])
-        if kind is not None:
-            kinds[c] = kind
-    kinds[list(WHITE_SPACE)] = INSIDE
+    every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
+    single = {bytes([b]): b for b in range(256)}
+    for pattern, kind in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER), (r"\s", INSIDE)):
+        asked = tiktoken.Encoding("class", pat_str=pattern, mergeable_ranks=single, special_tokens={})
+        kinds[np.frombuffer(asked.decode(asked.encode_ordinary(every)).encode("utf-32-le"), np.uint32)] = kind
     return kinds
 
 
