@@ -117,7 +117,7 @@ class WordTokenizer:
     """Token ids of whole texts, piece by piece: the tokenizer drops white space and
     no merge crosses it, so equal words have equal ids. Of a word of Latin letters and
     marks alone, each run of letters or of marks is a piece, whose merges need no
-    normalising or splitting; any other word is a piece whole. Pieces are found and
+    normalising or splitting; any other word, and one that holds an added token of the vocabulary, is a piece whole. Pieces are found and
     hashed in arrays, and their ids kept in two generations of ``most`` pieces each: what
     is looked up in the old one comes back to the young one, so pieces in use stay.
     A vocabulary with another normaliser or splitter encodes whole texts."""
@@ -127,11 +127,11 @@ class WordTokenizer:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.inner = Tokenizer.from_file(path)
-        self.inner.encode_special_tokens = True  # their strings in a text are ordinary text
         size = self.inner.get_vocab_size()
         self.type = "<u2" if size <= 1 << 16 else "<u4"
         self.letter = "H" if self.type == "<u2" else "I"
         spec = json.loads(self.inner.to_str())
+        self.added = [x["content"] for x in spec["added_tokens"]]
         self.by_words = splits_into_words(spec)
         if self.by_words:
             # one tokenizer, whose normaliser and splitter are set for what it is to encode
@@ -191,6 +191,11 @@ class WordTokenizer:
         joined = "\n".join(texts)
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         of = kind[points]
+        for token in self.added:  # a word with one is encoded whole
+            at = joined.find(token)
+            while at >= 0:
+                of[at] = OTHER
+                at = joined.find(token, at + len(token))
         inside = of != SPACE
         first = inside & ~np.append(False, inside[:-1])
         words = np.flatnonzero(first)
@@ -256,10 +261,12 @@ class WordTokenizer:
 
 
 def splits_into_words(spec: dict) -> bool:
-    """Whether a tokenizer drops white space, lowers case and ends each word with its own pieces."""
+    """Whether a tokenizer drops white space, lowers case, ends each word with its own pieces, and finds its added
+    tokens inside words, as they stand."""
+    inside = all(not (x["normalized"] or x["single_word"] or x["lstrip"] or x["rstrip"]) and len(x["content"].split()) == 1 for x in spec["added_tokens"])
     normalisers = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
     first = next(iter((spec["pre_tokenizer"] or {}).get("pretokenizers", [])), {})
-    return normalisers == NORMALISERS and first.get("pattern") == {"Regex": SPLIT} and first.get("invert") is True and spec["model"].get("end_of_word_suffix") == WORD_END
+    return inside and normalisers == NORMALISERS and first.get("pattern") == {"Regex": SPLIT} and first.get("invert") is True and spec["model"].get("end_of_word_suffix") == WORD_END
 
 
 @cache

@@ -77,6 +77,24 @@ def test_fingerprints_are_homomorphic(spark):
     assert r["vx"] == r["vy"] and r["v"] == r["s"] and r["d"] == r["vz"] and r["n"] == 1.0 and 0.3 < r["m"] < 0.85
 
 
+@pytest.mark.parametrize("times", [5_000, 1_000_000])
+def test_likeness_of_repeated_lines(spark, times):
+    """A line as often as one likes: half of the same lines is the same direction, other lines are another. The sums of the
+    repeated lines are those of one line, doubled and added up."""
+
+    def repeated(line: str, n: int) -> list[int]:
+        one = spark.createDataFrame([(line,)], "t string").select(fingerprints.fingerprint(F.col("t")).alias("v")).first()["v"]
+        lanes = [[(x >> f) & fingerprints.LANE for f in fingerprints.FIELDS] for x in one[:-1]]
+        return [sum((x * n & fingerprints.LANE) << f for x, f in zip(pair, fingerprints.FIELDS, strict=True)) for pair in lanes] + [n]
+
+    rows = [(repeated("same line", times), repeated("same line", times // 2), repeated("other", times))]
+    df = spark.createDataFrame(rows, "x array<long>, y array<long>, z array<long>")
+    r = df.select(fingerprints.likeness(F.col("x"), F.col("y")).alias("half"), fingerprints.likeness(F.col("x"), F.col("z")).alias("other")).first()
+    assert r["half"] > 0.999 and r["other"] < 4 / 192**0.5
+    text = spark.createDataFrame([("same line\n" * 299 + "same line",)], "t string").select(fingerprints.fingerprint(F.col("t")).alias("v")).first()["v"]
+    assert text == repeated("same line", 300)
+
+
 # op2
 
 
@@ -344,8 +362,7 @@ def test_words_are_encoded_as_whole_texts_are(monkeypatch):
 
     rng = random.Random(6)
     inner = Tokenizer.from_file(packing.vocabulary_path())
-    inner.encode_special_tokens = True
-    parts = ["Abc", "ÉCOLE", "x!?", "it's", "\u0130stanbul", "e\u0301", "a1b", "...", "日本", "<|endoftext|>", "\x1c", "\xa0", " ", "\n", "straße.", "</w>", "\u2028", "q" * 200]
+    parts = ["Abc", "ÉCOLE", "x!?", "it's", "\u0130stanbul", "e\u0301", "a1b", "...", "日本", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "\x1c", "\xa0", " ", "\n", "straße.", "</w>", "\u2028", "q" * 200]
     texts = ["".join(rng.choice(parts) + rng.choice(["", " ", "  "]) for _ in range(rng.randint(0, 40))) for _ in range(400)]
     monkeypatch.setattr(packing, "CHUNK", 700)
     coder = packing.WordTokenizer(packing.vocabulary_path(), 50)
@@ -354,6 +371,18 @@ def test_words_are_encoded_as_whole_texts_are(monkeypatch):
     assert [np.frombuffer(x, coder.type).tolist() for x in got] == [inner.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_added_tokens_are_the_librarys(spark):
+    """At both ends, doubled, inside a word, beside marks, in another case, cut by a blank: what the plain library gives."""
+    from tokenizers import Tokenizer
+
+    end, start = "<|endoftext|>", "<|startoftext|>"
+    texts = [end, start, f"{end}{end}", f"hello {end} world", f"hello{end}world", f"it{start}'s {end}.", f"...{end}", f"{end}é{start}É", end.upper(), "<|endof text|>", f"<{end}>", f"{start}{end}" * 300, f"日本{end}日"]
+    inner, coder = Tokenizer.from_file(packing.vocabulary_path()), packing.WordTokenizer(packing.vocabulary_path())
+    assert [np.frombuffer(x, coder.type).tolist() for x in coder.encode(texts)] == [inner.encode(t, add_special_tokens=False).ids for t in texts]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("source", F.lit("s")), packing.vocabulary_path()).collect()
+    assert {r["doc_id"]: r["doc_tokens"] for r in rows} == {k: len(inner.encode(t, add_special_tokens=False).ids) + 1 for k, t in enumerate(texts)}
+
+
 # op7
 
 
@@ -556,3 +585,16 @@ def test_byte_bpe_equals_the_library(spark, docs, rows):
     assert bytepair.encode(docs.limit(0), path, decoded=True).count() == 0
     assert sorted((repr(r["doc_id"]), tuple(r["ids"]), bytes(r["decoded"])) for r in got) == sorted((repr(r[0]), tuple(library.encode_ordinary(r[1] or "")), (r[1] or "").encode()) for r in rows)
     assert all(list(r["ends"]) == np.cumsum([len(coder.bytes[i]) for i in r["ids"]]).tolist() for r in got)
+
+
+def test_every_code_point_is_of_the_librarys_class():
+    """In a text where its class decides both boundaries beside it."""
+    import public_tokenizers
+    import tiktoken
+
+    coder = bytepair.codec(bytepair.vocabulary_path())
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
+    points = [*range(0xD800), *range(0xE000, 0x32400), *range(0xE0000, 0xE0200), 0x10FFFF]
+    texts = ["".join(f"a{chr(c)}1{chr(c)}! {chr(c)} " for c in points[k : k + 256]) for k in range(0, len(points), 256)]
+    for t, ids in zip(texts, coder.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<i4").tolist() == library.encode_ordinary(t)
