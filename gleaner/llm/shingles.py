@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import components, cut
+from gleaner.llm.common import components, cut, fresh_name
 from gleaner.llm.simhash import covering_masks, majority, shingle_hashes
 
 SHINGLE = 5
@@ -102,8 +102,15 @@ def like_size(n: str, m: str) -> F.Column:
     return (F.col(n) * (NEAR + 1) >= F.col(m) * NEAR) & (F.col(m) * (NEAR + 1) >= F.col(n) * NEAR)
 
 
+#: Names that ``keep_one`` gives to columns of its own.
+OWN = {"_k1", "_k2", "_doc", "_a", "_b", "_row"}
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group of near copies, the first by id."""
+    """``docs`` with one document of each group of near copies, the first by id. Columns of OWN's names are set aside meanwhile."""
+    if clash := OWN & {c.lower() for c in docs.columns}:
+        aside = {c: fresh_name(docs, f"{c}_aside") for c in docs.columns if c.lower() in clash}
+        return keep_one(docs.withColumnsRenamed(aside)).withColumnsRenamed({v: k for k, v in aside.items()})
     rows = cut(signatures(docs))
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("o"), "doc_id", "_k1", "_k2")).alias("low")
     folded = rows.groupBy("s1", "s2").agg(first, F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
@@ -117,7 +124,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     many = cut(rows.groupBy("doc_id", "_k1", "_k2").count().where("count > 1").select(F.col("doc_id").alias("_doc"), F.col("_k1").alias("_a"), F.col("_k2").alias("_b")))
     if many.isEmpty():
         return found.select(docs.columns)
-    one = found.join(many, same, "left_semi").groupBy("doc_id", "_k1", "_k2").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    one = found.join(many, same, "left_semi").groupBy("doc_id", "_k1", "_k2").agg(F.any_value(F.struct(*docs.columns)).alias("_row")).select("_row.*")
     return found.join(many, same, "left_anti").select(docs.columns).unionByName(one)
 
 

@@ -88,3 +88,17 @@ def test_near_copies_with_null_and_repeated_ids(spark):
     assert got == sorted([(None, a), (1, b), (2, c), (2, d), (9007199254740993, "one two")], key=repr)
     assert corpus_pipeline.drop_near_copies(spark, docs, "").where("coalesce(text, '') = ''").count() == 1
     assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), "").count() == 0
+
+
+def test_columns_of_any_name_and_type_pass_through(spark):
+    """Of the names that the stage uses itself, in any case, and of a type that has no order, with repeated rows."""
+    from pyspark.sql import functions as F
+
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(1, text), (1, text), (2, text), (3, "quite another text of some more words than five"), (None, "no id at all but some words here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.concat(F.lit(c), F.col("text")) for c in ("_k1", "_K2", "_doc", "_a", "_b", "_row", "node", "e", "c", "low")} | {"m": F.create_map(F.lit("k"), F.col("text"))})
+    found = shingles.keep_one(docs)
+    assert found.columns == docs.columns
+    got = {r["doc_id"]: r for r in found.collect()}
+    assert set(got) == {1, 3, None} and found.count() == 3
+    assert all(r[c] == c + r["text"] for r in got.values() for c in ("_k1", "_K2", "_doc", "_a", "_b", "_row", "node", "e", "c", "low")) and all(r["m"] == {"k": r["text"]} for r in got.values())
