@@ -11,6 +11,7 @@ from gleaner.operators import maintained
 from gleaner.plans.reports import load, query
 from gleaner.sources.keyed import Keyed, Published, delete_cascade
 from gleaner.sources.tables import shared_folder
+from gleaner.streaming import jobs as streams
 
 
 def place(spark: SparkSession, name: str) -> str:
@@ -73,3 +74,13 @@ def published_counts(spark: SparkSession, d: str) -> DataFrame:
     per = t["lists"].groupBy("venue_id").agg(F.count(F.lit(1)).alias("n"))
     rows = t["venues"].join(per, F.col("id") == F.col("venue_id"), "left")
     return rows.groupBy("segment").agg(F.count(F.lit(1)).alias("venues"), F.coalesce(F.sum("n"), F.lit(0)).alias("lists"))
+
+
+@query("""SELECT user_id, count(*) AS attempts, count(*) FILTER (WHERE event_type = 'error') AS failures, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS total FROM events GROUP BY user_id""")
+def streamed_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """Totals of jobs from a stream of their events, whose batches are written so that each counts once."""
+    schema = ", ".join(f"{c} {kind}" for c, kind in load(spark, d, "events")[0].dtypes)
+    folder = place(spark, "rolled-up")
+    events = streams.read_events(spark, f"{d}/events.parquet*", schema)  # a stream reads folders or patterns
+    streams.rollup_into(events, f"{folder}/totals", f"{folder}/checkpoint", "user_id", "event_type = 'error'", "value").awaitTermination()
+    return streams.rolled_up(spark, f"{folder}/totals", "user_id").withColumn("total", F.col("total").cast("double"))

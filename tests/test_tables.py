@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import random
 from decimal import Decimal
 
 import pytest
@@ -162,3 +163,51 @@ def test_streams(spark, tmp_path):
     assert {r["job"]: (r["attempts"], r["failures"]) for r in spark.table("rolled").collect()} == {1: (8, 6), 2: (1, 0)}
     run(streaming.trips(stream, "job", "event_type = 'error'"), "tripped", "append")
     assert sorted((r["job"], r["event_id"]) for r in spark.table("tripped").collect()) == [(1, 2), (1, 6)]
+
+
+EVENTS = "job int, event_id long, event_type string, value double, ts timestamp"
+
+
+def test_a_batch_that_runs_again_counts_once(spark, tmp_path):
+    """The stream breaks off after a batch was written but before Spark noted it: the batch runs again, and counts once."""
+    rows = [(k % 3, k, "error" if k % 4 == 0 else "ok", float(k), AT) for k in range(30)]
+    events = spark.createDataFrame(rows, EVENTS)
+    for k in range(3):
+        events.where(f"event_id % 3 = {k}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = streaming.read_events(spark, str(tmp_path / "in"), EVENTS, 1)
+    totals, checkpoint = str(tmp_path / "totals"), tmp_path / "checkpoint"
+    run = lambda: streaming.rollup_into(stream, totals, str(checkpoint), "job", "event_type = 'error'", "value").awaitTermination()
+    run()
+    for name in ("commits/2", "commits/.2.crc"):
+        (checkpoint / name).unlink(missing_ok=True)
+    run()
+    got = {r["job"]: (r["attempts"], r["failures"], float(r["total"])) for r in streaming.rolled_up(spark, totals, "job").collect()}
+    assert got == {j: (10, sum(k % 4 == 0 for k in range(j, 30, 3)), float(sum(range(j, 30, 3)))) for j in range(3)}
+    events.limit(1).write.mode("append").parquet(str(tmp_path / "in"))
+    run()
+    assert streaming.rolled_up(spark, totals, "job").groupBy().sum("attempts").first()[0] == 31
+
+
+def test_trips_follow_event_time(spark, tmp_path):
+    """Files in any order, within the delay; the stream's answer is the one of all rows in their order."""
+    rng = random.Random(5)
+    rows = [(k % 4, k, "error" if rng.random() < 0.6 else "ok", 0.0, AT + dt.timedelta(minutes=k)) for k in range(200)]
+    order = sorted(range(200), key=lambda k: k + rng.uniform(-20, 20))
+    for n in range(8):
+        part = [rows[k] for k in order[25 * n : 25 * n + 25]]
+        spark.createDataFrame(part, EVENTS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    last = [(9, 999, "ok", 0.0, AT + dt.timedelta(days=30))]  # moves the watermark past all others
+    spark.createDataFrame(last, EVENTS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = streaming.read_events(spark, str(tmp_path / "in"), EVENTS, 1)
+    found = streaming.trips_in_order(stream, "job", "event_type = 'error'", "2 hours")
+    found.writeStream.format("memory").queryName("in_order").outputMode("append").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start().awaitTermination()
+    want = []
+    for job in range(4):
+        count = 0
+        for j, event, kind, *_ in rows:
+            if j == job:
+                count = count + 1 if kind == "error" else 0
+                if count == 3:
+                    want.append((job, event))
+                    count = 0
+    assert sorted((r["job"], r["event_id"]) for r in spark.table("in_order").collect()) == sorted(want)
