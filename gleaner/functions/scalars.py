@@ -1,9 +1,10 @@
 """Column functions over urls, names, texts, durations and money. JVM-side, except
-accent folding and url joining, which Spark does not have."""
+url joining and whole percent decoding, which Spark does not have."""
 
 from __future__ import annotations
 
 import unicodedata
+from functools import cache
 from urllib.parse import unquote, urljoin, urlparse
 
 import pandas as pd
@@ -50,10 +51,21 @@ def or_default(c: Column, default: Column | str | int) -> Column:
     return F.coalesce(nullif_blank(c), default if isinstance(default, Column) else F.lit(default))
 
 
-@F.pandas_udf(T.StringType())
-def fold_accents(texts: pd.Series) -> pd.Series:
-    """Lower case, stripped, without accents."""
-    return texts.map(lambda t: None if t is None else folded(t))
+@cache
+def bare_letters() -> tuple[str, str]:
+    """Letters with marks, and beside them what is left without: of each code point that decomposes to one other and marks."""
+    pairs = [(chr(c), folded(chr(c))) for c in range(0x80, 0x30000) if not 0xD800 <= c < 0xE000 and unicodedata.decomposition(chr(c)) and chr(c).lower() == chr(c)]
+    found = [(c, bare) for c, bare in pairs if len(bare) == 1 and bare != c]
+    return "".join(c for c, _ in found), "".join(bare for _, bare in found)
+
+
+def fold_accents(text: Column | str) -> Column:
+    """Lower case, stripped, without accents: built-in functions only. Collations that ignore case and accents hold more letters
+    for equal (d and \u0111, o and \u00f8), so letters lose their marks by a table that Python's own makes. Syllables of Hangul, and a few
+    vowels of Indic scripts that have two parts, stay composed; white space may differ in its code point."""
+    column = F.col(text) if isinstance(text, str) else text
+    bare = F.regexp_replace(F.lower(column), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.regexp_replace(F.translate(bare, *bare_letters()), r"\p{Mn}+", "")
 
 
 @F.pandas_udf(T.StringType())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import unicodedata
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -145,3 +146,13 @@ def test_json(spark):
 
 def test_hashes(spark):
     assert values(spark, "binary", [bytearray(b"hello world"), bytearray(b"")], lambda c: F.sha2(c, 256)) == ["b94d27b9934d3e08a52e52d7da7dabfac484efe37a5380ee9088f7ace2efcde9", "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"]
+
+
+def test_folding_is_pythons(spark, capsys):
+    """Of every letter of Latin, Greek, Cyrillic and Armenian: alone, in upper case, with a mark and white space around; no Python in the plan."""
+    points = [*range(0x20, 0x590), *range(0x1DC0, 0x1DFA), *range(0x1E00, 0x2000), *range(0x2C60, 0x2C80), *range(0xA720, 0xA800), *range(0xFB00, 0xFB07)]
+    texts = [f" \x1c{chr(c)}x{chr(c).upper()}\u0301 \u3000" for c in points if unicodedata.category(chr(c)) != "Cn"] + [None, "", " \t", "\u0130stanbul STRASSE \u00c9COLE", "e\u0301 \u65e5\u672c"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", X.fold_accents("t").alias("f"))
+    assert not [r for r in df.collect() if r["f"] != (None if r["t"] is None else X.folded(r["t"]))]
+    df.explain()
+    assert "Python" not in capsys.readouterr().out
