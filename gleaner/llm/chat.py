@@ -3,7 +3,7 @@
 The machine reads the turns of a conversation in order and says whether each role
 may follow. The template turns every turn into text segments, each with a flag that
 says whether the segment counts for the loss. Control strings inside texts are
-escaped reversibly, so that a reader finds exactly the turns that were written.
+escaped reversibly, by the template, so that a reader that has it finds exactly the turns that were written.
 
 Rows are dealt and sorted by conversation and then stream through each task with
 the machine's state carried from row to row: no conversation is collected.
@@ -46,21 +46,61 @@ TEMPLATE = (
 SEGMENTS = "conv_id long, turn_no long, part int, role string, segment string, loss boolean, valid boolean, complete boolean"
 
 
-def escape(text: str) -> str:
-    """One more backslash in every ``<``, backslashes, ``|``: no control string is left."""
-    return re.sub(r"<(\\*)\|", r"<\\\1|", text)
-
-
-def unescape(text: str) -> str:
-    return re.sub(r"<\\(\\*)\|", r"<\1|", text)
-
-
-def escape_role(role: str) -> str:
-    return escape(role.replace("\\", "\\\\").replace("\n", "\\n"))
-
-
-def unescape_role(role: str) -> str:
-    return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(role), flags=re.S)
+class Form:
+    """How turns are written and read by a template: its segments are literals, which may hold {role}, and {text} alone.
+
+    A control string is a literal between two texts. Texts never hold the first two characters of one, x and y, together: in each
+    x, backslashes, y of a text one backslash more stands before y. In roles backslashes are doubled, line ends are written
+    as \\n, the character that the template has after the role as its number, and control strings are broken as in texts. So what follows a text or a role ends it where
+    it first occurs, and a reader that knows the template finds exactly what was written."""
+
+    def __init__(self, template: tuple) -> None:
+        self.template = template
+        if [p for p, _ in template].count("{text}") != 1 or sum(p.count("{text}") for p, _ in template) != 1 or sum(p.count("{role}") for p, _ in template) != 1:
+            raise ValueError("a template has {role} once and {text} once, the latter as a segment of its own")
+        self.parts = [x for x in re.split(r"(\{role\}|\{text\})", "".join(p for p, _ in template)) if x]
+        after = {p: self.parts[k + 1] if k + 1 < len(self.parts) else self.parts[0] for k, p in enumerate(self.parts) if p in ("{role}", "{text}")}
+        if any(x in ("{role}", "{text}") for x in after.values()):
+            raise ValueError("a template has a literal after {role} and after {text}")
+        closes = len(self.parts) > self.parts.index("{text}") + 1
+        self.end, self.role_end = after["{text}"], after["{role}"]
+        marks = [x.strip() for x in self.parts if x not in ("{role}", "{text}") and len(x.strip()) > 1]
+        if not closes or len(set(self.end[:2])) < 2 or self.end[:2] not in {m[:2] for m in marks} or any("\\" in m[:2] for m in marks):
+            raise ValueError("a template ends its texts with a literal that begins with two characters, not the same and no backslash")
+        heads = {m[:2] for m in marks}
+        self.held = re.compile("|".join(f"{re.escape(h[0])}(?=\\\\*{re.escape(h[1])})" for h in sorted(heads)))
+        self.broken = re.compile("(" + "|".join(f"{re.escape(h[0])}(?=\\\\+{re.escape(h[1])})" for h in sorted(heads)) + r")\\")
+        self.stop = self.role_end[0]
+
+    def escape(self, text: str) -> str:
+        return self.held.sub(lambda m: m[0] + "\\", text)
+
+    def unescape(self, text: str) -> str:
+        return self.broken.sub(lambda m: m[1], text)
+
+    def escape_role(self, role: str) -> str:
+        plain = role.replace("\\", "\\\\").replace("\n", "\\n")
+        if self.stop not in "\n\\":
+            plain = plain.replace(self.stop, f"\\{ord(self.stop)};")
+        return self.escape(plain)
+
+    def unescape_role(self, role: str) -> str:
+        return re.sub(r"\\(n|\\|\d+;)", lambda m: {"n": "\n", "\\": "\\"}.get(m[1]) or chr(int(m[1][:-1])), self.unescape(role), flags=re.S)
+
+    def read(self, rest: str) -> tuple[str, str, str] | None:
+        """(role, text, what is left) of the first turn of a formatted text; None if it is not there whole."""
+        at, found = 0, {}
+        for k, part in enumerate(self.parts):
+            if part in ("{role}", "{text}"):
+                end = rest.find(self.parts[k + 1], at)
+                if end < 0:
+                    return None
+                found[part], at = rest[at:end], end
+            elif rest.startswith(part, at):
+                at += len(part)
+            else:
+                return None
+        return self.unescape_role(found["{role}"]), self.unescape(found["{text}"]), rest[at:]
 
 
 def format_chat(turns: DataFrame, template: tuple = TEMPLATE, order: dict = TURN_ORDER) -> DataFrame:
@@ -69,6 +109,7 @@ def format_chat(turns: DataFrame, template: tuple = TEMPLATE, order: dict = TURN
     the order of roles, and whether the conversation might end here."""
     rows = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    form = Form(template)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         conv, state, number = object(), "", 0
@@ -80,7 +121,7 @@ def format_chat(turns: DataFrame, template: tuple = TEMPLATE, order: dict = TURN
                     conv, state, number = c, "", 0
                 state = role if role in order.get(state, ()) else "!"
                 for part, (pattern, counted) in enumerate(template):
-                    piece = escape(text) if pattern == "{text}" else pattern.replace("{role}", escape_role(role))
+                    piece = form.escape(text) if pattern == "{text}" else pattern.replace("{role}", form.escape_role(role))
                     out.append((c, number, part, role, piece, role in counted, state != "!", state in FINAL))
                 number += 1
             frame = pd.DataFrame(out, columns=[x.split()[0] for x in SEGMENTS.split(", ")])
@@ -93,13 +134,14 @@ def format_chat(turns: DataFrame, template: tuple = TEMPLATE, order: dict = TURN
 READ = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean, complete boolean"
 
 
-def read_back(segments: DataFrame) -> DataFrame:
+def read_back(segments: DataFrame, template: tuple = TEMPLATE) -> DataFrame:
     """One row per conversation, read from the formatted text and its loss flags
-    alone: the turns it holds and the text under the loss mask.
+    alone, by the template: the turns it holds and the text under the loss mask.
 
     ``segments`` must come straight from ``format_chat``, whose order within a
     partition it relies on; it adds no shuffle.
     """
+    form = Form(template)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         conv, reader = object(), None
@@ -110,7 +152,7 @@ def read_back(segments: DataFrame) -> DataFrame:
                 if c != conv:
                     if reader:
                         out.append((conv, *reader.result()))
-                    conv, reader = c, Reader()
+                    conv, reader = c, Reader(form)
                 reader.feed(piece, loss)
                 reader.valid, reader.complete = valid, complete
             yield frame_of(out)
@@ -129,7 +171,8 @@ def frame_of(rows: list[tuple]) -> pd.DataFrame:
 class Reader:
     """Finds the turns of one conversation in its formatted text, turn by turn."""
 
-    def __init__(self) -> None:
+    def __init__(self, form: Form) -> None:
+        self.form = form
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
         self.n_turns = self.loss_chars = self.chars = 0
         self.rest = ""
@@ -138,14 +181,13 @@ class Reader:
     def feed(self, piece: str, loss: bool) -> None:
         self.chars += len(piece)
         if loss:
-            text = unescape(piece)
+            text = self.form.unescape(piece)
             self.loss.update(text.encode("utf-8", "surrogatepass"))
             self.loss_chars += len(text)
         self.rest += piece
-        while (end := self.rest.find("<|im_end|>\n")) >= 0:
-            turn, self.rest = self.rest[:end], self.rest[end + len("<|im_end|>\n") :]
-            role, _, text = turn.removeprefix("<|im_start|>").partition("\n")
-            self.turns.update(f"{unescape_role(role)}\n{unescape(text)}\n".encode("utf-8", "surrogatepass"))
+        while turn := self.form.read(self.rest) if self.form.end in self.rest else None:
+            role, text, self.rest = turn
+            self.turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
             self.n_turns += 1
 
     def result(self) -> tuple:

@@ -188,6 +188,33 @@ def test_chat_round_trip_and_order(spark):
     assert chat.read_back(chat.format_chat(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
 
 
+TEMPLATES = (
+    chat.TEMPLATE,
+    (("[{role}]: ", frozenset()), ("{text}", frozenset({"assistant"})), ("</s>\n\n", frozenset())),
+    (("<role={role}>", frozenset()), ("{text}", frozenset({"assistant"})), ("#END#", frozenset())),
+)
+
+
+@pytest.mark.parametrize("template", TEMPLATES)
+def test_any_template_is_read_back(spark, template):
+    """Texts and roles made of the templates' own control strings, their parts, backslashes and line ends."""
+    rng = random.Random(2)
+    parts = ["<", "|", "\\", "im_end", "<|im_end|>\n", "</s>\n\n", "[", "]", ": ", "#", "#END#", "n", "\n", "user", "<role=", ">", "é", "93;"]
+    some = lambda n: "".join(rng.choice(parts) for _ in range(rng.randint(0, n)))
+    talks = {c: [(rng.choice(["user", "assistant", some(4)]), some(9)) for _ in range(rng.randint(1, 6))] for c in range(60)}
+    turns = spark.createDataFrame([(c, t, *x) for c, rows in talks.items() for t, x in enumerate(rows)], "conv_id long, turn long, role string, text string")
+    for r in chat.read_back(chat.format_chat(turns, template), template).collect():
+        rows = talks[r["conv_id"]]
+        said = "".join(t for role, t in rows if role == "assistant")
+        assert (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) == (len(rows), sha("".join(f"{a}\n{t}\n" for a, t in rows)), len(said), sha(said))
+
+
+def test_templates_that_cannot_be_read():
+    for bad in ((("{text}", frozenset()),), (("{role}", frozenset()), ("{text}", frozenset()), ("<|e|>", frozenset())), (("[{role}]", frozenset()), ("{text}", frozenset()), ("===", frozenset())), (("[{role}]", frozenset()), ("{text}!", frozenset()))):
+        with pytest.raises(ValueError, match="template"):
+            chat.Form(bad)
+
+
 # op5
 
 
