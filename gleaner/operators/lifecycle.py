@@ -187,11 +187,15 @@ def start_jobs(jobs: DataFrame, requests: DataFrame, sites: DataFrame, at: Colum
 
 
 def finished(jobs: DataFrame, changes: DataFrame, at: Column | datetime) -> DataFrame:
-    """``jobs`` with the status and message of ``changes(id, status, error_message)``, and their end."""
-    at = F.lit(at)
+    """``jobs`` with the status and message of ``changes(id, status, error_message)``, and their end; one join."""
+    n = changes.select(F.col("id").alias("_key"), F.col("status").alias("_status"), F.col("error_message").alias("_message"))
+    ended, at = F.col("_key").isNotNull(), F.lit(at)
     seconds = F.when(F.col("started_at").isNotNull(), X.seconds_between(F.col("started_at"), at))
-    ended = jobs.join(changes.select("id"), "id", "left_semi").select("id", at.alias("completed_at"), seconds.alias("duration_seconds"))
-    return update(update(jobs, changes), ended)
+    after = {
+        "status": F.coalesce("_status", "status"), "error_message": F.coalesce("_message", "error_message"), "completed_at": F.when(ended, at).otherwise(F.col("completed_at")),
+        "duration_seconds": F.coalesce(F.when(ended, seconds), F.col("duration_seconds")),
+    }
+    return jobs.join(n, F.col("id") == F.col("_key"), "left").withColumns(after).select(jobs.columns)
 
 
 def error_text(errors: Column, most: int = SHOWN_ERRORS) -> Column:
