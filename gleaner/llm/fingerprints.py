@@ -54,8 +54,9 @@ def fingerprint(text: Column, lanes: int = LANES) -> Column:
     zero = F.array_repeat(F.lit(0).cast("long"), lanes // 2)
     seeds = F.sequence(F.lit(1), F.lit(lanes // 8))
     low = lambda w, k: F.call_function("shiftrightunsigned", w, F.lit(k)).bitwiseAND(F.lit(BYTE_MASK))
+    bytes_at = lambda ws, k: F.transform(ws, lambda w: low(w, k))
     words = lambda d: F.transform(seeds, lambda i: F.xxhash64(i, d))
-    step = lambda acc, ws: add(acc, F.concat(*[F.transform(ws, lambda w, k=k: low(w, k)) for k in BYTES]))
+    step = lambda acc, ws: add(acc, F.concat(*[bytes_at(ws, k) for k in BYTES]))
     return F.concat(F.aggregate(F.transform(digests, words), zero, step), F.array(F.size(lines).cast("long")))
 
 
