@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import random
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -31,3 +33,46 @@ def test_scores_use_every_context(spark, monkeypatch, contexts, order, table_row
     monkeypatch.setattr(ppm, "CONTEXTS", contexts)
     got = ppm.score(docs, F.coalesce(F.col("doc_id"), F.lit(1)) % 4 != 0, order, contexts)
     assert sorted((repr(r["doc_id"]), round(r["score"], 6)) for r in got.collect()) == want
+
+
+def plain_scores(learned: list, texts: list, order: int) -> list[float]:
+    """Prediction by partial matching by dictionaries: a byte's count less a half over the counts that no longer context
+    has excluded, or an escape of a half for each such byte; at last all bytes that are left are equally likely."""
+    line = lambda t: b"\n" * order + b" ".join((t or "").encode().lower().split()) + b"\n"
+    counts: dict = defaultdict(Counter)
+    for t in learned:
+        b = line(t)
+        for i in range(order, len(b)):
+            for k in range(order + 1):
+                counts[b[i - k : i]][b[i]] += 1
+    out = []
+    for t in texts:
+        b, total = line(t), 0.0
+        for i in range(order, len(b)):
+            excluded: set = set()
+            for k in range(order, -1, -1):
+                seen = counts.get(b[i - k : i])
+                if seen is None:
+                    continue
+                left = {x: n for x, n in seen.items() if x not in excluded}
+                if b[i] in left:
+                    total += math.log10((left[b[i]] - 0.5) / sum(left.values()))
+                    break
+                if left:
+                    total += math.log10(0.5 * len(left) / sum(left.values()))
+                excluded = set(seen)
+            else:
+                total -= math.log10(256 - len(excluded))
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("order", [5, 1])
+def test_scores_are_those_of_a_plain_model(spark, order):
+    """On whole texts of the given tables, odd ones among them, by a model that shares no code with the operator's."""
+    rows = [(r["doc_id"], r["text"][:1500]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40).collect()]
+    rows += [(None, "no id"), (1001, None), (1002, ""), (1003, "zzz qqq 日本"), (1003, "the the the")]
+    learned = [t for i, t in rows if (1 if i is None else i) % 4 != 0]
+    got = ppm.score(spark.createDataFrame(rows, "doc_id long, text string"), F.coalesce(F.col("doc_id"), F.lit(1)) % 4 != 0, order).collect()
+    want = plain_scores(learned, [t for _, t in rows], order)
+    assert sorted((repr(r["doc_id"]), round(r["score"], 5)) for r in got) == sorted((repr(i), round(s, 5)) for (i, _), s in zip(rows, want, strict=True))
