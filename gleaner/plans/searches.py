@@ -26,7 +26,7 @@ def resolve_parts(spark: SparkSession, d: str) -> DataFrame:
     zeros = F.left(F.lit("0" * 20), (F.col("o_orderkey") % 24).cast("int"))
     forms = [F.col("o_custkey").cast("string"), F.concat(F.lit(" "), F.upper(name)), F.right(name, F.lit(5)), F.concat(F.lit("R#"), F.substring(name, 10, 7)), F.concat(F.lower(F.substring(name, 1, 16)), F.lit(" ")), F.concat(F.lit("er%0"), F.right(name, F.lit(3))), F.right(name, F.lit(2)), F.concat(F.lit("___"), F.right(name, F.lit(4)), zeros)]
     site = F.when(F.col("o_orderkey") % 3 == 0, F.col("c_nationkey"))
-    wanted = o.join(c, F.col("o_custkey") == F.col("c_custkey")).select(F.get(F.array(*forms), k).alias("wanted"), site.alias("site"))
+    wanted = o.join(c.hint("merge"), F.col("o_custkey") == F.col("c_custkey")).select(F.get(F.array(*forms), k).alias("wanted"), site.alias("site"))
     return names.resolve_many(c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("site")), wanted)
 
 
