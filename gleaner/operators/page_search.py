@@ -1,9 +1,9 @@
 """Search over fetched pages, for many queries at once.
 
 An inverted index holds a row for each word of a page. A page answers a query if it holds all of
-its words. A query looks under its rarest word alone; for the pages found there the other words are looked up by
-(word, page), so frequent words are never walked through. Answers are ranked by BM25 in whole
-numbers (k1 1.2, b 0.75), and of each query the first few stay.
+its words. Queries of the same words are one. A query looks under its rarest word alone; the pages found there meet it as
+pairs of numbers, each page with all its words once, so frequent words are never walked through and a pair is one row,
+whatever its words. Answers are ranked by BM25 in whole numbers (k1 1.2, b 0.75), and of each query the first few stay.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import scalars as X
 from gleaner.operators import links
+from gleaner.sources.tables import cut
 
 
 def words_of(text: Column) -> Column:
@@ -42,18 +43,21 @@ def answers(index: DataFrame, queries: DataFrame, first: int = 5) -> DataFrame:
     page. A query without words, and one with a word of no page, has no answer; ``index`` is used several times and
     should be a table or cut. Equal queries are answered once."""
     sizes = index.select("page", "n").distinct().agg(F.count(F.lit(1)).alias("_pages"), F.sum("n").alias("_all"))  # one row
-    held = index.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    asked = queries.select("query", F.explode(F.array_distinct(words_of(F.col("text")))).alias("word")).distinct().join(held, "word", "left")
-    rarest = F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "word")).alias("x")
-    per = asked.groupBy("query").agg(rarest, F.count(F.lit(1)).alias("_words"), F.collect_list(F.struct("word", "df")).alias("_asked")).where("x.df > 0")
-    near = per.select("query", "_words", "_asked", F.col("x.word").alias("word")).join(index.select("word", "page"), "word").drop("word")
-    each = near.select("query", "page", "_words", F.explode("_asked").alias("q")).select("query", "page", "_words", "q.word", "q.df")
-    met = each.join(index, ["word", "page"]).join(F.broadcast(sizes), how="cross")
-    idf = F.floor(1000 * F.log((2 * F.col("_pages") + 2) / (2 * F.col("df") + 1))).cast("long")
-    part = F.expr("(2200000 * tf) div (1000 * tf + 300 + (900 * n * _pages) div _all)")
-    scored = met.groupBy("query", "page", "_words").agg(F.sum(idf * part).alias("score"), F.count(F.lit(1)).alias("_held")).where("_held = _words")
-    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "page"))
-    return scored.withColumn("rank", place).where(F.col("rank") <= first).select("query", "page", "score", "rank")
+    held = cut(index.groupBy("word").agg(F.count(F.lit(1)).alias("df")).withColumn("code", F.monotonically_increasing_id()))
+    asked = queries.select("query", F.explode(words_of(F.col("text"))).alias("word")).groupBy("query").agg(F.sort_array(F.collect_set("word")).alias("_words"))  # words of one query
+    sets = cut(asked.select("_words").distinct().withColumn("set", F.monotonically_increasing_id()))
+    rarest = F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "code")).alias("x")
+    per = sets.select("set", F.explode("_words").alias("word")).join(held, "word", "left").groupBy("set").agg(rarest, F.collect_list(F.struct("code", "df")).alias("_asked")).where("x.df > 0")
+    coded = index.join(held.select("word", "code"), "word").select("code", "page", "tf", "n")
+    near = per.select("set", "_asked", F.col("x.code").alias("code")).join(coded.select("code", "page", "n"), "code").drop("code")
+    whole = coded.groupBy("page", "n").agg(F.map_from_entries(F.collect_list(F.struct("code", "tf"))).alias("_tf"))  # words of one page
+    met = near.join(whole, ["page", "n"]).where(F.forall("_asked", lambda x: F.map_contains_key("_tf", x["code"]))).join(F.broadcast(sizes), how="cross")
+    idf = "cast(floor(1000 * ln((2 * _pages + 2) / (2 * x.df + 1))) as bigint)"
+    part = "((2200000 * _tf[x.code]) div (1000 * _tf[x.code] + 300 + (900 * n * _pages) div _all))"
+    scored = met.select("set", "page", F.expr(f"aggregate(_asked, 0L, (a, x) -> a + {idf} * {part})").alias("score"))
+    place = F.row_number().over(Window.partitionBy("set").orderBy(F.desc("score"), "page"))
+    best = scored.withColumn("rank", place).where(F.col("rank") <= first)
+    return asked.join(sets, "_words").join(best, "set").select("query", "page", "score", "rank")
 
 
 def find_lists(pages: DataFrame, index: DataFrame, venues: DataFrame, first: int = 5) -> DataFrame:

@@ -9,7 +9,7 @@ from gleaner.functions import scalars as X
 from gleaner.operators import keyword_tables, names, page_search, reach
 from gleaner.operators import same_items as same
 from gleaner.plans.reports import SKIPPED_SQL, load, query
-from gleaner.sources.tables import cut
+from gleaner.sources.tables import bounded_pages, shared_folder, snapshot
 
 PARTS_SQL = """CASE CAST(o_orderkey % 8 AS INTEGER) WHEN 0 THEN CAST(o_custkey AS VARCHAR) WHEN 1 THEN ' ' || upper(c_name) WHEN 2 THEN right(c_name, 5) WHEN 3 THEN 'R#' || substr(c_name, 10, 7) WHEN 4 THEN lower(substr(c_name, 1, 16)) || ' '
  WHEN 5 THEN 'er%0' || right(c_name, 3) WHEN 6 THEN right(c_name, 2) ELSE '___' || right(c_name, 4) || substr('00000000000000000000', 1, CAST(o_orderkey % 24 AS INTEGER)) END"""
@@ -57,6 +57,7 @@ def same_items(spark: SparkSession, d: str) -> DataFrame:
 def reached_pages(spark: SparkSession, d: str) -> DataFrame:
     """The pages that sites reach in up to four steps; 40 pages are a host, every tenth page is where a site starts. As links
     of the fixture lead to none of its pages, a rule of both ends sends each to a page of its host."""
+    bounded_pages(spark)
     (p,) = load(spark, d, "pages")
     own = p.select("page_id", "html", F.concat(F.lit("https://h"), F.floor(F.col("page_id") / 40).cast("string"), F.lit(".example.org/"), F.col("page_id").cast("string")).alias("url"))
     split = lambda c: F.regexp_extract(c, "^https://[^/]*(/.*)$", 1)
@@ -87,7 +88,7 @@ def found_lists(spark: SparkSession, d: str) -> DataFrame:
     hub = F.concat(F.lit("https://hub.binwise.com/"), F.when(k == 1, "list/").otherwise("print-digital-menu/"), F.col("page_id").cast("string"), F.lit("?x=1"))
     pages = p.select(F.col("page_id").alias("page"), F.when(k == 0, F.col("url")).otherwise(hub).alias("url"), "html")
     text = F.concat(page_search.visible(F.col("html")), F.when(F.col("page") % 5 == 0, " pdf").otherwise(""))
-    index = cut(page_search.page_index(pages.select("page", text.alias("text"))))
+    index = snapshot(page_search.page_index(pages.select("page", text.alias("text"))), f"{shared_folder(spark)}/page-index")  # compressed
     title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
     one, two = (F.split_part(F.col("title"), F.lit(" "), F.lit(n)) for n in (1, 2))
     names = [F.col("title"), one, F.concat(one, F.lit(" & "), two), F.concat(two, F.lit(" "), one)]
