@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gleaner.functions import pagetext
 from gleaner.functions import scalars as X
 from gleaner.operators import display, lifecycle, links, ranking
-from gleaner.sources.tables import table
+from gleaner.sources.tables import bounded_pages, table
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -445,6 +445,7 @@ def file_names(spark: SparkSession, d: str) -> DataFrame:
  SELECT page_id, count(*) AS n, CAST(min(pos) AS INTEGER) AS first_pos, CAST(max(pos) AS INTEGER) AS last_pos FROM r WHERE n = 1 AND length(text) BETWEEN 1 AND 100 GROUP BY page_id""")
 def navigation(spark: SparkSession, d: str) -> DataFrame:
     """The links that a page offers on its own host."""
+    bounded_pages(spark)
     found = links.resolved(links.anchors(table(spark, d, "pages").select("page_id", "url", "html")))
     nav = links.nav_links(found, "page_id")
     return nav.select("page_id", F.size("links").cast("long").alias("n"), F.element_at("links", 1)["pos"].alias("first_pos"), F.element_at("links", -1)["pos"].alias("last_pos"))
@@ -468,6 +469,7 @@ def price_band(spark: SparkSession, d: str) -> DataFrame:
 @query(r"""WITH a AS (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">', 1) AS hrefs FROM pages)
  SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, hrefs[i] AS href FROM (SELECT page_id, hrefs, unnest(range(1, len(hrefs) + 1)) AS i FROM a) t""")
 def page_links(spark: SparkSession, d: str) -> DataFrame:
+    bounded_pages(spark)
     return links.anchors(table(spark, d, "pages").select("page_id", "html")).select("page_id", "pos", "href")
 
 
@@ -476,6 +478,7 @@ def page_links(spark: SparkSession, d: str) -> DataFrame:
  SELECT page_id, pos, CASE WHEN length(url) > length(root) + 1 THEN regexp_replace(regexp_replace(url, '[;?#].*$', ''), '/$', '') ELSE regexp_replace(url, '[;?#].*$', '') END AS link, starts_with(url, root) AS internal FROM u WHERE NOT regexp_matches(url, '""" + SKIPPED_SQL + """')""")
 def link_split(spark: SparkSession, d: str) -> DataFrame:
     """Absolute links, inside or outside the page's host, without skipped ones."""
+    bounded_pages(spark)
     found = links.resolved(links.anchors(table(spark, d, "pages").select("page_id", "url", "html")))
     return found.select("page_id", "pos", "link", "internal")
 
@@ -496,6 +499,7 @@ def link_scores(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def page_text(spark: SparkSession, d: str) -> DataFrame:
+    bounded_pages(spark)
     texts = table(spark, d, "pages").withColumn("t", pagetext.page_texts("html"))
     return texts.select("page_id", pagetext.chosen(F.col("t")).alias("text"), X.is_spa_shell(F.col("html"), F.col("t.visible")).alias("is_spa"), "t.title")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gleaner.functions import scalars as X
 from gleaner.operators import links
 from gleaner.plans.reports import load, query
+from gleaner.sources.tables import bounded_pages
 
 #: What the fixture's links say, around them, and how their urls end.
 SAID = ("Wine List", "Our Menus", "carte des vins", "Carta de Vinos", "About us", "Dégustation", "menú", "Press", "Bodega & cellar", "nothing", "Catering menu", "Visit", "La Carte", "wine", "sommelier", "private-dining")
@@ -23,6 +24,7 @@ def picked(values: tuple[str, ...], number) -> F.Column:  # noqa: ANN001
 
 def fixture_links(spark: SparkSession, d: str) -> DataFrame:
     """A link for each anchor of the pages, with text, context, url and language by its place."""
+    bounded_pages(spark)
     (p,) = load(spark, d, "pages")
     page, pos = F.col("page_id"), F.col("pos")
     found = links.anchors(p.select("page_id", "html")).select("page_id", "pos")
