@@ -12,7 +12,7 @@ All training rows and contexts are counted. A context is frequent if it holds at
 least one in ``CONTEXTS`` of all training bytes; the trie that every worker gets has
 the frequent contexts (at most ``CONTEXTS`` of each order) and all of up to ``WHOLE``
 bytes. A byte after any other context is decided from the table of all counts, once
-for each distinct gram, and joined, so ``CONTEXTS`` changes no score. Word counts for the base score are exact and distributed:
+for each gram of a text, where that table lies, so ``CONTEXTS`` changes no score. Word counts for the base score are exact and distributed:
 words that hold at least one in ``FREQUENT`` of all tokens (so at most that many)
 are broadcast, all others are joined.
 
@@ -26,14 +26,17 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import bounded_batches, cut, fold, table
+from gleaner.llm.common import bounded_batches, cut, fold, shared_folder, table
 from gleaner.llm.hashmap import HashMap
+from gleaner.sources.tables import snapshot
 
 ORDER = 5
 CONTEXTS = 2_000_000
@@ -221,44 +224,58 @@ def fit(top: DataFrame, order: int = ORDER, contexts: int = CONTEXTS) -> Trie:
     return Trie(np.concatenate(keys), np.concatenate(counts), order)
 
 
-def decide(top: DataFrame, wanted: DataFrame, model, order: int = ORDER) -> DataFrame:
-    """(gram, p): log10 of the probability of each of ``wanted(gram)`` by all counts of
-    ``top(gram, n)``. Grams whose contexts end in the same bytes meet in one task, and
-    with the broadcast ``model`` of shorter contexts that is all a gram needs."""
+def decide(top: DataFrame, asked: DataFrame, model, order: int = ORDER) -> DataFrame:
+    """(row, p): parts of the sum, over ``asked(row, gram, k)``, of k times log10 of the gram's
+    probability by all counts of ``top(gram, n)``. Grams whose contexts end in the same bytes
+    meet in one task, and with the broadcast ``model`` of shorter contexts that is all a gram
+    needs. Of an ending the counts come first, so that what is asked is not held."""
 
-    def solved(gram: np.ndarray, n: np.ndarray) -> pd.DataFrame:
-        asked, learned, count = gram[n == 0], gram[n > 0], n[n > 0]
-        if not len(asked):
-            return pd.DataFrame({"gram": asked, "p": np.zeros(0)})
+    def learned(gram: np.ndarray, n: np.ndarray) -> Trie:
         keys = [x["gram"] | k << 56 for k, x in enumerate(model.value.levels[: WHOLE + 1])]
         counts = [x["n"] for x in model.value.levels[: WHOLE + 1]]
         for k in range(WHOLE + 1, order + 1):
-            unique, back = np.unique(learned & ((1 << (8 * (k + 1))) - 1), return_inverse=True)
+            unique, back = np.unique(gram & ((1 << (8 * (k + 1))) - 1), return_inverse=True)
             keys.append(unique | k << 56)
-            counts.append(np.bincount(back, weights=count, minlength=len(unique)).astype(np.int64))
-        return pd.DataFrame({"gram": asked, "p": Trie(np.concatenate(keys), np.concatenate(counts), order).log10(asked)})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts: list[pd.DataFrame] = []
-        rows = 0
-        for batch in batches:
-            parts.append(batch)
-            rows += len(batch)
-            if rows >= TABLE_ROWS:
-                end = pd.concat(parts)
-                ends = end["ending"].to_numpy()
-                last = np.searchsorted(ends, ends[-1])  # the last ending may go on in the next batch
+            counts.append(np.bincount(back, weights=n, minlength=len(unique)).astype(np.int64))
+        return Trie(np.concatenate(keys), np.concatenate(counts), order)
+
+    def solved(trie: Trie, part: list[np.ndarray]) -> pa.RecordBatch:
+        _, gram, n, row = part
+        rows, back = np.unique(row, return_inverse=True)
+        return pa.RecordBatch.from_arrays([pa.array(rows), pa.array(np.bincount(back, weights=-n * trie.log10(gram), minlength=len(rows)))], names=["row", "p"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[list[np.ndarray]] = []
+        rows, last, trie, of = 0, 0, None, None  # the trie of the ending that goes on, if its counts have all come
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                parts.append([batch.column(x).to_numpy() for x in ("ending", "gram", "n", "row")])
+                rows += batch.num_rows
+            if not parts or (rows < TABLE_ROWS and batch is not None):
+                continue
+            held = [np.concatenate(x) for x in zip(*parts, strict=True)]
+            if trie is not None:
+                upto = np.searchsorted(held[0], of, "right")
+                if upto:
+                    yield solved(trie, [x[:upto] for x in held])
+                held = [x[upto:] for x in held]
+            if len(held[0]):  # else all of it was of the ending that goes on
+                trie, of = None, held[0][-1]
+                last = len(held[0]) if batch is None else np.searchsorted(held[0], of)
+                if not last and held[2][-1] < 0:  # one ending, whose counts have all come
+                    trie, last = learned(held[1][held[2] > 0], held[2][held[2] > 0]), len(held[0])
                 if last:
-                    yield solved(end["gram"].to_numpy()[:last], end["n"].to_numpy()[:last])
-                    end = end.iloc[last:]
-                parts, rows = [end], len(end) if last else 0
-        if parts:
-            end = pd.concat(parts)
-            yield solved(end["gram"].to_numpy(), end["n"].to_numpy())
+                    asks, head = held[2][:last] < 0, [x[:last] for x in held]
+                    if asks.any():
+                        yield solved(trie or learned(head[1][~asks], head[2][~asks]), [x[asks] for x in head])
+                    held = [x[last:] for x in held]
+            parts, rows = [held], len(held[0]) if last else 0
 
-    both = top.select("gram", "n").unionByName(wanted.select("gram", F.lit(0).cast("long").alias("n")))
-    both = both.withColumn("ending", F.shiftright("gram", 8).bitwiseAND(F.lit((1 << (8 * (WHOLE + 1))) - 1)))
-    return both.repartition("ending").sortWithinPartitions("ending").mapInPandas(run, "gram long, p double")
+    # counts are positive, those of what is asked negative
+    both = top.select("gram", "n", F.lit(0).cast("long").alias("row")).unionByName(asked.select("gram", (-F.col("k")).cast("long").alias("n"), "row"))
+    ending = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << (8 * (WHOLE + 1))) - 1))
+    both = both.repartition(ending).withColumn("ending", ending).sortWithinPartitions("ending", F.desc("n"))
+    return both.mapInArrow(run, "row long, p double")
 
 
 def per_row(keys: np.ndarray, owner: np.ndarray, rows: int) -> tuple[list, list]:
@@ -312,13 +329,13 @@ def score(docs: DataFrame, training: F.Column, order: int = ORDER, contexts: int
                 yield out.assign(doc_id=part["doc_id"].array, held_out=part["held_out"].array, score=sums, grams=grams, often=often)
 
     schema = "doc_id long, held_out boolean, n_tokens long, hits long, base double, score double, rare array<binary>, times array<int>, grams array<long>, often array<int>"
-    scored = cut(docs.mapInPandas(run, schema).withColumn("row", F.monotonically_increasing_id()))
+    scored = docs.mapInPandas(run, schema).withColumn("row", F.monotonically_increasing_id())
+    scored = snapshot(scored, f"{shared_folder(docs.sparkSession)}/scored")  # by columns and compressed; read three times
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("k"))
     logged = F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5)) * F.col("k")
     others = rare.join(words.where(~frequent), "word", "left").groupBy("row").agg(F.sum(logged).alias("more"), F.sum(F.when(F.col("c").isNotNull(), F.col("k")).otherwise(0)).alias("found"))
     asked = scored.select("row", F.explode(F.arrays_zip("grams", "often")).alias("x")).select("row", F.col("x.grams").alias("gram"), F.col("x.often").alias("k"))
-    solved = decide(top, asked.select("gram").distinct(), model, order)
-    escaped = asked.join(solved, "gram").groupBy("row").agg(F.sum(F.col("k") * F.col("p")).alias("rest"))
+    escaped = decide(top, asked, model, order).groupBy("row").agg(F.sum("p").alias("rest"))
     norm = float(np.log10(n + 0.5 * (v + 1)))
     return scored.drop("rare", "times", "grams", "often").join(others, "row", "left").join(escaped, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("hits") + F.coalesce("found", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),

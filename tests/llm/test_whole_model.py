@@ -76,3 +76,23 @@ def test_scores_are_those_of_a_plain_model(spark, order):
     got = ppm.score(spark.createDataFrame(rows, "doc_id long, text string"), F.coalesce(F.col("doc_id"), F.lit(1)) % 4 != 0, order).collect()
     want = plain_scores(learned, [t for _, t in rows], order)
     assert sorted((repr(r["doc_id"]), round(r["score"], 5)) for r in got) == sorted((repr(i), round(s, 5)) for (i, _), s in zip(rows, want, strict=True))
+
+
+def test_grams_are_moved_once(spark):
+    """What is asked goes to the counts and comes back as sums: no distinct grams are moved besides, and none of the
+    answers is joined back by gram."""
+    asked = spark.createDataFrame([(r, g, 1 + r % 2) for r in range(30) for g in (0x616263646566, 0x616263646567)], "row long, gram long, k int")
+    top = spark.createDataFrame([(0x616263646566, 3), (0x7A6263646567, 2)], "gram long, n long")
+    keys, n = np.array([0x616263646566, 0x7A6263646567]), np.array([3, 2])
+    grams, counts = [], []
+    for k in range(6):
+        u, back = np.unique(keys & ((1 << 8 * (k + 1)) - 1), return_inverse=True)
+        grams.append(u | k << 56)
+        counts.append(np.bincount(back, weights=n).astype(np.int64))
+    trie = ppm.Trie(np.concatenate(grams), np.concatenate(counts))
+    p = trie.log10(keys[:1])[0] + trie.log10(np.array([0x616263646567]))[0]
+    found = ppm.decide(top, asked, spark.sparkContext.broadcast(trie)).groupBy("row").agg(F.sum("p").alias("p"))
+    assert {r["row"]: round(r["p"], 9) for r in found.collect()} == {r: round((1 + r % 2) * p, 9) for r in range(30)}
+    docs = spark.createDataFrame([(i, f"text {i} of some words") for i in range(20)], "doc_id long, text string")
+    plan = ppm.score(docs, F.col("doc_id") % 4 != 0, 5, 20)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 3 and plan.count("Aggregate") == 2  # words, and the sums of words and of grams by row
