@@ -450,6 +450,34 @@ def test_wrappers_select_the_article_without_names(spark):
     assert got == want
 
 
+def test_wrappers_are_learned_from_all_pages(spark):
+    """One page of 60 has another byline, so that no byline is a constant; and what pages share that are too long for a sample is one."""
+    words = lambda i, n: " ".join(f"w{i}x{k}" for k in range(n))
+    pages = [(i, f"http://h.example/{i}", f"<body><div><h1>Title {i}</h1><p>By {'Ann' if i == 17 else 'Staff'}</p><p>{words(i, 60)}</p></div></body>") for i in range(60)]
+    pages += [(100 + i, f"http://long.example/{i}", f"<body><div><p>Read on here</p><p>{words(i, 25_000)}</p></div></body>") for i in range(5)]
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)).collect()}
+    want = {i: f"Title {i}\nBy {'Ann' if i == 17 else 'Staff'}\n{words(i, 60)}" for i in range(60)} | {100 + i: words(i, 25_000) for i in range(5)}
+    assert [i for i in want if got[i] != want[i]] == []
+
+
+def test_learning_does_not_depend_on_where_pages_lie(spark, monkeypatch):
+    """Many small groups and rounds, copies among the pages, joins that shuffle."""
+    rng = random.Random(3)
+    pages = [(i, f"http://h.example/{i}", page(f"T{i}", [f"x{i} {rng.choice(WORDS)}"] * (i % 5), "".join(rng.choice(["<hr>", "<div>a</div>", "<ul><li>b</ul>"]) for _ in range(i % 7)))) for i in range(60)]
+    pages += pages[:20]
+    docs = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rows = docs.select(F.lit("h").alias("host"), "html")
+    one = wrappers.wrappers(rows.coalesce(1)).collect()
+    assert wrappers.wrappers(rows.repartition(7)).collect() == one and json.loads(one[0]["wrapper"])["pages"] > 8
+    want = sorted(map(str, wrappers.extract(docs).collect()))
+    for name, value in (("HELD", 100), ("MAX_BROADCAST_CHARS", 0), ("MAX_BROADCAST_ROWS", 0)):
+        monkeypatch.setattr(wrappers, name, value)
+    assert sorted(map(str, wrappers.extract(docs).collect())) == want
+    monkeypatch.setattr(wrappers, "FAN", 2)
+    found = wrappers.wrappers(rows).collect()
+    assert len(found) == 1 and json.loads(found[0]["wrapper"])["pages"] == json.loads(one[0]["wrapper"])["pages"]
+
+
 def test_copies_are_no_template():
     text = "".join(f"<p>Part {k} of a page that many copies on this host repeat in full length, word by word.</p>" for k in range(6))
     same = [f"<body><div>menu</div><div class=x><h1>Title</h1>{text}</div></body>"] * 8
