@@ -460,6 +460,15 @@ def test_wrappers_are_learned_from_all_pages(spark):
     assert [i for i in want if got[i] != want[i]] == []
 
 
+def test_wrappers_do_not_hold_what_few_pages_have(spark):
+    rng = random.Random(8)
+    odd = lambda: "".join(f"<{t} class={rng.choice('abcdefgh')}>{rng.random()}</{t}>" for t in rng.choices(["div", "h2", "table", "pre", "ul"], k=40))
+    pages = [("h", f"<body><div class=top>Menu of the site</div><article><p>{rng.random()}</p></article>{odd()}</body>") for _ in range(40)]
+    found = json.loads(wrappers.wrappers(spark.createDataFrame(pages, "host string, html string")).first()["wrapper"])
+    assert found["pages"] == 40 and "Menu of the site" in [x[1] for x in found["items"]]
+    assert min(x[2] for x in found["items"]) >= wrappers.MIN_SEEN and len(found["items"]) < len(wrappers.infer([x for _, x in pages])["items"]) / 2
+
+
 def test_learning_does_not_depend_on_where_pages_lie(spark, monkeypatch):
     """Many small groups and rounds, copies among the pages, joins that shuffle."""
     rng = random.Random(3)
