@@ -88,7 +88,7 @@ def found_lists(spark: SparkSession, d: str) -> DataFrame:
     hub = F.concat(F.lit("https://hub.binwise.com/"), F.when(k == 1, "list/").otherwise("print-digital-menu/"), F.col("page_id").cast("string"), F.lit("?x=1"))
     pages = p.select(F.col("page_id").alias("page"), F.when(k == 0, F.col("url")).otherwise(hub).alias("url"), "html")
     text = F.concat(page_search.visible(F.col("html")), F.when(F.col("page") % 5 == 0, " pdf").otherwise(""))
-    index = snapshot(page_search.page_index(pages.select("page", text.alias("text"))), f"{shared_folder(spark)}/page-index")  # compressed
+    index = snapshot(page_search.page_index(pages.select("page", text.alias("text"))), f"{shared_folder(spark)}/page-index", "zstd")
     title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
     one, two = (F.split_part(F.col("title"), F.lit(" "), F.lit(n)) for n in (1, 2))
     names = [F.col("title"), one, F.concat(one, F.lit(" & "), two), F.concat(two, F.lit(" "), one)]
