@@ -96,13 +96,16 @@ def answers(index: DataFrame, queries: DataFrame, first: int = 5, block: int = B
     words, and meets queries of about ``most`` words at a time."""
     spark = index.sparkSession
     index = index.where("n > 0")
+    rows, ids = index.agg(F.count(F.lit(1)), F.count_distinct("page")).first()
+    if rows > ids:  # rows of one page are one, and so are those of none, which no query finds
+        index = cut(index.groupBy("page").agg(F.sum("n").alias("n"), F.array_join(F.collect_list("words"), " ").alias("words")))
     count, total, size = index.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(1)), F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()
     held = index.select(F.explode(F.array_distinct(F.split("words", " "))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     asked = queries.select("query", F.explode(words_of(F.col("text"))).alias("word")).groupBy("query").agg(F.sort_array(F.collect_set("word")).alias("_words"))  # words of one query
     sets = cut(asked.select("_words").distinct().withColumn("set", F.monotonically_increasing_id()))
     parts = max(1, math.ceil((sets.agg(F.sum(F.size("_words"))).first()[0] or 0) / most))
     blocks = max(math.ceil(size / block), 2 * spark.sparkContext.defaultParallelism)
-    weight = F.floor(1000 * F.log((2 * F.lit(count) + 2) / (2 * F.col("df") + 1))).cast("int")
+    weight = F.floor(1000 * F.log((2 * F.lit(count).cast("long") + 2) / (2 * F.col("df") + 1))).cast("int")
     known = sets.select("set", F.size("_words").alias("_n"), F.explode("_words").alias("word")).join(held, "word")
     whole = known.groupBy("set", "_n").agg(F.sort_array(F.collect_list(F.struct("df", weight.alias("weight"), "word"))).alias("_x")).where(F.size("_x") == F.col("_n"))  # the rarest first
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

@@ -263,6 +263,19 @@ def test_answers_do_not_depend_on_blocks(spark, block, most):
     assert got == plain_answers(pages, queries, 3) and len(got) == 20
 
 
+def test_rows_of_one_page_are_one_page(spark):
+    """Its words are those of all its rows; a page without an id counts and answers nothing."""
+    rows = [(1, "red wine"), (2, "red"), (1, "Bar red"), (None, "zebra red"), (3, "wine red bar red"), (None, "zebra")]
+    index = page_search.page_index(spark.createDataFrame(rows, "page long, text string")).cache()
+    queries = [("a", "red"), ("b", "wine bar"), ("c", "zebra")]
+    want = plain_answers([(1, "red wine bar red"), (2, "red"), (3, "wine red bar red"), (99, "zebra red zebra")], queries, 5)
+    want = {q: [(p, s, k) for k, (p, s) in enumerate([(p, s) for p, s, _ in x if p != 99], 1)] for q, x in want.items() if q != "c"}
+    got: dict = {}
+    for r in page_search.answers(index, spark.createDataFrame(queries, "query string, text string")).orderBy("query", "rank").collect():
+        got.setdefault(r["query"], []).append((r["page"], r["score"], r["rank"]))
+    assert got == want
+
+
 def test_lists_are_found_in_two_passes(spark):
     head = lambda name: f"<title>{name}</title><h1>Menu</h1>"
     hub = "https://hub.binwise.com/list/"
