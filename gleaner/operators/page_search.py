@@ -23,7 +23,7 @@ from gleaner.operators import links
 from gleaner.sources.tables import cut
 
 #: Characters of a block's words, words of the queries that it meets at a time, and pages whose words are apart at once.
-BLOCK, ASKED, ROWS = 2**25, 2**21, 1024
+BLOCK, ASKED, ROWS = 2**25, 2**22, 1024
 
 
 def words_of(text: Column) -> Column:
@@ -57,20 +57,21 @@ def first_answers(pages: pa.Table, asked: pa.Table, first: int, count: int, tota
     sets = split(asked["words"])
     wanted = sets.flatten().unique()
     numbered = lambda x: pc.index_in(x.flatten(), value_set=wanted).fill_null(-1).to_numpy()
-    laid = []
+    laid, base = [], 300 + (900 * pages["n"].to_numpy() * count) // total
     for k in range(0, pages.num_rows, ROWS):
         held = split(pages["words"].slice(k, ROWS))
         terms, rows = numbered(held), np.repeat(np.arange(len(held)), pc.list_value_length(held).to_numpy())
         keys, tf = np.unique(terms[terms >= 0].astype(np.int64) * ROWS + rows[terms >= 0], return_counts=True)
-        laid.append([x.astype(np.int32) for x in (keys // ROWS, keys % ROWS + k, tf)])
-    terms, at, tf = (np.concatenate(x) for x in zip(*laid, strict=True))
+        part = (2200000 * tf) // (1000 * tf + base[keys % ROWS + k])
+        laid.append([x.astype(np.int32) for x in (keys // ROWS, keys % ROWS + k, part)])
+    terms, at, part = (np.concatenate(x) for x in zip(*laid, strict=True))
+    del laid[:]
     order = np.argsort(terms, kind="stable")  # by word, then by page
-    ends, at, tf = np.searchsorted(terms[order], np.arange(len(wanted) + 1)), at[order], tf[order].astype(np.int64)
-    part = (2200000 * tf) // (1000 * tf + (300 + (900 * pages["n"].to_numpy() * count) // total)[at])
+    ends, at, part = np.searchsorted(terms[order], np.arange(len(wanted) + 1)), at[order], part[order].astype(np.int64)
     codes, weights = numbered(sets), asked["weights"].combine_chunks().flatten().to_numpy().astype(np.int64)
     starts = np.concatenate([[0], np.cumsum(pc.list_value_length(sets).to_numpy())])
     whole = np.flatnonzero(np.minimum.reduceat(np.diff(ends)[codes], starts[:-1]))  # all words occur in the block
-    out = []
+    lengths, found, given = np.zeros(len(sets), np.int64), bytearray(), bytearray()  # small arrays would take far more
     for k in whole.tolist():
         mine = range(starts[k], starts[k + 1])
         rows = scores = None
@@ -85,8 +86,10 @@ def first_answers(pages: pa.Table, asked: pa.Table, first: int, count: int, tota
             best = np.flatnonzero(scores >= np.partition(scores, -first)[-first])
             rows, scores = rows[best], scores[best]
         order = np.lexsort((rows, -scores))[:first]
-        out.append((np.full(len(order), k), rows[order], scores[order]))
-    return tuple(np.concatenate(x) for x in zip((np.zeros(0, np.int64),) * 3, *out, strict=True))
+        lengths[k] = len(order)
+        found += rows[order].tobytes()
+        given += scores[order].tobytes()
+    return np.repeat(np.arange(len(sets)), lengths), np.frombuffer(found, np.int32), np.frombuffer(given, np.int64)
 
 
 def answers(index: DataFrame, queries: DataFrame, first: int = 5, block: int = BLOCK, most: int = ASKED) -> DataFrame:
